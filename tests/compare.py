@@ -1,0 +1,76 @@
+"""Run a registered query on Spark and its SQL on DuckDB and compare whole results.
+
+    python -m tests.compare /root/testdata/sf0.01 [query ...]
+"""
+
+import datetime
+import decimal
+import math
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+import __spark_entry__ as driver
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    for file in sorted(Path(sf_dir).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return con
+
+
+def plain(value):
+    if isinstance(value, decimal.Decimal):
+        return float(value)
+    if isinstance(value, float):
+        return None if math.isnan(value) else value
+    if isinstance(value, datetime.datetime):
+        return value.replace(tzinfo=None)
+    return value
+
+
+def rows_of(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(plain(r[i]) for i in order) for r in rows)
+
+
+def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
+    start = time.time()
+    df = driver.queries()[name](spark, sf_dir)
+    got = rows_of(df.columns, df.collect())
+    took = time.time() - start
+    cursor = con.execute(driver.oracle_sql()[name])
+    names = [d[0] for d in cursor.description]
+    expected = rows_of(names, cursor.fetchall())
+    if sorted(names) != sorted(df.columns):
+        return False, f"columns {sorted(df.columns)} vs {sorted(names)}"
+    missing, extra = expected - got, got - expected
+    if missing or extra:
+        return False, f"{sum(missing.values())} missing, {sum(extra.values())} extra; e.g. {list(missing)[:2]} vs {list(extra)[:2]}"
+    return True, f"{sum(got.values())} rows, {took:.1f} s"
+
+
+def main() -> int:
+    from tidemark.session import local_session
+
+    sf_dir, wanted = sys.argv[1], sys.argv[2:] or list(driver.queries())
+    spark = local_session(cores=8)
+    con = connect(sf_dir)
+    failed = 0
+    for name in wanted:
+        try:
+            ok, note = compare(spark, con, name, sf_dir)
+        except Exception as error:  # report every query, then fail
+            ok, note = False, f"{type(error).__name__}: {str(error)[:600]}"
+        failed += not ok
+        print(f"{'ok  ' if ok else 'FAIL'} {name}: {note}", flush=True)
+    spark.stop()
+    return failed
+
+
+if __name__ == "__main__":
+    sys.exit(main())

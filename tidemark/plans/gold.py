@@ -149,6 +149,19 @@ def _paired(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def merge_fact(fact: DataFrame, live: DataFrame, keys: DataFrame, small_keys: bool = False) -> DataFrame:
+    """The fact after a refresh of `keys`: their rows leave, the rows of `live` come in."""
+    kept = fact.join(F.broadcast(keys) if small_keys else keys, FACT_KEY, "left_anti")
+    return kept.unionByName(live)
+
+
+def merge_fact_as_delivered(fact: DataFrame, live: DataFrame, booking: DataFrame) -> DataFrame:
+    """The fact after merging `live` and deleting the dead bookings of silver."""
+    merged = fact.join(live.select(FACT_KEY), FACT_KEY, "left_anti").unionByName(live)
+    dead = booking.filter(is_dead_booking()).select(FACT_KEY)
+    return merged.join(dead, FACT_KEY, "left_anti")
+
+
 def daily_route(fact: DataFrame) -> DataFrame:
     """Dashboard aggregate by day, route and channel."""
     return fact.groupBy(*DAILY_ROUTE_KEYS).agg(

@@ -220,14 +220,19 @@ class Flow:
 
     def run_available(self) -> dict | None:
         """Everything new, once: ingest the three feeds, refresh gold, export, check."""
-        for query in self._start({"availableNow": True}, None):
-            query.awaitTermination()
+        self.ingest_available()
         record = self.refresh_gold()
         if record is not None:
             self.export()
             self.run_quality()
         return record
 
+    def ingest_available(self, *entities: EntitySpec) -> None:
+        """Everything new of the given feeds (all by default) into silver. The feeds run side by side."""
+        queries = [self._start_one(e, {"availableNow": True}, None) for e in entities or self.entities]
+        for query in queries:
+            query.awaitTermination()
+
     def start_continuous(self, interval: str = K.TRIGGER_INTERVAL) -> list[StreamingQuery]:
         """One running query per feed; each batch that reaches silver refreshes gold and the export."""
 
@@ -235,10 +240,7 @@ class Flow:
             if self.refresh_gold() is not None:
                 self.export()
 
-        return self._start({"processingTime": interval}, downstream)
-
-    def _start(self, trigger: dict, after_batch) -> list[StreamingQuery]:
-        return [self._start_one(spec, trigger, after_batch) for spec in self.entities]
+        return [self._start_one(e, {"processingTime": interval}, downstream) for e in self.entities]
 
     def _start_one(self, spec: EntitySpec, trigger: dict, after_batch) -> StreamingQuery:
         checkpoint = f"{self.root}/checkpoints/{self._generation()}/{spec.name}"
