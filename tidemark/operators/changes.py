@@ -40,13 +40,14 @@ def change_set(
     batch: DataFrame,
     spec: EntitySpec,
     guard: bool = True,
-    small_batch: bool = False,
+    lookup: str = "join",
 ) -> DataFrame:
-    """What `batch` (one row per key) does to `current`.
+    """What `batch` (one row per key) does to `current`. `lookup` says how stored rows are found:
 
-    `small_batch` is for a batch whose size was checked: the stored rows of its keys are then found
-    by broadcasting the keys, so the stored table is scanned but never shuffled. Otherwise both
-    sides meet in one shuffled join.
+    join       one shuffled join, for inputs that are themselves still plans
+    pick       first a semi join with the batch's keys, which Spark moves down to the files of a
+               stored table: the keys are shuffled to its buckets, the table stays where it is
+    broadcast  the same with broadcast keys, for a batch whose size was checked
     """
     columns = spec.state_columns
     if current is None:
@@ -54,8 +55,9 @@ def change_set(
         return batch.select(*columns, empty.alias(PRE), F.lit("insert").alias(CHANGE_TYPE))
 
     stored = current
-    if small_batch:
-        stored = stored.join(F.broadcast(batch.select(spec.key)), spec.key, "left_semi")
+    if lookup != "join":
+        keys = _hint(batch.select(spec.key), lookup == "broadcast")
+        stored = stored.join(keys, spec.key, "left_semi")
     stored = stored.select(F.col(spec.key), F.struct(*columns).alias(PRE))
     joined = batch.select(*columns).join(stored, spec.key, "left")
 

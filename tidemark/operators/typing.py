@@ -15,9 +15,11 @@ from tidemark.specs import SAFE, EntitySpec, Policy
 TIE_COLUMNS = ["_change_ts", "_src_file"]
 
 
-def reject_reason(spec: EntitySpec) -> Column:
-    """Why a raw row cannot be stored; NULL for a usable row."""
+def reject_reason(spec: EntitySpec, policy: Policy = SAFE) -> Column:
+    """Why a raw row cannot be stored; NULL for a usable row. A row without a key never can."""
     reason = F.when(F.col(spec.key).isNull(), F.lit("missing key"))
+    if not policy.quarantine:
+        return reason
     reason = reason.when(try_sequence(F.col(K.CHANGE_SEQ)).isNull(), F.lit("unusable sequence"))
     for field in spec.fields:
         if field.kind in ("code", "currency"):
@@ -25,11 +27,10 @@ def reject_reason(spec: EntitySpec) -> Column:
     return reason
 
 
-def split_rejects(raw: DataFrame, spec: EntitySpec) -> tuple[DataFrame, DataFrame]:
+def split_rejects(raw: DataFrame, spec: EntitySpec, policy: Policy = SAFE) -> tuple[DataFrame, DataFrame]:
     """(usable rows, rejected rows with REJECT_REASON)."""
-    usable = raw.filter(reject_reason(spec).isNull())
-    rejected = raw.withColumn("REJECT_REASON", reject_reason(spec)).filter(F.col("REJECT_REASON").isNotNull())
-    return usable, rejected
+    reason = reject_reason(spec, policy)
+    return raw.filter(reason.isNull()), raw.filter(reason.isNotNull()).withColumn("REJECT_REASON", reason)
 
 
 def typed(raw: DataFrame, spec: EntitySpec, policy: Policy = SAFE, run_ts=None) -> DataFrame:
@@ -37,9 +38,8 @@ def typed(raw: DataFrame, spec: EntitySpec, policy: Policy = SAFE, run_ts=None)
     deleted = F.col(K.CHANGE_OPER) == K.OP_DELETE
     if policy.null_op_is_live:
         deleted = F.coalesce(deleted, F.lit(False))
-    if policy.quarantine:
-        raw, _ = split_rejects(raw, spec)
-    return raw.select(
+    usable, _ = split_rejects(raw, spec, policy)
+    return usable.select(
         F.col(spec.key),
         *[read_field(f).alias(f.name) for f in spec.fields],
         deleted.alias(K.IS_DELETED),

@@ -14,7 +14,7 @@ from tidemark import constants as K
 from tidemark.functions.scalars import as_timestamp, minutes_between
 from tidemark.operators.typing import reject_reason, unparsable_fields
 from tidemark.plans.gold import is_dead_booking
-from tidemark.specs import EntitySpec
+from tidemark.specs import SAFE, EntitySpec, Policy
 
 Tables = dict[str, DataFrame]
 
@@ -160,11 +160,11 @@ def freshness(
     return lines.select("OBJ", "LAST_UPDATE", lag.alias("LAG_MIN"), state.alias("STATUS"))
 
 
-def load_audit(raw: DataFrame, spec: EntitySpec) -> DataFrame:
+def load_audit(raw: DataFrame, spec: EntitySpec, policy: Policy = SAFE) -> DataFrame:
     """Per source file: rows, rows set aside, fields that did not parse."""
     return raw.groupBy(K.SRC_FILE).agg(
         F.lit(spec.name).alias("ENTITY"),
         F.count("*").alias("ROWS_READ"),
-        F.count_if(reject_reason(spec).isNotNull()).alias("ROWS_REJECTED"),
+        F.count_if(reject_reason(spec, policy).isNotNull()).alias("ROWS_REJECTED"),
         F.sum(unparsable_fields(spec)).alias("FIELDS_UNPARSABLE"),
     )

@@ -7,10 +7,16 @@
 A commit writes only what changed, so its cost follows the batch and not the table. Readers take
 the newest commit file; a directory without one is ignored, so a job that dies half-way leaves the
 table as it was and its retry writes the same directory again. One writer per table.
+
+The base is bucketed by key. A join of the table with changed keys therefore never shuffles the
+base: few keys are broadcast, many keys are shuffled to the base's buckets. Bucketing needs a name
+in the session catalog, so each base is known there as an external table; dropping that name, as
+`compact` does for the base it folds, keeps the files.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 from datetime import datetime
 
@@ -36,12 +42,16 @@ MAX_CHANGED_SHARE = 0.25
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, key: str, schema: T.StructType):
+    def __init__(
+        self, spark: SparkSession, path: str, key: str, schema: T.StructType, buckets: int | None = None
+    ):
+        """`buckets` of the next base; by default the session's number of shuffle partitions."""
         self.spark = spark
-        self.path = path.rstrip("/")
         self.key = key
         self.schema = schema
-        self._files = SharedFiles(spark, self.path)
+        self._files = SharedFiles(spark, path)
+        self.path = self._files.qualified(path.rstrip("/"))
+        self._buckets = buckets
 
     # ---- commits -------------------------------------------------------------------------
 
@@ -79,6 +89,7 @@ class VersionedTable:
             "version": version,
             "committed": datetime.now().isoformat(),
             "base": None,
+            "buckets": None,
             "base_rows": 0,
             "change_sets": [],
             "changed_rows": 0,
@@ -99,14 +110,45 @@ class VersionedTable:
         record = self.record(version) if version != 0 else None
         if record is None or record["base"] is None:
             return self.spark.createDataFrame([], self.schema)
-        base = self.spark.read.schema(self.schema).parquet(f"{self.path}/{record['base']}")
+        base = self._read_base(record)
         if not record["change_sets"]:
             return base
         small = record["changed_rows"] <= K.BROADCAST_ROWS
+        return apply_change_set(base, self._newest(record).drop(PRE), self.key, small)
+
+    def _newest(self, record: dict) -> DataFrame:
         images = self._change_sets(record["change_sets"])
-        if len(record["change_sets"]) > 1:
-            images = newest_images(images, self.key)
-        return apply_change_set(base, images.drop(PRE), self.key, small)
+        return newest_images(images, self.key) if len(record["change_sets"]) > 1 else images
+
+    def _base_name(self, target: str) -> str:
+        return "tidemark_" + hashlib.md5(f"{self.path}/{target}".encode()).hexdigest()
+
+    def _read_base(self, record: dict) -> DataFrame:
+        name = self._base_name(record["base"])
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {record['buckets']} BUCKETS "
+                f"LOCATION '{self.path}/{record['base']}'"
+            )
+        return self.spark.table(name).select(*self.schema.names)
+
+    def _write_base(self, rows: DataFrame, target: str, clustered: bool) -> int:
+        """Write bucketed rows. `clustered` rows are already spread by key and keep their tasks."""
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = self._buckets or partitions
+        if not clustered or partitions % buckets:
+            rows = rows.repartition(buckets, self.key)
+        (
+            rows.write.mode("overwrite")
+            .format("parquet")
+            .bucketBy(buckets, self.key)
+            .sortBy(self.key)
+            .option("path", f"{self.path}/{target}")
+            .saveAsTable(self._base_name(target))
+        )
+        return buckets
 
     def is_empty(self) -> bool:
         record = self.record()
@@ -139,14 +181,39 @@ class VersionedTable:
 
     # ---- writing -------------------------------------------------------------------------
 
-    def commit(self, changes: DataFrame, token: tuple[str, int] | None = None, meta: dict | None = None) -> dict:
-        """Write a change set as the next version. An empty one adds no version."""
+    def stage(self, rows: DataFrame) -> tuple[DataFrame, int]:
+        """Rows of a batch written next to the table and read back, with their number.
+
+        Whatever is done with them next then starts from files: nothing before is computed twice,
+        and a lost executor costs a file read. The next batch replaces them.
+        """
+        rows.write.mode("overwrite").parquet(f"{self.path}/staging")
+        staged = self.spark.read.schema(rows.schema).parquet(f"{self.path}/staging")
+        return staged, staged.count()
+
+    def commit(
+        self,
+        changes: DataFrame,
+        token: tuple[str, int] | None = None,
+        meta: dict | None = None,
+        clustered: bool = False,
+    ) -> dict:
+        """Write a change set as the next version. An empty one adds no version.
+
+        The first change set of an empty table holds every row: it is written as the base.
+        `clustered` says its rows come from a shuffle by key.
+        """
         head = self.record()
         version = (head["version"] if head else 0) + 1
         target = f"changes/v={version}"
         names = [f.name for f in change_schema(self.schema).fields]
         rows = changes.withColumn(VERSION, F.lit(version).cast("long")).select(*names)
-        rows.write.mode("overwrite").parquet(f"{self.path}/{target}")
+        first = head is None or head["base"] is None
+        buckets = head["buckets"] if head else None
+        if first:
+            buckets = self._write_base(rows, target, clustered)
+        else:
+            rows.write.mode("overwrite").parquet(f"{self.path}/{target}")
 
         # Counted from the written files: exact whatever was retried while writing.
         written = self._change_sets([version]).groupBy(CHANGE_TYPE).count().collect()
@@ -160,14 +227,14 @@ class VersionedTable:
         if token is not None:
             tokens[token[0]] = token[1]
         values = {"counts": counts, "tokens": tokens, "meta": merged_meta}
-        if head is None or head["base"] is None:
-            # The first change set of an empty table holds every row: it is the base.
+        if first:
             base = target if changed else None
-            values |= {"base": base, "base_rows": changed, "rows": changed}
+            values |= {"base": base, "base_rows": changed, "rows": changed, "buckets": buckets}
         else:
             new_sets = [version] if changed else []
             values |= {
                 "base": head["base"],
+                "buckets": buckets,
                 "base_rows": head["base_rows"],
                 "change_sets": head["change_sets"] + new_sets,
                 "changed_rows": head["changed_rows"] + changed,
@@ -190,19 +257,25 @@ class VersionedTable:
             return head
         version = head["version"] + 1
         target = f"base/v={version}"
-        self.read().write.mode("overwrite").parquet(f"{self.path}/{target}")
-        return self._publish(version, base=target, base_rows=head["rows"])
+        # Only the changes are moved; the rows of the old base stay in the tasks that read them.
+        images = self._newest(head).drop(PRE).repartition(head["buckets"], self.key)
+        small = head["changed_rows"] <= K.BROADCAST_ROWS
+        rows = apply_change_set(self._read_base(head), images, self.key, small)
+        buckets = self._write_base(rows, target, clustered=True)
+        record = self._publish(version, base=target, base_rows=head["rows"], buckets=buckets)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._base_name(head['base'])}")
+        return record
 
     def replace(self, rows: DataFrame, meta: dict | None = None) -> dict:
         """A new version that holds exactly `rows`, without a change set."""
         head = self.record()
         version = self.version() + 1
         target = f"base/v={version}"
-        rows.write.mode("overwrite").parquet(f"{self.path}/{target}")
+        buckets = self._write_base(rows, target, clustered=False)
         written = self.spark.read.schema(self.schema).parquet(f"{self.path}/{target}").count()
         merged = {**(head["meta"] if head else {}), **(meta or {})}
         return self._publish(
-            version, base=target, base_rows=written, rows=written, meta=merged, cut=True
+            version, base=target, base_rows=written, rows=written, meta=merged, buckets=buckets, cut=True
         )
 
     def truncate(self) -> dict:

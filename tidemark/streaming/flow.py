@@ -72,17 +72,15 @@ class Flow:
         # The written batch is the input of every step below, so no step reads the source again.
         batch.write.mode("overwrite").parquet(self._raw_path(spec))
         raw = self.raw(spec)
-        rows = raw.count()
         self._audit(spec, raw, token)
 
         newest = newest_changes(typed(raw, spec, self.policy, self.run_ts), spec)
-        current = None if table.is_empty() else table.read()
-        small = current is not None and rows <= K.BROADCAST_ROWS
-        if small:
-            newest = newest.persist(StorageLevel.MEMORY_AND_DISK)
-        record = table.commit(change_set(current, newest, spec, self.policy.guard, small), token)
-        if small:
-            newest.unpersist()
+        if table.is_empty():
+            record = table.commit(change_set(None, newest, spec), token, clustered=True)
+        else:
+            staged, rows = table.stage(newest)
+            lookup = "broadcast" if rows <= K.BROADCAST_ROWS else "pick"
+            record = table.commit(change_set(table.read(), staged, spec, self.policy.guard, lookup), token)
         if table.needs_compaction():
             table.compact()
         self._clear_raw(spec)
@@ -104,11 +102,12 @@ class Flow:
     def _audit(self, spec: EntitySpec, raw: DataFrame, token: tuple[str, int] | None) -> None:
         # Named by the batch: a batch delivered again replaces its own audit rows.
         batch = "-".join(map(str, token)) if token else uuid.uuid4().hex
-        audit = quality.load_audit(raw, spec)
-        audit.write.mode("overwrite").parquet(f"{self.root}/util/load_audit/{spec.name}/batch={batch}")
-        if self.policy.quarantine:
-            _, rejected = split_rejects(raw, spec)
-            rejected.write.mode("overwrite").parquet(f"{self.root}/util/quarantine/{spec.name}/batch={batch}")
+        path = f"{self.root}/util/load_audit/{spec.name}/batch={batch}"
+        quality.load_audit(raw, spec, self.policy).write.mode("overwrite").parquet(path)
+        if self.spark.read.parquet(path).filter("ROWS_REJECTED > 0").isEmpty():
+            return
+        _, rejected = split_rejects(raw, spec, self.policy)
+        rejected.write.mode("overwrite").parquet(f"{self.root}/util/quarantine/{spec.name}/batch={batch}")
 
     def load(self, prefix: str) -> None:
         """Apply all files below a landing prefix, whether read before or not, as one batch each."""
@@ -308,4 +307,7 @@ class Flow:
 
     def quarantine(self, spec: EntitySpec) -> DataFrame:
         schema = spec.raw_schema.add("REJECT_REASON", "string")
-        return self.spark.read.schema(schema).parquet(f"{self.root}/util/quarantine/{spec.name}/*")
+        folder = f"{self.root}/util/quarantine/{spec.name}"
+        if not self._files.exists(folder):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{folder}/*")
