@@ -27,6 +27,9 @@ class SharedFiles:
             return []
         return [s.getPath().getName() for s in self._fs.listStatus(self._path(path))]
 
+    def remove(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark import StorageLevel
@@ -29,7 +30,8 @@ from tidemark.sources.landing import read_landing, stream_landing
 from tidemark.specs import ENTITIES, FACT_KEY, FACT_SCHEMA, SAFE, EntitySpec, Policy
 from tidemark.state.files import SharedFiles
 from tidemark.state.table import VersionedTable
-from tidemark.functions.scalars import as_timestamp
+
+LOG_SCHEMA = "LOG_TS timestamp_ntz, STEP string, TARGET string, ROWS_AFFECTED long, NOTE string"
 
 
 class Flow:
@@ -74,6 +76,16 @@ class Flow:
         raw = self.raw(spec)
         self._audit(spec, raw, token)
 
+        record = self.merge_batch(spec, raw, token)
+        self._clear_raw(spec)
+        counts = record["counts"]
+        merged = counts["insert"] + counts["update"]
+        self._log("RAW->SILVER", f"SILVER.{spec.name.upper()}", merged, "raw truncated")
+        return record
+
+    def merge_batch(self, spec: EntitySpec, raw: DataFrame, token: tuple[str, int] | None = None) -> dict:
+        """Merge raw rows into the silver table: newest change per key, then one commit."""
+        table = self.silver[spec.name]
         newest = newest_changes(typed(raw, spec, self.policy, self.run_ts), spec)
         if table.is_empty():
             record = table.commit(change_set(None, newest, spec), token, clustered=True)
@@ -83,21 +95,19 @@ class Flow:
             record = table.commit(change_set(table.read(), staged, spec, self.policy.guard, lookup), token)
         if table.needs_compaction():
             table.compact()
-        self._clear_raw(spec)
-        counts = record["counts"]
-        merged = counts["insert"] + counts["update"]
-        self._log("RAW->SILVER", f"SILVER.{spec.name.upper()}", merged, "raw truncated")
         return record
 
     def raw(self, spec: EntitySpec) -> DataFrame:
+        """The batch being applied; empty in between."""
+        if not self._files.exists(self._raw_path(spec)):
+            return self.spark.createDataFrame([], spec.raw_schema)
         return self.spark.read.schema(spec.raw_schema).parquet(self._raw_path(spec))
 
     def _raw_path(self, spec: EntitySpec) -> str:
         return f"{self.root}/raw/{spec.name}"
 
     def _clear_raw(self, spec: EntitySpec) -> None:
-        empty = self.spark.createDataFrame([], spec.raw_schema)
-        empty.write.mode("overwrite").parquet(self._raw_path(spec))
+        self._files.remove(self._raw_path(spec))
 
     def _audit(self, spec: EntitySpec, raw: DataFrame, token: tuple[str, int] | None) -> None:
         # Named by the batch: a batch delivered again replaces its own audit rows.
@@ -111,9 +121,21 @@ class Flow:
 
     def load(self, prefix: str) -> None:
         """Apply all files below a landing prefix, whether read before or not, as one batch each."""
-        for spec in self.entities:
-            files = read_landing(self.spark, self.landing, spec, prefix, self.fmt, self.run_ts)
-            self.apply_batch(spec, files)
+        landing = {
+            e: read_landing(self.spark, self.landing, e, prefix, self.fmt, self.run_ts) for e in self.entities
+        }
+        self._side_by_side(self.apply_batch, landing)
+
+    def merge_all(self, batches: dict[EntitySpec, DataFrame]) -> None:
+        """Merge one batch per feed, given as raw rows of any origin."""
+        self._side_by_side(self.merge_batch, batches)
+
+    @staticmethod
+    def _side_by_side(step, batches: dict[EntitySpec, DataFrame]) -> None:
+        """The feeds share no table, so their Spark jobs may run at the same time."""
+        with ThreadPoolExecutor(len(batches)) as pool:
+            for done in [pool.submit(step, spec, rows) for spec, rows in batches.items()]:
+                done.result()
 
     # ---- silver -> gold ------------------------------------------------------------------
 
@@ -286,20 +308,20 @@ class Flow:
     # ---- log -----------------------------------------------------------------------------
 
     def _log(self, step: str, target: str, rows: int, note: str) -> None:
-        line = self.spark.range(1).select(
-            as_timestamp(self.run_ts).alias("LOG_TS"),
-            F.lit(step).alias("STEP"),
-            F.lit(target).alias("TARGET"),
-            F.lit(rows).cast("long").alias("ROWS_AFFECTED"),
-            F.lit(note).alias("NOTE"),
-        )
-        line.coalesce(1).write.mode("append").parquet(self._log_path())
+        line = {
+            "LOG_TS": (self.run_ts or datetime.now()).isoformat(sep=" "),
+            "STEP": step,
+            "TARGET": target,
+            "ROWS_AFFECTED": rows,
+            "NOTE": note,
+        }
+        self._files.publish_text(f"{self._log_path()}/{uuid.uuid4().hex}.json", json.dumps(line))
 
     def _log_path(self) -> str:
         return f"{self.root}/util/pipeline_log/{self._generation()}"
 
     def run_log(self) -> DataFrame:
-        return self.spark.read.parquet(self._log_path())
+        return self.spark.read.schema(LOG_SCHEMA).json(self._log_path(), pathGlobFilter="*.json")
 
     def load_audit(self) -> DataFrame:
         folders = [f"{self.root}/util/load_audit/{e.name}" for e in self.entities]

@@ -13,6 +13,8 @@ reservation  one change per line, keyed by order and line status, so an order ma
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -176,14 +178,19 @@ def newest(spark: SparkSession, sf_dir: str, spec: EntitySpec, *batches: int, po
     return newest_changes(typed(rows, spec, policy, try_timestamp(F.col(K.CHANGE_TS))), spec)
 
 
-def stepwise(spark: SparkSession, sf_dir: str, spec: EntitySpec, *batches: int, policy: Policy = SAFE) -> DataFrame:
+def stepwise(spark: SparkSession, sf_dir: str, spec: EntitySpec, *batches: int, guard: bool = True) -> DataFrame:
     """The state after applying the batches one after the other."""
     state = None
     for batch in batches:
-        state = upsert(state, newest(spark, sf_dir, spec, batch, policy=policy), spec, policy.guard)
+        state = upsert(state, newest(spark, sf_dir, spec, batch), spec, guard)
     return state
 
 
+def raw_batches(spark: SparkSession, sf_dir: str, batch: int) -> dict[EntitySpec, DataFrame]:
+    """One batch of every feed, as it would lie in raw."""
+    return {e: feed(spark, sf_dir, e, batch).select(*e.raw_schema.names) for e in ENTITIES}
+
+
 def silver(spark: SparkSession, sf_dir: str, *batches: int) -> dict[str, DataFrame]:
     """All three states. With the guard, batches in any order end in the newest change per key."""
     return {e.name: newest(spark, sf_dir, e, *batches) for e in ENTITIES}
@@ -191,9 +198,12 @@ def silver(spark: SparkSession, sf_dir: str, *batches: int) -> dict[str, DataFra
 
 def write_landing(spark: SparkSession, sf_dir: str, landing: str, *batches: int) -> None:
     """The feeds as CSV landing files, one directory per batch and entity."""
-    for spec in ENTITIES:
-        rows = FEEDS[spec.name](spark, sf_dir)
-        for batch in batches:
-            part = rows.filter(F.col(BATCH) == batch).select(*spec.file_columns)
-            target = f"{landing}/{PREFIXES[batch]}/{spec.name}"
-            part.write.options(header="true", escape='"').csv(target)
+
+    def write(spec: EntitySpec, batch: int) -> None:
+        rows = feed(spark, sf_dir, spec, batch).select(*spec.file_columns)
+        rows.write.options(header="true", escape='"').csv(f"{landing}/{PREFIXES[batch]}/{spec.name}")
+
+    targets = [(spec, batch) for spec in ENTITIES for batch in batches]
+    with ThreadPoolExecutor(len(targets)) as pool:
+        for done in [pool.submit(write, *target) for target in targets]:
+            done.result()

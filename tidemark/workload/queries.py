@@ -86,8 +86,8 @@ def cdc_soft_delete(spark, sf_dir):
 
 
 def cdc_out_of_order(spark, sf_dir):
-    def state(policy, label):
-        s = feeds.stepwise(spark, sf_dir, BOOKING, FULL, DELTA, LATE, policy=policy)
+    def state(guard, label):
+        s = feeds.stepwise(spark, sf_dir, BOOKING, FULL, DELTA, LATE, guard=guard)
         return s.select(
             "BOOKING_ID",
             F.col("BOOKING_STATUS").alias(f"{label}_STATUS"),
@@ -95,8 +95,8 @@ def cdc_out_of_order(spark, sf_dir):
             F.col("CHANGE_SEQ").alias(f"{label}_SEQ"),
         )
 
-    guarded = state(feeds.SAFE, "GUARDED")
-    delivered = state(AS_DELIVERED, "DELIVERED")
+    guarded = state(True, "GUARDED")
+    delivered = state(False, "DELIVERED")
     return present(guarded.join(delivered, "BOOKING_ID", "full"))
 
 
@@ -120,9 +120,9 @@ def cdc_events_state(spark, sf_dir):
     return latest_per_key(_event_changes(spark, sf_dir), "USER_ID", "EVENT_ID")
 
 
-def _delta_changes(spark, sf_dir, spec, policy=feeds.SAFE):
-    before = feeds.newest(spark, sf_dir, spec, FULL, policy=policy)
-    return C.change_set(before, feeds.newest(spark, sf_dir, spec, DELTA, policy=policy), spec, policy.guard)
+def _delta_changes(spark, sf_dir, spec):
+    before, batch = feeds.newest(spark, sf_dir, spec, FULL), feeds.newest(spark, sf_dir, spec, DELTA)
+    return C.change_set(before, batch, spec)
 
 
 def silver_changes(spark, sf_dir):
@@ -170,20 +170,12 @@ def gold_rebuild(spark, sf_dir):
 
 
 def _incremental(spark, sf_dir, policy):
-    """Fact of the full load, then refreshed for the keys the delta changed."""
-    before = {e.name: feeds.newest(spark, sf_dir, e, FULL, policy=policy) for e in ENTITIES}
-    sets = {
-        e.name: C.change_set(before[e.name], feeds.newest(spark, sf_dir, e, DELTA, policy=policy), e, policy.guard)
-        for e in ENTITIES
-    }
-    after = {e.name: feeds.stepwise(spark, sf_dir, e, FULL, DELTA, policy=policy) for e in ENTITIES}
-    stamp = F.col(K.UPDATED_AT)
-    fact = gold.booking_fact(before["booking"], before["reservation"], before["claim"], run_ts=stamp)
-    keys = C.changed_keys(sets, policy.all_sources)
-    live = gold.booking_fact(after["booking"], after["reservation"], after["claim"], keys, run_ts=stamp)
-    if policy.all_sources:
-        return gold.merge_fact(fact, live, keys)
-    return gold.merge_fact_as_delivered(fact, live, after["booking"])
+    """Fact of the full load, then refreshed for the keys the delta changed, over stored tables."""
+    flow = Flow(spark, work_dir(spark, "incremental"), "", policy, run_ts=RUN_TS)
+    for batch in (FULL, DELTA):
+        flow.merge_all(feeds.raw_batches(spark, sf_dir, batch))
+        flow.refresh_gold()
+    return flow.fact.read().drop(K.LOAD_TS)
 
 
 def gold_incremental(spark, sf_dir):
