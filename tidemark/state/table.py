@@ -278,9 +278,9 @@ class VersionedTable:
             version, base=target, base_rows=written, rows=written, meta=merged, buckets=buckets, cut=True
         )
 
-    def truncate(self) -> dict:
+    def truncate(self, meta: dict | None = None) -> dict:
         """An empty version. Earlier versions stay readable."""
-        return self._publish(self.version() + 1, rows=0, tokens={}, meta={}, cut=True)
+        return self._publish(self.version() + 1, rows=0, tokens={}, meta=meta or {}, cut=True)
 
     def restore(self, version: int) -> dict:
         """A new version with the rows of an earlier one, recorded as an ordinary change set.

@@ -293,7 +293,7 @@ class Flow:
         for spec in self.entities:
             self._clear_raw(spec)
             self.silver[spec.name].truncate()
-        self.fact.truncate()
+        self.fact.truncate({"offsets": {name: table.version() for name, table in self.silver.items()}})
         self._files.publish_text(f"{self.root}/util/resets/{self._generation() + 1}", "")
 
     def replay(self, full_prefix: str = "fullload", delta_prefix: str = "cdc") -> DataFrame:
