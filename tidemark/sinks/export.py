@@ -27,6 +27,8 @@ def export_csv(fact: DataFrame, path: str, max_records: int | None = None, run_i
         .write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", max_records or rows_per_file())
         .csv(target)

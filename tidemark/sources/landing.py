@@ -95,5 +95,8 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_export(spark: SparkSession, path: str, schema) -> DataFrame:
-    """An exported CSV directory, read back by position with the given types."""
-    return spark.read.schema(schema).options(header="true", escape='"').csv(path)
+    """An exported CSV directory, read back by position with the given types.
+
+    The unused null token keeps a quoted empty text apart from a missing value.
+    """
+    return spark.read.schema(schema).options(header="true", escape='"', nullValue="\0", emptyValue="").csv(path)
