@@ -45,7 +45,7 @@ def below_first_join(chain: list[str]) -> list[str]:
 
 @pytest.fixture(scope="module")
 def table(spark, tmp_path_factory):
-    t = VersionedTable(spark, str(tmp_path_factory.mktemp("plan") / "t"), BOOKING.key, BOOKING.state_schema)
+    t = VersionedTable(spark, str(tmp_path_factory.mktemp("plan") / "t"), BOOKING.key, BOOKING.state_schema, buckets=4)
     t.commit(C.change_set(None, feeds.newest(spark, SF, BOOKING, feeds.FULL), BOOKING), clustered=True)
     for batch in (feeds.DELTA, feeds.LATE):
         staged, _ = t.stage(feeds.newest(spark, SF, BOOKING, batch))

@@ -39,13 +39,14 @@ KINDS = ("insert", "update", "delete")
 # Fold the change sets into a new base when there are this many, or when they hold this share of it.
 MAX_CHANGE_SETS = 24
 MAX_CHANGED_SHARE = 0.25
+BUCKET_BYTES = 128 * 1024 * 1024
 
 
 class VersionedTable:
     def __init__(
         self, spark: SparkSession, path: str, key: str, schema: T.StructType, buckets: int | None = None
     ):
-        """`buckets` of the next base; by default the session's number of shuffle partitions."""
+        """`buckets` of the base; by default as its estimated size asks, up to the shuffle partitions."""
         self.spark = spark
         self.key = key
         self.schema = schema
@@ -134,11 +135,22 @@ class VersionedTable:
             )
         return self.spark.table(name).select(*self.schema.names)
 
-    def _write_base(self, rows: DataFrame, target: str, clustered: bool) -> int:
-        """Write bucketed rows. `clustered` rows are already spread by key and keep their tasks."""
-        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets = self._buckets or partitions
-        if not clustered or partitions % buckets:
+    def _bucket_count(self, rows: DataFrame) -> int:
+        """As asked for, else by the estimated size: a divisor of the shuffle partitions, so that
+        rows shuffled by key already lie in tasks that write whole buckets."""
+        if self._buckets:
+            return self._buckets
+        partitions = self._shuffle_partitions()
+        estimate = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        wanted = int(str(estimate)) // BUCKET_BYTES + 1
+        return next((n for n in range(1, partitions) if partitions % n == 0 and n >= wanted), partitions)
+
+    def _shuffle_partitions(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _write_base(self, rows: DataFrame, target: str, buckets: int, spread: bool) -> None:
+        """Write bucketed rows, after a shuffle to the buckets if they still need to be spread."""
+        if spread:
             rows = rows.repartition(buckets, self.key)
         (
             rows.write.mode("overwrite")
@@ -148,7 +160,6 @@ class VersionedTable:
             .option("path", f"{self.path}/{target}")
             .saveAsTable(self._base_name(target))
         )
-        return buckets
 
     def is_empty(self) -> bool:
         record = self.record()
@@ -211,7 +222,9 @@ class VersionedTable:
         first = head is None or head["base"] is None
         buckets = head["buckets"] if head else None
         if first:
-            buckets = self._write_base(rows, target, clustered)
+            buckets = self._bucket_count(rows)
+            spread = not clustered or self._shuffle_partitions() % buckets > 0
+            self._write_base(rows, target, buckets, spread)
         else:
             rows.write.mode("overwrite").parquet(f"{self.path}/{target}")
 
@@ -257,11 +270,16 @@ class VersionedTable:
             return head
         version = head["version"] + 1
         target = f"base/v={version}"
-        # Only the changes are moved; the rows of the old base stay in the tasks that read them.
-        images = self._newest(head).drop(PRE).repartition(head["buckets"], self.key)
+        # Only the changes are moved; the rows of the old base stay in the tasks that read them,
+        # unless the table has outgrown its buckets.
+        buckets = head["buckets"]
+        images = self._newest(head).drop(PRE).repartition(buckets, self.key)
         small = head["changed_rows"] <= K.BROADCAST_ROWS
         rows = apply_change_set(self._read_base(head), images, self.key, small)
-        buckets = self._write_base(rows, target, clustered=True)
+        outgrown = self._bucket_count(rows) > 2 * buckets
+        if outgrown:
+            buckets = self._bucket_count(rows)
+        self._write_base(rows, target, buckets, spread=outgrown)
         record = self._publish(version, base=target, base_rows=head["rows"], buckets=buckets)
         self.spark.sql(f"DROP TABLE IF EXISTS {self._base_name(head['base'])}")
         return record
@@ -271,7 +289,8 @@ class VersionedTable:
         head = self.record()
         version = self.version() + 1
         target = f"base/v={version}"
-        buckets = self._write_base(rows, target, clustered=False)
+        buckets = self._bucket_count(rows)
+        self._write_base(rows, target, buckets, spread=True)
         written = self.spark.read.schema(self.schema).parquet(f"{self.path}/{target}").count()
         merged = {**(head["meta"] if head else {}), **(meta or {})}
         return self._publish(
