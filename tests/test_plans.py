@@ -94,6 +94,13 @@ def test_large_key_set_reads_the_fact_in_place(spark, table, no_broadcast):
     assert not any("Exchange" in op for chain in base_chains(table, df) for op in chain)
 
 
+def test_changed_keys_read_only_keys(spark, table):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = plan_of(C.changed_keys({"booking": table.changes(after=1)}))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "ReadSchema: struct<BOOKING_ID:string,_pre:struct<BOOKING_ID:string>>" in plan
+
+
 def test_latest_keeps_one_row_per_key_before_the_shuffle(spark):
     plan = plan_of(feeds.newest(spark, SF, CLAIM))
     assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")

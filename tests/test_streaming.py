@@ -165,3 +165,29 @@ def test_continuous_run(spark, tmp_path, landing):
     finally:
         for q in queries:
             q.stop()
+
+
+def test_feeds_without_files(spark, tmp_path, landing):
+    sample_feed.land(landing, "fullload", {"booking": sample_feed.FULL_BOOKING})
+    flow = flow_on(spark, tmp_path, landing)
+    flow.run_available()
+    assert flow.fact.record()["rows"] == 9 and flow.silver["claim"].is_empty()
+    again = Flow(spark, str(tmp_path / "other"), str(landing))
+    again.load("fullload")
+    again.refresh_gold()
+    assert again.fact.record()["rows"] == 9
+
+
+def test_broken_off_before_the_export(spark, tmp_path, landing, monkeypatch):
+    sample_feed.land(landing, "fullload", sample_feed.FULL)
+    flow = flow_on(spark, tmp_path, landing)
+    with monkeypatch.context() as broken:
+        def crash():
+            raise OSError("lost the driver")
+
+        broken.setattr(flow, "export", crash)
+        with pytest.raises(OSError):
+            flow.run_available()
+    assert flow.needs_export()
+    assert flow.run_available() is None  # no new data, but the export is made up for
+    assert not flow.needs_export() and list((tmp_path / "root/outbound/booking_fact").glob("*.csv.gz"))

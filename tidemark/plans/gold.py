@@ -9,7 +9,7 @@ from tidemark import constants as K
 from tidemark.functions.scalars import as_timestamp, percentage
 from tidemark.operators.changes import CHANGE_TYPE, PRE
 from tidemark.operators.latest import latest_per_key
-from tidemark.specs import FACT_KEY, FACT_SCHEMA, MONEY
+from tidemark.specs import FACT_KEY, FACT_SCHEMA, MONEY_TOTAL
 
 DAILY_ROUTE_KEYS = ["BOOKING_DATE", "ROUTE", "CHANNEL"]
 
@@ -91,8 +91,8 @@ def booking_fact(
         "BOOKING_DATE": F.to_date("BOOKING_TS"),
         "CHECKED_IN": checked_in,
         "CLAIM_COUNT": F.coalesce("CLAIM_COUNT", F.lit(0)),
-        "CLAIM_AMOUNT": F.coalesce("CLAIM_AMOUNT", F.lit(0)).cast(MONEY),
-        "NET_REVENUE": (fare - F.coalesce("SETTLED_AMOUNT", F.lit(0))).cast(MONEY),
+        "CLAIM_AMOUNT": F.coalesce("CLAIM_AMOUNT", F.lit(0)).cast(MONEY_TOTAL),
+        "NET_REVENUE": (fare - F.coalesce("SETTLED_AMOUNT", F.lit(0))).cast(MONEY_TOTAL),
         "REVENUE_BAND": revenue_band(fare),
         "IS_AT_RISK": (open_claims > 0) | ~checked_in,
         "LOAD_TS": as_timestamp(run_ts),

@@ -39,9 +39,11 @@ def read_landing(
     path_pattern: str | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """All files of an entity, whether read before or not."""
-    reader = _prepared(spark.read, spec, fmt, multi_line)
-    rows = reader.load(entity_glob(landing, spec, prefix))
+    """All files of an entity, whether read before or not; no rows if there are none."""
+    glob = entity_glob(landing, spec, prefix)
+    if not SharedFiles(spark, landing).matches(glob):
+        return spark.createDataFrame([], spec.raw_schema)
+    rows = _prepared(spark.read, spec, fmt, multi_line).load(glob)
     return _raw_rows(rows, spark, landing, spec, load_ts, path_pattern)
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from tidemark import constants as K
 
 MONEY = T.DecimalType(12, 2)
+# Wider than one amount: a booking with very many claims must not overflow.
+MONEY_TOTAL = T.DecimalType(24, 2)
 SEQUENCE = T.DecimalType(38, 0)
 
 # Column kind -> type in silver. How a kind is read from text: functions/scalars.py.
@@ -155,8 +157,8 @@ FACT_SCHEMA = T.StructType(
         T.StructField("CHECKED_IN", T.BooleanType()),
         T.StructField("FARE_AMOUNT", MONEY),
         T.StructField("CLAIM_COUNT", T.LongType()),
-        T.StructField("CLAIM_AMOUNT", MONEY),
-        T.StructField("NET_REVENUE", MONEY),
+        T.StructField("CLAIM_AMOUNT", MONEY_TOTAL),
+        T.StructField("NET_REVENUE", MONEY_TOTAL),
         T.StructField("REVENUE_BAND", T.StringType()),
         T.StructField("IS_AT_RISK", T.BooleanType()),
         T.StructField("LOAD_TS", T.TimestampNTZType()),

@@ -19,6 +19,9 @@ class SharedFiles:
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
+    def matches(self, glob: str) -> bool:
+        return len(self._fs.globStatus(self._path(glob)) or []) > 0
+
     def qualified(self, path: str) -> str:
         return self._fs.makeQualified(self._path(path)).toString()
 

@@ -60,7 +60,7 @@ class Flow:
         }
         self.fact = VersionedTable(spark, f"{self.root}/gold/booking_fact", FACT_KEY, FACT_SCHEMA)
         self._files = SharedFiles(spark, self.root)
-        self._gold_lock = threading.Lock()
+        self._gold_lock = threading.RLock()
 
     # ---- raw -> silver -------------------------------------------------------------------
 
@@ -212,8 +212,14 @@ class Flow:
         record = self.fact.record()
         path = export_csv(self.fact.read(), f"{self.root}/outbound/booking_fact")
         self._log("GOLD->OUTBOUND", "booking_fact", record["rows"] if record else 0, "unload ok")
+        self._files.publish_text(f"{self.root}/util/exports/{uuid.uuid4().hex}-{self.fact.version()}", path)
         return path
 
+    def needs_export(self) -> bool:
+        """Whether the fact is newer than its last export, also after a run that broke off between."""
+        exported = [int(n.rsplit("-", 1)[1]) for n in self._files.names(f"{self.root}/util/exports") if "." not in n]
+        return max(exported, default=0) < self.fact.version()
+
     def run_quality(self) -> DataFrame:
         """Run the rules, append their results, return this run's rows."""
         results = quality.run_rules(self.tables(), quality.PIPELINE_RULES, self.run_ts or datetime.now())
@@ -243,7 +249,7 @@ class Flow:
         """Everything new, once: ingest the three feeds, refresh gold, export, check."""
         self.ingest_available()
         record = self.refresh_gold()
-        if record is not None:
+        if self.needs_export():
             self.export()
             self.run_quality()
         return record
@@ -258,8 +264,10 @@ class Flow:
         """One running query per feed; each batch that reaches silver refreshes gold and the export."""
 
         def downstream() -> None:
-            if self.refresh_gold() is not None:
-                self.export()
+            with self._gold_lock:
+                self.refresh_gold()
+                if self.needs_export():
+                    self.export()
 
         return [self._start_one(e, {"processingTime": interval}, downstream) for e in self.entities]
 

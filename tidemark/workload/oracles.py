@@ -147,8 +147,8 @@ def fact(name: str = "fact", prefix: str = "") -> str:
     CAST(b.BOOKING_TS AS DATE) AS BOOKING_DATE, b.BOOKING_STATUS, b.CHANNEL, s.CABIN_CLASS,
     coalesce(s.CHECKED_IN, FALSE) AS CHECKED_IN, b.FARE_AMOUNT,
     coalesce(r.CLAIM_COUNT, 0) AS CLAIM_COUNT,
-    CAST(coalesce(r.CLAIM_AMOUNT, 0) AS DECIMAL(12,2)) AS CLAIM_AMOUNT,
-    CAST(b.FARE_AMOUNT - coalesce(r.SETTLED_AMOUNT, 0) AS DECIMAL(12,2)) AS NET_REVENUE,
+    CAST(coalesce(r.CLAIM_AMOUNT, 0) AS DECIMAL(24,2)) AS CLAIM_AMOUNT,
+    CAST(b.FARE_AMOUNT - coalesce(r.SETTLED_AMOUNT, 0) AS DECIMAL(24,2)) AS NET_REVENUE,
     CASE WHEN b.FARE_AMOUNT >= 1200 THEN 'HIGH' WHEN b.FARE_AMOUNT >= 900 THEN 'MEDIUM' ELSE 'LOW' END
       AS REVENUE_BAND,
     coalesce(r.OPEN_CLAIMS, 0) > 0 OR NOT coalesce(s.CHECKED_IN, FALSE) AS IS_AT_RISK,
