@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests import sample_feed
 from tidemark.operators.changes import change_rows
-from tidemark.plans import gold
+from tidemark.plans import gold, quality
 from tidemark.specs import AS_DELIVERED, BOOKING, SAFE
 from tidemark.streaming.flow import Flow
 
@@ -158,3 +158,22 @@ def test_quality_passes(loaded):
     results = flow.run_quality().collect()
     assert len(results) == 6
     assert {(r.FAIL_COUNT, r.STATUS) for r in results} == {(0, "PASS")}
+    suite = flow.run_quality(quality.GOLD_RULES).collect()
+    assert len(suite) == 6 and {(r.FAIL_COUNT, r.STATUS) for r in suite} == {(0, "PASS")}
+    assert {r.STATUS for r in flow.freshness().collect()} == {"PASS"}
+
+
+def test_inspection(loaded):
+    """Sorted listings, key look-ups and the newest lines of the log."""
+    _, flow, _ = loaded
+    booking = flow.silver["booking"].read()
+    assert [r.BOOKING_ID for r in booking.orderBy("BOOKING_ID").limit(2).collect()] == ["BK1001", "BK1002"]
+    assert booking.filter(F.col("BOOKING_ID") == "BK1011").first().FARE_AMOUNT == D("910.00")
+    fact = flow.fact.read()
+    assert fact.filter(F.col("BOOKING_ID").isin("BK1002", "BK1005", "BK1007")).isEmpty()
+    layers = booking.filter("BOOKING_ID = 'BK1005'").select(F.lit("silver").alias("lyr"), F.col("IS_DELETED").cast("string").alias("v"))
+    layers = layers.unionByName(
+        fact.filter("BOOKING_ID = 'BK1005'").agg(F.count("*").cast("string").alias("v")).select(F.lit("gold").alias("lyr"), "v")
+    )
+    assert {tuple(r) for r in layers.collect()} == {("silver", "true"), ("gold", "0")}
+    assert len(flow.run_log().orderBy(F.desc("LOG_TS")).limit(3).collect()) == 3

@@ -48,6 +48,9 @@ def test_consumers_read_from_their_own_offset(spark, table, run_ts):
     assert {r.BOOKING_ID for r in table.changes(after=1).collect()} == {"k2", "k3"}
     assert {r.BOOKING_ID for r in table.changes(after=1, upto=2).collect()} == {"k2"}
     assert table.changes(after=3).isEmpty() and table.changed_rows(after=3) == 0
+    put(table, spark, run_ts, {"id": "k2", "seq": "9", "CHANNEL": "x"})
+    net = by_key(table.net_changes(after=1), "BOOKING_ID")
+    assert {k: (r._change_type, r.CHANNEL) for k, r in net.items()} == {"k2": ("insert", "x"), "k3": ("insert", "WEB")}
 
 
 def test_restore_is_an_ordinary_version(spark, table, run_ts):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,10 +82,10 @@ def _raw_rows(rows, spark, landing, spec, load_ts, path_pattern) -> DataFrame:
 
 
 def _below_root(path: Column, root: str) -> Column:
-    """File path below the landing root; `file:/x` and `file:///x` name the same root."""
-    scheme, _, rest = root.partition(":")
-    pattern = f"^{re.escape(scheme)}:/*{re.escape(rest.strip('/'))}/"
-    return F.regexp_replace(path, pattern, "")
+    """File path below the landing root, whatever the number of slashes after the scheme."""
+    folder = root.partition(":")[2].strip("/") + "/"
+    found = F.locate(folder, path)
+    return F.when(found > 0, F.substr(path, found + len(folder))).otherwise(path)
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:

@@ -16,6 +16,7 @@ in the session catalog, so each base is known there as an external table; droppi
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import json
 from datetime import datetime
@@ -31,6 +32,7 @@ from tidemark.operators.changes import (
     VERSION,
     apply_change_set,
     change_schema,
+    net_changes,
     newest_images,
 )
 from tidemark.state.files import SharedFiles
@@ -74,8 +76,9 @@ class VersionedTable:
 
     def version_at(self, moment: datetime) -> int:
         """The newest version committed at or before `moment`."""
-        stamp = moment.isoformat()
-        return max((v for v in self.versions() if self.record(v)["committed"] <= stamp), default=0)
+        known, stamp = self.versions(), moment.isoformat()
+        later = bisect.bisect_right(known, stamp, key=lambda v: self.record(v)["committed"])
+        return known[later - 1] if later else 0
 
     def seen(self, token: tuple[str, int] | None) -> bool:
         """Whether the batch `(feed id, batch id)` is already part of the table."""
@@ -181,6 +184,10 @@ class VersionedTable:
             return self.spark.createDataFrame([], change_schema(self.schema))
         return self._change_sets(versions)
 
+    def net_changes(self, after: int = 0, upto: int | None = None) -> DataFrame:
+        """The versions in (after, upto] folded into one change set."""
+        return net_changes(self.changes(after, upto), self.key)
+
     def changed_rows(self, after: int = 0, upto: int | None = None) -> int:
         """How many change rows lie in (after, upto], from the commit records."""
         return sum(sum(self.record(v)["counts"].values()) for v in self.change_versions(after, upto))
@@ -208,11 +215,13 @@ class VersionedTable:
         token: tuple[str, int] | None = None,
         meta: dict | None = None,
         clustered: bool = False,
+        buckets: int | None = None,
     ) -> dict:
         """Write a change set as the next version. An empty one adds no version.
 
         The first change set of an empty table holds every row: it is written as the base.
-        `clustered` says its rows come from a shuffle by key.
+        `clustered` says its rows come from a shuffle by key; `buckets` overrides the estimate,
+        which is far too high above a join.
         """
         head = self.record()
         version = (head["version"] if head else 0) + 1
@@ -220,9 +229,8 @@ class VersionedTable:
         names = [f.name for f in change_schema(self.schema).fields]
         rows = changes.withColumn(VERSION, F.lit(version).cast("long")).select(*names)
         first = head is None or head["base"] is None
-        buckets = head["buckets"] if head else None
         if first:
-            buckets = self._bucket_count(rows)
+            buckets = buckets or self._bucket_count(rows)
             spread = not clustered or self._shuffle_partitions() % buckets > 0
             self._write_base(rows, target, buckets, spread)
         else:
@@ -247,7 +255,7 @@ class VersionedTable:
             new_sets = [version] if changed else []
             values |= {
                 "base": head["base"],
-                "buckets": buckets,
+                "buckets": head["buckets"],
                 "base_rows": head["base_rows"],
                 "change_sets": head["change_sets"] + new_sets,
                 "changed_rows": head["changed_rows"] + changed,
@@ -284,12 +292,12 @@ class VersionedTable:
         self.spark.sql(f"DROP TABLE IF EXISTS {self._base_name(head['base'])}")
         return record
 
-    def replace(self, rows: DataFrame, meta: dict | None = None) -> dict:
+    def replace(self, rows: DataFrame, meta: dict | None = None, buckets: int | None = None) -> dict:
         """A new version that holds exactly `rows`, without a change set."""
         head = self.record()
         version = self.version() + 1
         target = f"base/v={version}"
-        buckets = self._bucket_count(rows)
+        buckets = buckets or self._bucket_count(rows)
         self._write_base(rows, target, buckets, spread=True)
         written = self.spark.read.schema(self.schema).parquet(f"{self.path}/{target}").count()
         merged = {**(head["meta"] if head else {}), **(meta or {})}

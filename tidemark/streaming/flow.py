@@ -164,7 +164,9 @@ class Flow:
                 changes = gold.fact_changes(fact, live, keys, small)
             else:
                 changes = gold.fact_changes_as_delivered(fact, live, booking)
-            record = self.fact.commit(changes, meta={"offsets": upto})
+            # a fact has at most one row per booking, so it takes the buckets of the bookings
+            buckets = self._booking_buckets()
+            record = self.fact.commit(changes, meta={"offsets": upto}, buckets=buckets)
             if small:
                 keys.unpersist()
             if self.fact.needs_compaction():
@@ -181,7 +183,7 @@ class Flow:
             upto = {name: table.version() for name, table in self.silver.items()}
             booking, reservation, claim = (self.silver[e.name].read(upto[e.name]) for e in self.entities)
             fact = gold.booking_fact(booking, reservation, claim, run_ts=self.run_ts)
-            record = self.fact.replace(fact, meta={"offsets": upto})
+            record = self.fact.replace(fact, {"offsets": upto}, self._booking_buckets())
             summary = gold.daily_route_summary(self.fact.read())
             summary.write.mode("overwrite").parquet(self._summary_path(record["version"]))
             self._log("SILVER->GOLD", "GOLD.BOOKING_FACT", record["rows"], "rebuilt")
@@ -197,6 +199,10 @@ class Flow:
     def _summary_path(self, version: int) -> str:
         return f"{self.root}/gold/daily_route_summary/v={version}"
 
+    def _booking_buckets(self) -> int | None:
+        record = self.silver["booking"].record()
+        return record["buckets"] if record else None
+
     def _offsets(self) -> dict[str, int]:
         head = self.fact.record()
         return (head["meta"].get("offsets") if head else None) or dict.fromkeys(self.silver, 0)
@@ -220,13 +226,19 @@ class Flow:
         exported = [int(n.rsplit("-", 1)[1]) for n in self._files.names(f"{self.root}/util/exports") if "." not in n]
         return max(exported, default=0) < self.fact.version()
 
-    def run_quality(self) -> DataFrame:
+    def run_quality(self, rules: list = quality.PIPELINE_RULES) -> DataFrame:
         """Run the rules, append their results, return this run's rows."""
-        results = quality.run_rules(self.tables(), quality.PIPELINE_RULES, self.run_ts or datetime.now())
+        results = quality.run_rules(self.tables(), rules, self.run_ts or datetime.now())
         path = f"{self.root}/util/dq_results/run={uuid.uuid4().hex}"
         results.coalesce(1).write.parquet(path)
         return self.spark.read.parquet(path)
 
+    def freshness(self) -> DataFrame:
+        """Lag of every silver table and of the fact."""
+        watched = {f"SILVER.{n.upper()}": (t.read(), K.UPDATED_AT) for n, t in self.silver.items()}
+        watched[quality.GOLD_FACT] = (self.fact.read(), K.LOAD_TS)
+        return quality.freshness(watched, self.run_ts or datetime.now())
+
     def quality_history(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/util/dq_results").drop("run")
 

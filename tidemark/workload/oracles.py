@@ -326,6 +326,17 @@ def silver_changes_sql() -> str:
     return query(select, change_ctes("booking"))
 
 
+def net_changes_sql() -> str:
+    return query(
+        "SELECT n.BOOKING_ID, CASE WHEN o.BOOKING_ID IS NULL THEN 'insert' ELSE 'update' END AS _change_type, "
+        "n.BOOKING_STATUS, CAST(n.FARE_AMOUNT AS DOUBLE) AS FARE_AMOUNT, CAST(n.seq AS VARCHAR) AS CHANGE_SEQ, "
+        "o.BOOKING_STATUS AS OLD_STATUS, CAST(o.FARE_AMOUNT AS DOUBLE) AS OLD_FARE "
+        "FROM newer n LEFT JOIN older o ON o.BOOKING_ID = n.BOOKING_ID",
+        state("older", "booking", "0"),
+        state("newer", "booking", "1, 2", first="batch DESC, "),
+    )
+
+
 def out_of_order_sql() -> str:
     return query(
         "SELECT g.BOOKING_ID, g.BOOKING_STATUS AS GUARDED_STATUS, CAST(g.FARE_AMOUNT AS DOUBLE) AS GUARDED_FARE, "
@@ -339,6 +350,7 @@ def out_of_order_sql() -> str:
 
 def incremental_sql() -> str:
     """Old fact rows of bookings without a booking change, new ones of the others, without dead bookings."""
+    diff = "booking_diff AS (SELECT DISTINCT BOOKING_ID FROM booking_typed WHERE batch = 1)"
     select = f"""
 SELECT {shown(FACT, without=("LOAD_TS",))} FROM (
   SELECT * FROM old_fact WHERE BOOKING_ID NOT IN (SELECT BOOKING_ID FROM booking_diff)
@@ -349,18 +361,7 @@ SELECT {shown(FACT, without=("LOAD_TS",))} FROM (
   WHERE f.BOOKING_ID IN (SELECT BOOKING_ID FROM booking_diff)
     AND f.BOOKING_ID NOT IN (SELECT BOOKING_ID FROM fact) AND NOT ({DEAD})
 ) m"""
-    return query(select, states(), fact(), states("0", "old_"), fact("old_fact", "old_"), _diff_only())
-
-
-def _diff_only() -> str:
-    return """
-booking_new AS (
-  SELECT BOOKING_ID, max(seq) AS seq FROM booking_typed WHERE batch = 1 GROUP BY BOOKING_ID
-),
-booking_diff AS (
-  SELECT n.BOOKING_ID FROM booking_new n LEFT JOIN old_booking o ON o.BOOKING_ID = n.BOOKING_ID
-  WHERE o.BOOKING_ID IS NULL OR n.seq IS NOT NULL
-)"""
+    return query(select, states(), fact(), states("0", "old_"), fact("old_fact", "old_"), "\n" + diff)
 
 
 def _fact_select(columns: str = FACT, **kw) -> str:
@@ -413,6 +414,7 @@ def oracles() -> dict[str, str]:
         "cdc_events_state": EVENTS
         + "QUALIFY row_number() OVER (PARTITION BY USER_ID ORDER BY EVENT_ID DESC NULLS FIRST) = 1",
         "silver_changes": silver_changes_sql(),
+        "silver_net_changes": net_changes_sql(),
         "changed_keys": query(
             "SELECT DISTINCT BOOKING_ID FROM ("
             + " UNION ".join(keys_of(e) for e in KEYS)

@@ -129,6 +129,22 @@ def silver_changes(spark, sf_dir):
     return present(C.change_rows(_delta_changes(spark, sf_dir, BOOKING)))
 
 
+def silver_net_changes(spark, sf_dir):
+    """Two versions of booking changes, the second a late delivery, as one consumer sees them."""
+    state, versions = feeds.newest(spark, sf_dir, BOOKING, FULL), []
+    for version, batch in enumerate((DELTA, LATE), start=2):
+        changes = C.change_set(state, feeds.newest(spark, sf_dir, BOOKING, batch), BOOKING, guard=False)
+        versions.append(changes.withColumn(C.VERSION, F.lit(version).cast("long")))
+        state = C.apply_change_set(state, changes, BOOKING.key)
+    net = C.net_changes(union(versions), BOOKING.key)
+    return present(
+        net.select(
+            "BOOKING_ID", C.CHANGE_TYPE, "BOOKING_STATUS", "FARE_AMOUNT", "CHANGE_SEQ",
+            F.col(f"{C.PRE}.BOOKING_STATUS").alias("OLD_STATUS"), F.col(f"{C.PRE}.FARE_AMOUNT").alias("OLD_FARE"),
+        )
+    )
+
+
 def changed_keys(spark, sf_dir):
     return C.changed_keys({e.name: _delta_changes(spark, sf_dir, e) for e in ENTITIES})
 
@@ -366,7 +382,7 @@ QUERIES = {
     for f in (
         cdc_latest, cdc_upsert, cdc_upsert_reservation, cdc_upsert_claim, cdc_full_then_delta,
         cdc_soft_delete, cdc_out_of_order, cdc_events_by_day, cdc_events_state, silver_changes,
-        changed_keys, merge_counts, change_op_counts, table_counts, claim_rollup, gold_rebuild,
+        silver_net_changes, changed_keys, merge_counts, change_op_counts, table_counts, claim_rollup, gold_rebuild,
         gold_incremental, gold_incremental_all, daily_route, daily_route_summary, load_audit,
         freshness, dq_unique, dq_not_null, dq_accepted, dq_fk, dq_net_revenue,
         dq_gold_excludes_cancelled, dq_gold_suite, dq_results, stream_ingest, stream_to_gold,
