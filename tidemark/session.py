@@ -21,7 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.streaming.metricsEnabled", "false")
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "64")
         .config("spark.log.level", "ERROR")
         .getOrCreate()
     )
