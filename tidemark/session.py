@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -38,6 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(made)
     return made
 
