@@ -76,7 +76,7 @@ class VersionedTable:
 
     def version_at(self, moment: datetime) -> int:
         """The newest version committed at or before `moment`."""
-        known, stamp = self.versions(), moment.isoformat()
+        known, stamp = self.versions(), moment.isoformat(timespec="microseconds")
         later = bisect.bisect_right(known, stamp, key=lambda v: self.record(v)["committed"])
         return known[later - 1] if later else 0
 
@@ -91,7 +91,7 @@ class VersionedTable:
         head = self.record() or {"tokens": {}, "meta": {}, "rows": 0}
         record = {
             "version": version,
-            "committed": datetime.now().isoformat(),
+            "committed": datetime.now().isoformat(timespec="microseconds"),
             "base": None,
             "buckets": None,
             "base_rows": 0,

@@ -17,11 +17,10 @@ from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import constants as K
-from tidemark.operators.changes import change_rows, change_set, changed_keys
+from tidemark.operators.changes import change_set, changed_keys
 from tidemark.operators.latest import newest_changes
 from tidemark.operators.typing import split_rejects, typed
 from tidemark.plans import gold, quality
