@@ -40,5 +40,6 @@ EXPORT_FILE_BYTES = 16_000_000
 TRIGGER_INTERVAL = "30 seconds"
 
 # A side of a join may be broadcast only while its row count, read from a commit record or counted
-# beforehand, stays below this. Beyond it the same step runs as a shuffled join.
-BROADCAST_ROWS = 500_000
+# beforehand, stays below this (keys of some 100 bytes each). Beyond it the same step runs as a
+# shuffled join.
+BROADCAST_ROWS = 1_000_000
