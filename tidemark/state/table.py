@@ -41,7 +41,8 @@ KINDS = ("insert", "update", "delete")
 # Fold the change sets into a new base when there are this many, or when they hold this share of it.
 MAX_CHANGE_SETS = 24
 MAX_CHANGED_SHARE = 0.25
-BUCKET_BYTES = 128 * 1024 * 1024
+# Estimates come from compressed files, so a bucket holds several times this in memory.
+BUCKET_BYTES = 16 * 1024 * 1024
 
 
 class VersionedTable:
