@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import importable, table
 from tidemark.llm.decontamination import remove_passages
-from tidemark.llm.packing import pack, tokenizer_path
+from tidemark.llm.packing import RANKS, pack, tokenizer_path
 from tidemark.llm.simhash import drop_near_duplicates
 from tidemark.llm.substrings import remove_repeats
 from tidemark.llm.toxicity import REJECT, score_toxicity
@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, packed into sequences."""
-    return pack(docs, tokenizer_path())
+    return pack(docs, tokenizer_path(), tokenizer_path(RANKS))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

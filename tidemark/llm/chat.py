@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.llm.common import batch_of, importable, table
-from tidemark.llm.packing import tokenizer_path, word_tokens
+from tidemark.llm.packing import RANKS, tokenizer_path, tokens_of
 
 BUDGET = 1024
 HISTORY_TURNS = 2
@@ -99,7 +99,7 @@ class _Builder:
         return row
 
 
-def format_windows(turns: DataFrame, tokenizer: str, budget: int = BUDGET, history_turns: int = HISTORY_TURNS,
+def format_windows(turns: DataFrame, tokenizer: str, ranks: str | None = None, budget: int = BUDGET, history_turns: int = HISTORY_TURNS,
                    history_tokens: int = HISTORY_TOKENS) -> DataFrame:
     """(conv_id, window, formatted, repeated_turns, loss_spans, tokens) of conversations.
 
@@ -119,7 +119,7 @@ def format_windows(turns: DataFrame, tokenizer: str, budget: int = BUDGET, histo
         StructField("repeated_turns", IntegerType()), StructField("loss_spans", ArrayType(IntegerType())), StructField("tokens", LongType())])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_tokens(tokenizer).encode
+        encode = tokens_of(tokenizer, ranks).encode
         builder = None
         for batch in batches:
             out: list[tuple] = []
@@ -183,4 +183,4 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
     probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
-    return read_back(format_windows(turns.unionByName(probe), tokenizer_path()))
+    return read_back(format_windows(turns.unionByName(probe), tokenizer_path(), tokenizer_path(RANKS)))

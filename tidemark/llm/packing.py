@@ -8,8 +8,10 @@ joined back to the pieces by the rank of each piece among those of its length.
 
 from __future__ import annotations
 
+import base64
 import heapq
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,11 +26,9 @@ from tidemark.llm.common import importable, materialise, table
 
 SEQUENCE = 2048
 END_ID = 1
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: parts in which the pieces of one length are numbered
 PARTS = 64
-#: words whose ids a worker remembers
-REMEMBERED = 400_000
 
 # The split of the byte-level vocabulary, and its one special string
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -44,17 +44,27 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class WordTokens:
-    """Token ids of texts, as little-endian 32-bit bytes; ids of words already seen are remembered."""
+class Tokens:
+    """Token ids of texts, as little-endian 32-bit bytes.
 
-    def __init__(self, path: str):
+    With the path of the same vocabulary as ranks, texts of plain characters take the faster library
+    that reads it; texts with the special string or with other characters, and all texts without
+    ranks, go to the tokenizer itself. The ids are the same.
+    """
+
+    def __init__(self, tokenizer: str, ranks: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.split, self.unsafe = regex.compile(_SPLIT), regex.compile(_UNSAFE)
-        self.seen: dict[str, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(tokenizer)
+        self.fast = None
+        if ranks is not None:
+            import tiktoken
+
+            with open(ranks, "rb") as lines:
+                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            self.fast = tiktoken.Encoding("ranks", pat_str=_SPLIT, mergeable_ranks=table, special_tokens={})
+            self.unsafe = re.compile(_UNSAFE)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -62,30 +72,22 @@ class WordTokens:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if _SPECIAL in text or self.unsafe.search(text):
+        if self.fast is None or _SPECIAL in text or self.unsafe.search(text):
             return self.whole(text)
-        words = self.split.findall(text)
-        seen = self.seen
-        missing = [w for w in set(words) if w not in seen]
-        if missing:
-            if len(seen) + len(missing) > REMEMBERED:
-                seen.clear()
-                missing = list(set(words))
-            for word, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-                seen[word] = np.array(found.ids, dtype="<u4").tobytes()
-        return b"".join([seen[w] for w in words])
+        return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), dtype="<u4").tobytes()
 
 
-_TOKENS: dict[str, WordTokens] = {}
+_TOKENS: dict[tuple[str, str | None], Tokens] = {}
 
 
-def word_tokens(path: str) -> WordTokens:
-    if path not in _TOKENS:
-        _TOKENS[path] = WordTokens(path)
-    return _TOKENS[path]
+def tokens_of(tokenizer: str, ranks: str | None) -> Tokens:
+    """The tokenizer, kept for the life of the worker."""
+    if (tokenizer, ranks) not in _TOKENS:
+        _TOKENS[tokenizer, ranks] = Tokens(tokenizer, ranks)
+    return _TOKENS[tokenizer, ranks]
 
 
-def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int | None = END_ID, text: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, sequence: int = SEQUENCE, end_id: int | None = END_ID, text: str = "text") -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): each document's ids, cut every `sequence`."""
     importable(docs.sparkSession)
     schema = StructType([docs.schema["doc_id"], *(StructField(c, LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens"))])
@@ -93,7 +95,7 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: in
     step = 4 * sequence
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = word_tokens(tokenizer)
+        tokens = tokens_of(tokenizer, ranks)
         for batch in batches:
             row: list[int] = []
             out: list[tuple] = []
@@ -165,14 +167,14 @@ class Places:
         return sequence[at] + rank - first[at], offset[at]
 
 
-def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int | None = END_ID, text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, sequence: int = SEQUENCE, end_id: int | None = END_ID, text: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A null text is empty: only the end id is left. Every row of docs is a document of its own, repeated
     rows and rows without an id too. Rank ties (same id, start and checksum) hold equal pieces. An
     empty table gives no rows. Columns other than doc_id and the text are not read.
     """
-    cut = materialise(pieces(docs, tokenizer, sequence, end_id, text).withColumn(
+    cut = materialise(pieces(docs, tokenizer, ranks, sequence, end_id, text).withColumn(
         "part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(PARTS)).cast("int")))
     # at most sequence * PARTS rows
     counted = sorted((r.length, r.part, r.n) for r in cut.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")).collect())
@@ -203,4 +205,4 @@ def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path(RANKS))
