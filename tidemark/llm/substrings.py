@@ -7,10 +7,11 @@ one.
 1. Phrases that are an anchor at two or more places are gathered (one row per phrase, bucket of
    documents and batch).
 2. Per bucket, the windows with such an anchor are hashed again, independently, and confirmed if they
-   start at two or more places overall.
-3. Per bucket, the anchors of confirmed windows are compiled into Aho-Corasick automata of bounded size.
-   All documents of the bucket stream through them; around each occurrence the confirmed windows are
-   looked up, and the words they cover are cut.
+   start at two or more places overall. What comes back to the bucket are the anchors that have
+   confirmed windows there, and the few windows of these that were not.
+3. Per bucket, these anchors are compiled into Aho-Corasick automata of bounded size. All documents of
+   the bucket stream through them; around each occurrence, the words of the windows that have this
+   anchor and were confirmed are cut.
 
 A bucket holds a bounded number of bytes, and only the phrases that occur in it. So automata grow with
 a bucket, not with the corpus, and each document passes through the automata of its bucket alone.
@@ -33,9 +34,9 @@ from tidemark.llm.rolling import Words, family, mix, sliding_max, sliding_min
 
 WINDOW = 35
 PHRASE = 8
-BUCKET_BYTES = 6 << 20
+BUCKET_BYTES = 4 << 20
 #: phrase characters in one automaton
-AUTOMATON_CHARS = 2 << 20
+AUTOMATON_CHARS = 1 << 20
 _CHUNK = 1 << 20
 
 
@@ -90,8 +91,7 @@ def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values))
 
 
-_WINDOWS = "h long, bucket int, phrase binary, w array<long>, n array<tinyint>"
-_CONFIRMED = "h long, bucket int, phrase binary, w array<long>"
+_WINDOWS = "h long, bucket int, phrase binary, w array<long>"
 
 
 def _empty(names: list[str], types: list[pa.DataType]) -> pa.Table:
@@ -99,9 +99,9 @@ def _empty(names: list[str], types: list[pa.DataType]) -> pa.Table:
 
 
 def confirmed_windows(docs: DataFrame, places: DataFrame, window: int, phrase: int) -> DataFrame:
-    """(h, bucket, phrase, w): per anchor and bucket, second hashes of the windows there that start at
-    two or more places of the whole corpus."""
-    names, types = ["h", "bucket", "phrase", "w", "n"], [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int8())]
+    """(h, bucket, phrase, w): the anchors that have, in the bucket, windows that start at two or more
+    places of the whole corpus; w holds second hashes of their windows there that do not."""
+    names, types = ["h", "bucket", "phrase", "w"], [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
 
     def windows(texts: pa.Table, wanted: pa.Table) -> pa.Table:
         if not texts.num_rows or not wanted.num_rows:
@@ -124,31 +124,34 @@ def confirmed_windows(docs: DataFrame, places: DataFrame, window: int, phrase: i
         if not found:
             return _empty(names, types)
         pairs, n = np.unique(np.concatenate(found), axis=0, return_counts=True)
+        pairs = np.repeat(pairs, np.minimum(n, 2), axis=0)  # twice, if at two or more places here
         first = np.flatnonzero(np.concatenate([[True], pairs[1:, 0] != pairs[:-1, 0]]))
         sizes = np.diff(np.concatenate([first, [len(pairs)]]))
         h = pairs[first, 0]
         return pa.Table.from_arrays([
             pa.array(h.view(np.int64)), pa.array(np.full(len(h), wanted["bucket"][0].as_py()), pa.int32()), pa.array([phrases[x] for x in h], pa.binary()),
-            _lists(pairs[:, 1].copy().view(np.int64), sizes), _lists(np.minimum(n, 2).astype(np.int8), sizes)], names=names)
+            _lists(pairs[:, 1].copy().view(np.int64), sizes)], names=names)
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, "h"):
-            w, n = rows["w"].combine_chunks(), rows["n"].combine_chunks()
+            w = rows["w"].combine_chunks()
             row = np.repeat(np.arange(rows.num_rows), w.value_lengths().to_numpy())
-            values, counts = w.flatten().to_numpy(), n.flatten().to_numpy().astype(np.int64)
-            h = rows["h"].to_numpy()[row]
+            values, h = w.flatten().to_numpy(), rows["h"].to_numpy()[row]
             order = np.lexsort((values, h))
             fresh = np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (values[order][1:] != values[order][:-1])])
             group = np.cumsum(fresh) - 1
-            keep = np.zeros(len(values), dtype=bool)
-            keep[order] = np.bincount(group, weights=counts[order])[group] >= 2
-            sizes = np.bincount(row[keep], minlength=rows.num_rows)
-            some = np.flatnonzero(sizes)
+            twice = np.empty(len(values), dtype=bool)
+            twice[order] = np.bincount(group)[group] >= 2
+            some = np.flatnonzero(np.bincount(row[twice], minlength=rows.num_rows))
+            once = np.bincount(row[~twice], minlength=rows.num_rows)
+            has = np.zeros(rows.num_rows, dtype=bool)
+            has[some] = True
             part = rows.select(["h", "bucket", "phrase"]).take(pa.array(some)).combine_chunks()
-            yield pa.RecordBatch.from_arrays([*(part[c].combine_chunks() for c in part.column_names), _lists(values[keep], sizes[some])], names=["h", "bucket", "phrase", "w"])
+            yield pa.RecordBatch.from_arrays(
+                [*(part[c].combine_chunks() for c in part.column_names), _lists(values[~twice & has[row]], once[some])], names=names)
 
     found = docs.select("bucket", "body").groupBy("bucket").cogroup(places.groupBy("bucket")).applyInArrow(windows, _WINDOWS)
-    return found.repartition("h").sortWithinPartitions("h").mapInArrow(confirm, _CONFIRMED)
+    return found.repartition("h").sortWithinPartitions("h").mapInArrow(confirm, _WINDOWS)
 
 
 def _automata(phrases: list[bytes]) -> Iterator[tuple]:
@@ -168,18 +171,22 @@ def _automata(phrases: list[bytes]) -> Iterator[tuple]:
         yield automaton
 
 
-def _covered(words: Words, phrase_at: np.ndarray, which: np.ndarray, h: np.ndarray, confirmed: np.ndarray, window: int, phrase: int) -> np.ndarray:
-    """Which words of one text lie in confirmed windows, given its phrase occurrences."""
+def _covered(words: Words, phrase_at: np.ndarray, which: np.ndarray, h: np.ndarray, unique: np.ndarray, window: int, phrase: int) -> np.ndarray:
+    """Which words of one text lie in repeated windows, given its phrase occurrences: the windows
+    around one that have it as their anchor, but for those known to be unique."""
+    out = np.zeros(len(words) + 1, dtype=np.int64)
+    if len(words) < window:
+        return out[:-1] > 0
+    _, anchors = _anchors(words, window, phrase)
     starts = phrase_at[:, None] - np.arange(window - phrase + 1)
-    fits = (starts >= 0) & (starts + window <= len(words))
+    fits = (starts >= 0) & (starts < len(anchors))
     at, anchor = starts[fits], np.broadcast_to(h[which][:, None], starts.shape)[fits]
-    out = np.zeros(len(words) + 1, dtype=np.int64)
-    if len(at):
-        distinct, back = np.unique(at, return_inverse=True)
-        key = _pair(anchor, words.hashes(window, distinct, 1)[back])
-        hit = np.unique(at[confirmed[np.minimum(np.searchsorted(confirmed, key), len(confirmed) - 1)] == key])
-        out[hit] += 1
-        out[hit + window] -= 1
+    at = np.unique(at[anchors[at] == anchor])
+    if len(at) and len(unique):
+        key = _pair(anchors[at], words.hashes(window, at, 1))
+        at = at[unique[np.minimum(np.searchsorted(unique, key), len(unique) - 1)] != key]
+    out[at] += 1
+    out[at + window] -= 1
     return np.cumsum(out)[:-1] > 0
 
 
