@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import importable, table
+from tidemark.llm.common import prepare, table
 from tidemark.llm.decontamination import remove_passages
 from tidemark.llm.packing import RANKS, pack, tokenizer_path
 from tidemark.llm.simhash import drop_near_duplicates
@@ -29,7 +29,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group of near duplicates."""
-    importable(spark)
+    prepare(spark)
     return drop_near_duplicates(docs)
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import batch_of, importable, table
+from tidemark.llm.common import batch_of, prepare, table
 from tidemark.llm.packing import RANKS, tokenizer_path, tokens_of
 
 BUDGET = 1024
@@ -113,7 +113,7 @@ def format_windows(turns: DataFrame, tokenizer: str, ranks: str | None = None, b
     One shuffle by conversation; a task streams its sorted turns and holds one window at a time, so a
     conversation may have any number of turns.
     """
-    importable(turns.sparkSession)
+    prepare(turns.sparkSession)
     schema = StructType([
         turns.schema["conv_id"], StructField("window", IntegerType()), StructField("formatted", StringType()),
         StructField("repeated_turns", IntegerType()), StructField("loss_spans", ArrayType(IntegerType())), StructField("tokens", LongType())])

@@ -17,9 +17,17 @@ from tidemark.session import shared_dir
 FOLDS = 5
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package, wherever the driver was started. A
-    cluster gets it with --py-files or an installed package."""
+#: documents can be long: a Python worker gets at most so many rows and bytes at once
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1024", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bound the batches that Python workers get, where the session does not say otherwise, and let
+    workers on this machine import the package, wherever the driver was started. A cluster gets the
+    package with --py-files or installed."""
+    for key, value in BATCH.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -28,7 +36,7 @@ def importable(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import importable, slices, table, utf8_list
+from tidemark.llm.common import prepare, slices, table, utf8_list
 
 WINDOW = 10
 #: bytes of benchmark text that are searched in one pass; larger benchmarks take several passes
@@ -225,7 +225,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
     out = docs.drop("bench_words", "bench_spans", "bench_items").withColumns({
         "bench_words": F.lit(0).cast("long"), "bench_spans": F.array().cast("array<int>"), "bench_items": F.array().cast("array<string>")})
     schema, at = out.schema, out.columns.index(text)
-    importable(spark)
+    prepare(spark)
     for block in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("name", "body"), F.lit(blocks)) == block)
         shared = spark.sparkContext.broadcast(Phrases([(r.name, r.body) for r in part.collect()], window))

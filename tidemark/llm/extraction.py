@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import importable, table
+from tidemark.llm.common import prepare, table
 
 #: pages that are aligned before content is taken from them; the wrapper then goes on growing
 RUN = 256
@@ -364,7 +364,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     spread over tasks by page, and each part induces its own wrapper from all of its pages. Other
     columns are not read; an empty table gives no rows.
     """
-    importable(pages.sparkSession)
+    prepare(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.select("page_id", "url", "html").withColumn("host", host)
     total = pages.count()

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import arrow_type, importable, table
+from tidemark.llm.common import arrow_type, prepare, table
 from tidemark.llm.rolling import Words, family
 
 LANES = 8
@@ -156,7 +156,7 @@ def edited_fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     without id come last. A lone row is its own next. An empty table gives no rows; without any id,
     rows follow one another by hash and the last has itself as next. Only doc_id and the text are read.
     """
-    importable(docs.sparkSession)
+    prepare(docs.sparkSession)
     schema = StructType([
         docs.schema["doc_id"], StructField("n_chars", LongType()), StructField("edited_sha256", StringType()), StructField("fingerprint", StringType()),
         StructField("edited_fingerprint", StringType()), StructField("near_edited", DoubleType()), StructField("near_next", DoubleType())])

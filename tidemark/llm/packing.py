@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import importable, materialise, table
+from tidemark.llm.common import prepare, materialise, table
 
 SEQUENCE = 2048
 END_ID = 1
@@ -89,7 +89,7 @@ def tokens_of(tokenizer: str, ranks: str | None) -> Tokens:
 
 def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, sequence: int = SEQUENCE, end_id: int | None = END_ID, text: str = "text") -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): each document's ids, cut every `sequence`."""
-    importable(docs.sparkSession)
+    prepare(docs.sparkSession)
     schema = StructType([docs.schema["doc_id"], *(StructField(c, LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens"))])
     end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
     step = 4 * sequence

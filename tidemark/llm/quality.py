@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from tidemark.llm.common import importable, is_held_out, materialise, table, utf8_list
+from tidemark.llm.common import prepare, is_held_out, materialise, table, utf8_list
 from tidemark.llm.learn import fit_logistic, label_sample, sigmoid
 
 #: bounds of what is learnt from labelled rows
@@ -63,7 +63,7 @@ def features(data: bytes) -> list[float]:
 
 def text_features(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, features) of every row; a null text is empty."""
-    importable(docs.sparkSession)
+    prepare(docs.sparkSession)
     schema = StructType([docs.schema["doc_id"], StructField("features", ArrayType(DoubleType()))])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

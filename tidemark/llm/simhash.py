@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import importable, materialise, table, utf8_list, whole_groups
+from tidemark.llm.common import prepare, materialise, table, utf8_list, whole_groups
 from tidemark.llm.graph import components
 
 SHINGLE = 4
@@ -180,7 +180,7 @@ def find_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     enough of them to join all that are linked. distance is at most 4, which the keys are made for."""
     if not 0 <= distance <= DISTANCE:
         raise ValueError(f"the keys find links of up to {DISTANCE} bits")
-    importable(prints.sparkSession)
+    prepare(prints.sparkSession)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,7 +227,7 @@ def find_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def fingerprints(docs: DataFrame, words_in_shingle: int = SHINGLE, text: str = "text") -> DataFrame:
     """(doc_id, text_hash, fp) of every row; fp is the fingerprint as a signed long."""
-    importable(docs.sparkSession)
+    prepare(docs.sparkSession)
     schema = StructType([docs.schema["doc_id"], StructField("text_hash", LongType()), StructField("fp", LongType())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import arrow_type, importable, materialise, slices, table, utf8, utf8_list, whole_groups
+from tidemark.llm.common import arrow_type, prepare, materialise, slices, table, utf8, utf8_list, whole_groups
 from tidemark.llm.rolling import Words, family, mix, sliding_max, sliding_min
 
 WINDOW = 35
@@ -203,7 +203,7 @@ def cut_repeats(docs: DataFrame, finish: Callable[[bytes | None, list[bytes], np
     words than a window lose none. Equal rows are different places, so both lose their words. The rows
     are dealt into buckets by id and text; an empty table gives no rows.
     """
-    importable(docs.sparkSession)
+    prepare(docs.sparkSession)
     # other columns travel under names of our own, so that theirs cannot clash
     carried = [f for f in schema if f.name in docs.columns and f.name != text or f.name == "doc_id"]
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
