@@ -242,10 +242,11 @@ def _table(slots: list[Slot], nodes: list[Node]) -> list[list[int]]:
     return rows
 
 
-def align(slot: Slot, node: Node) -> None:
-    """Match a page's tree to the wrapper and add what the wrapper lacks."""
+def align(slot: Slot, node: Node, evidence: bool = True) -> None:
+    """Match a page's tree to the wrapper and add what the wrapper lacks. Only evidence is counted."""
     node.match = slot
-    slot.see(node.text)
+    if evidence:
+        slot.see(node.text)
     if not node.children:
         return
     slots, nodes = slot.children, node.children
@@ -277,7 +278,7 @@ def align(slot: Slot, node: Node) -> None:
             fresh = Slot(child.tag)
             added.append(fresh)
             matched[j] = fresh
-        align(matched[j], child)
+        align(matched[j], child, evidence)
     slot.children = added + slots[at:]
 
 
@@ -331,29 +332,12 @@ def _extract(pages: list[str | None], wrapper: Slot, seen: set[int]) -> list[str
         runs: list[tuple[Node, bool]] = []
         _texts(tree, False, runs)
         key = hash("\n".join(n.text for n, core in runs if core) or page)
-        if key in seen:  # a copy of a text is no evidence that it is template
-            before = _counts(wrapper)
-            align(wrapper, tree)
-            _restore(before)
-        else:
-            seen.add(key)
-            align(wrapper, tree)
+        align(wrapper, tree, key not in seen)  # a copy of a text is no evidence that it is template
+        seen.add(key)
         trees.append(tree)
     return ["" if t is None else "\n\n".join(content(t)) for t in trees]
 
 
-def _counts(slot: Slot) -> list[tuple[Slot, int, int, Counter]]:
-    out = [(slot, slot.pages, slot.other, slot.texts.copy())]
-    for child in slot.children:
-        out += _counts(child)
-    return out
-
-
-def _restore(counts: list[tuple[Slot, int, int, Counter]]) -> None:
-    for slot, pages, other, texts in counts:
-        slot.pages, slot.other, slot.texts = pages, other, texts
-
-
 def extract_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of pages (page_id, url, html).
 
