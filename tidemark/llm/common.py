@@ -20,16 +20,21 @@ FOLDS = 5
 #: documents can be long: a Python worker gets at most so many rows and bytes at once
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1024", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
+#: environment of Python workers: give freed memory back instead of keeping it for the next task
+WORKER = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_TRIM_THRESHOLD_": "262144", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the batches that Python workers get, where the session does not say otherwise, and let
-    workers on this machine import the package, wherever the driver was started. A cluster gets the
-    package with --py-files or installed."""
+    """Bound the batches that Python workers get, where the session does not say otherwise; have the
+    workers return freed memory; and let workers on this machine import the package, wherever the driver
+    was started. A cluster gets the package with --py-files or installed."""
     for key, value in BATCH.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
+    for key, value in WORKER.items():
+        environment.setdefault(key, value)
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])

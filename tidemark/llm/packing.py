@@ -53,11 +53,7 @@ class Tokens:
     """
 
     def __init__(self, tokenizer: str, ranks: str | None):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(tokenizer)
-        self.fast = None
+        self.path, self.tokenizer, self.fast = tokenizer, None, None
         if ranks is not None:
             import tiktoken
 
@@ -67,6 +63,11 @@ class Tokens:
             self.unsafe = re.compile(_UNSAFE)
 
     def whole(self, text: str) -> bytes:
+        if self.tokenizer is None:  # read only if some text needs it
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.path)
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
