@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.specs import MONEY, SEQUENCE, Field
 
 
+def session_now(spark: SparkSession) -> datetime:
+    """The current moment by the clock that stamps rows: Spark's, in the session's time zone."""
+    return spark.sql("SELECT localtimestamp() AS t").first()["t"]
+
+
 def as_timestamp(run_ts: datetime | Column | None) -> Column:
     """The stamp to write: a given moment, a column of the data, or the current moment."""
     if run_ts is None:

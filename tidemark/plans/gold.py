@@ -66,17 +66,14 @@ def booking_fact(
 ) -> DataFrame:
     """One row per live booking, for all bookings or for those in `keys`.
 
-    With `small_keys` (checked size) the keys are broadcast and cut all three inputs before any
-    shuffle. Otherwise the keys cut the booking side only: the roll-ups then reduce their input in
-    the map tasks, and the left joins drop what belongs to other bookings.
+    The keys cut all three inputs, however many they are; `small_keys` (checked size) only says that
+    they may be broadcast for it.
     """
-    if keys is not None and small_keys:
-        few = F.broadcast(keys)
+    if keys is not None:
+        wanted = F.broadcast(keys) if small_keys else keys
         booking, reservation, claim = (
-            t.join(few, FACT_KEY, "left_semi") for t in (booking, reservation, claim)
+            t.join(wanted, FACT_KEY, "left_semi") for t in (booking, reservation, claim)
         )
-    elif keys is not None:
-        booking = booking.join(keys, FACT_KEY, "left_semi")
 
     bookings = is_live(booking).filter(F.col("BOOKING_STATUS") != K.CANCELLED)
     joined = (

@@ -61,14 +61,18 @@ def unique(name: str, target: str, column: str) -> TableRule:
     return TableRule(name, target, failures)
 
 
-def foreign_key(name: str, target: str, column: str, parent: str, parent_key: str) -> TableRule:
-    """Live rows without a parent; a soft-deleted parent still counts as one.
+def foreign_key(
+    name: str, target: str, column: str, parent: str, parent_key: str, live_only: bool = True
+) -> TableRule:
+    """Rows without a parent: live rows, or all of a table that knows no soft deletes. A soft-deleted
+    parent still counts as one.
 
     Children are counted per key first, so a parent with very many children is one row in the join.
     """
 
     def failures(tables: Tables) -> DataFrame:
-        children = tables[target].filter(~F.col(K.IS_DELETED)).groupBy(column).count()
+        rows = tables[target].filter(~F.col(K.IS_DELETED)) if live_only else tables[target]
+        children = rows.groupBy(column).count()
         parents = tables[parent].select(F.col(parent_key).alias(column))
         orphans = children.join(parents, column, "left_anti")
         return orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"))

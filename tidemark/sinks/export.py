@@ -43,8 +43,9 @@ def export_parquet(fact: DataFrame, path: str, dt: str | None = None) -> str:
     return target
 
 
-def export_by_date(fact: DataFrame, path: str, column: str = "BOOKING_DATE") -> str:
-    """Parquet partitioned by day; only the days present in `fact` are replaced.
+def export_by_date(fact: DataFrame, path: str, column: str = "BOOKING_DATE", whole: bool = False) -> str:
+    """Parquet partitioned by day; only the days present in `fact` are replaced. With `whole`, `fact` is
+    all there is, and days that it no longer holds leave the export too.
 
     Rebalancing by day gives few files per day, and adaptive execution splits a day that holds far
     more rows than the others over several tasks.
@@ -53,7 +54,7 @@ def export_by_date(fact: DataFrame, path: str, column: str = "BOOKING_DATE") ->
     (
         dated.hint("rebalance", F.col("dt"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy("dt")
         .parquet(path)
     )

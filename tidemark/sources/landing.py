@@ -54,9 +54,10 @@ def stream_landing(
     load_ts=None,
     max_files: int | None = None,
     path_pattern: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """New files of an entity; the stream's checkpoint remembers what was read."""
-    reader = _prepared(spark.readStream, spec, fmt, False)
+    reader = _prepared(spark.readStream, spec, fmt, multi_line)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.load(entity_glob(landing, spec, prefix))
@@ -71,7 +72,8 @@ def _prepared(reader, spec: EntitySpec, fmt: str, multi_line: bool):
 
 
 def _raw_rows(rows, spark, landing, spec, load_ts, path_pattern) -> DataFrame:
-    path = F.col("_metadata.file_path")
+    # the metadata hold an encoded URI, in which a plus stands for itself
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     columns = [blank_to_null(F.col(c)).alias(c) for c in spec.file_columns]
     raw = rows.select(
         *columns,
@@ -97,6 +99,8 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 def read_export(spark: SparkSession, path: str, schema) -> DataFrame:
     """An exported CSV directory, read back by position with the given types.
 
-    The unused null token keeps a quoted empty text apart from a missing value.
+    The unused null token keeps a quoted empty text apart from a missing value. Fields may hold line
+    breaks, so a file is read by one task; exports are cut into files of bounded size.
     """
-    return spark.read.schema(schema).options(header="true", escape='"', nullValue="\0", emptyValue="").csv(path)
+    dialect = {"header": "true", "escape": '"', "nullValue": "\0", "emptyValue": "", "multiLine": "true"}
+    return spark.read.schema(schema).options(**dialect).csv(path)

@@ -19,7 +19,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import json
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,8 +76,8 @@ class VersionedTable:
         return known[-1] if known else 0
 
     def version_at(self, moment: datetime) -> int:
-        """The newest version committed at or before `moment`."""
-        known, stamp = self.versions(), moment.isoformat(timespec="microseconds")
+        """The newest version committed at or before `moment` (without a zone: the driver's)."""
+        known, stamp = self.versions(), moment.astimezone(UTC).replace(tzinfo=None).isoformat(timespec="microseconds")
         later = bisect.bisect_right(known, stamp, key=lambda v: self.record(v)["committed"])
         return known[later - 1] if later else 0
 
@@ -92,7 +92,7 @@ class VersionedTable:
         head = self.record() or {"tokens": {}, "meta": {}, "rows": 0}
         record = {
             "version": version,
-            "committed": datetime.now().isoformat(timespec="microseconds"),
+            "committed": datetime.now(UTC).replace(tzinfo=None).isoformat(timespec="microseconds"),
             "base": None,
             "buckets": None,
             "base_rows": 0,

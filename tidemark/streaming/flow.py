@@ -25,6 +25,7 @@ from tidemark.operators.latest import newest_changes
 from tidemark.operators.typing import split_rejects, typed
 from tidemark.plans import gold, quality
 from tidemark.sinks.export import export_csv
+from tidemark.functions.scalars import session_now
 from tidemark.sources.landing import read_landing, stream_landing
 from tidemark.specs import ENTITIES, FACT_KEY, FACT_SCHEMA, SAFE, EntitySpec, Policy
 from tidemark.state.files import SharedFiles
@@ -44,7 +45,11 @@ class Flow:
         run_ts: datetime | None = None,
         fmt: str = "csv",
         max_files: int | None = None,
+        path_pattern: str | None = None,
+        multi_line: bool = False,
     ):
+        """`path_pattern` cuts landing files by their path below the landing folder; `multi_line` reads CSV
+        fields with line breaks."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.landing = landing
@@ -53,6 +58,7 @@ class Flow:
         self.run_ts = run_ts
         self.fmt = fmt
         self.max_files = max_files
+        self.reading = {"path_pattern": path_pattern, "multi_line": multi_line}
         self.silver = {
             e.name: VersionedTable(spark, f"{self.root}/silver/{e.name}", e.key, e.state_schema)
             for e in entities
@@ -121,7 +127,7 @@ class Flow:
     def load(self, prefix: str) -> None:
         """Apply all files below a landing prefix, whether read before or not, as one batch each."""
         landing = {
-            e: read_landing(self.spark, self.landing, e, prefix, self.fmt, self.run_ts) for e in self.entities
+            e: read_landing(self.spark, self.landing, e, prefix, self.fmt, self.run_ts, **self.reading) for e in self.entities
         }
         self._side_by_side(self.apply_batch, landing)
 
@@ -152,22 +158,30 @@ class Flow:
             sets = {n: t.changes(offsets[n], upto[n]) for n, t in watched.items()}
             small = 2 * changed_rows <= K.BROADCAST_ROWS
             keys = changed_keys(sets, self.policy.all_sources)
+            keys_path = f"{self.root}/util/changed_keys/{uuid.uuid4().hex}"
             if small:
                 keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
-            booking, reservation, claim = (self.silver[e.name].read(upto[e.name]) for e in self.entities)
-            first = self.fact.is_empty()
-            fact = None if first else self.fact.read()
-            narrowed = None if first and self.policy.all_sources else keys
-            live = gold.booking_fact(booking, reservation, claim, narrowed, small, run_ts)
-            if self.policy.all_sources:
-                changes = gold.fact_changes(fact, live, keys, small)
-            else:
-                changes = gold.fact_changes_as_delivered(fact, live, booking)
-            # a fact has at most one row per booking, so it takes the buckets of the bookings
-            buckets = self._booking_buckets()
-            record = self.fact.commit(changes, meta={"offsets": upto}, buckets=buckets)
-            if small:
-                keys.unpersist()
+            else:  # several joins read them
+                keys.write.parquet(keys_path)
+                keys = self.spark.read.parquet(keys_path)
+            try:
+                booking, reservation, claim = (self.silver[e.name].read(upto[e.name]) for e in self.entities)
+                first = self.fact.is_empty()
+                fact = None if first else self.fact.read()
+                narrowed = None if first and self.policy.all_sources else keys
+                live = gold.booking_fact(booking, reservation, claim, narrowed, small, run_ts)
+                if self.policy.all_sources:
+                    changes = gold.fact_changes(fact, live, keys, small)
+                else:
+                    changes = gold.fact_changes_as_delivered(fact, live, booking)
+                # a fact has at most one row per booking, so it takes the buckets of the bookings
+                buckets = self._booking_buckets()
+                record = self.fact.commit(changes, meta={"offsets": upto}, buckets=buckets)
+            finally:
+                if small:
+                    keys.unpersist()
+                else:
+                    self._files.remove(keys_path)
             if self.fact.needs_compaction():
                 self.fact.compact()
             counts = record["counts"]
@@ -215,9 +229,10 @@ class Flow:
 
     def export(self) -> str:
         record = self.fact.record()
-        path = export_csv(self.fact.read(), f"{self.root}/outbound/booking_fact")
+        version = record["version"] if record else 0  # a refresh meanwhile is not part of this export
+        path = export_csv(self.fact.read(version) if record else self.fact.read(), f"{self.root}/outbound/booking_fact")
         self._log("GOLD->OUTBOUND", "booking_fact", record["rows"] if record else 0, "unload ok")
-        self._files.publish_text(f"{self.root}/util/exports/{uuid.uuid4().hex}-{self.fact.version()}", path)
+        self._files.publish_text(f"{self.root}/util/exports/{uuid.uuid4().hex}-{version}", path)
         return path
 
     def needs_export(self) -> bool:
@@ -227,7 +242,7 @@ class Flow:
 
     def run_quality(self, rules: list = quality.PIPELINE_RULES) -> DataFrame:
         """Run the rules, append their results, return this run's rows."""
-        results = quality.run_rules(self.tables(), rules, self.run_ts or datetime.now())
+        results = quality.run_rules(self.tables(), rules, self.run_ts or session_now(self.spark))
         path = f"{self.root}/util/dq_results/run={uuid.uuid4().hex}"
         results.coalesce(1).write.parquet(path)
         return self.spark.read.parquet(path)
@@ -236,7 +251,7 @@ class Flow:
         """Lag of every silver table and of the fact."""
         watched = {f"SILVER.{n.upper()}": (t.read(), K.UPDATED_AT) for n, t in self.silver.items()}
         watched[quality.GOLD_FACT] = (self.fact.read(), K.LOAD_TS)
-        return quality.freshness(watched, self.run_ts or datetime.now())
+        return quality.freshness(watched, self.run_ts or session_now(self.spark))
 
     def quality_history(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/util/dq_results").drop("run")
@@ -291,7 +306,7 @@ class Flow:
                 after_batch()
 
         rows = stream_landing(
-            self.spark, self.landing, spec, fmt=self.fmt, load_ts=self.run_ts, max_files=self.max_files
+            self.spark, self.landing, spec, fmt=self.fmt, load_ts=self.run_ts, max_files=self.max_files, **self.reading
         )
         return (
             rows.writeStream.foreachBatch(on_batch)
@@ -328,7 +343,7 @@ class Flow:
 
     def _log(self, step: str, target: str, rows: int, note: str) -> None:
         line = {
-            "LOG_TS": (self.run_ts or datetime.now()).isoformat(sep=" "),
+            "LOG_TS": (self.run_ts or session_now(self.spark)).isoformat(sep=" "),
             "STEP": step,
             "TARGET": target,
             "ROWS_AFFECTED": rows,

@@ -356,7 +356,7 @@ def unload_roundtrip(spark, sf_dir):
 
 def unload_partitioned(spark, sf_dir):
     path = work_dir(spark, "unload-by-date")
-    export_by_date(_fact(spark, sf_dir), path)
+    export_by_date(_fact(spark, sf_dir), path, whole=True)
     days = spark.read.parquet(path).groupBy(F.col("dt").cast("date").alias("DT"))
     return present(days.agg(F.count("*").alias("N"), F.sum("NET_REVENUE").cast("decimal(18,2)").alias("NET_REVENUE")))
 
