@@ -249,7 +249,9 @@ def test_repeated_passages_go_everywhere(docs, none):
     assert substrings.remove_repeats(docs).columns == docs.columns and substrings.remove_repeats(none).count() == 0
 
 
-def test_small_automata_and_buckets_give_the_same(spark, monkeypatch):
+@pytest.mark.parametrize("crowd", [substrings.CROWD, 8, 0])
+def test_small_automata_and_buckets_give_the_same(spark, monkeypatch, crowd):
+    monkeypatch.setattr(substrings, "CROWD", crowd)  # anchors above it are settled window by window
     texts = [prose(i % 5, 80) + " " + prose(100 + i, 30) + " " + prose(i % 3 + 50, 36) for i in range(30)]
 
     from pyspark.sql.types import LongType, StringType, StructField, StructType

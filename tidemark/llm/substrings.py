@@ -25,7 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -37,6 +37,8 @@ PHRASE = 8
 BUCKET_BYTES = 4 << 20
 #: phrase characters in one automaton
 AUTOMATON_CHARS = 1 << 20
+#: places of an anchor whose windows are compared in one task
+CROWD = 100_000
 _CHUNK = 1 << 20
 
 
@@ -57,7 +59,8 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, Words]]:
 
 
 def anchor_places(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """(h, bucket): phrases that are an anchor at two or more places, and the buckets that hold them."""
+    """(h, bucket, crowded): phrases that are an anchor at two or more places, and the buckets that hold
+    them; crowded are those at more than CROWD places."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,24 +77,17 @@ def anchor_places(docs: DataFrame, window: int, phrase: int) -> DataFrame:
                 pairs, n = np.unique(pairs, axis=0, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 1].view(np.int64)), pa.array(pairs[:, 0].astype(np.int32)), pa.array(n.astype(np.int32))], names=["h", "bucket", "n"])
 
-    def recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_groups(batches, "h"):
-            h, bucket, n = (rows[c].to_numpy() for c in ("h", "bucket", "n"))
-            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            total = np.add.reduceat(n, first)
-            keep = np.repeat(total >= 2, np.diff(np.concatenate([first, [len(h)]])))
-            pairs = np.unique(np.stack([h[keep], bucket[keep].astype(np.int64)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1].astype(np.int32))], names=["h", "bucket"])
-
     found = docs.select("bucket", "body").mapInArrow(scan, "h long, bucket int, n int")
-    return found.repartition("h").sortWithinPartitions("h").mapInArrow(recurring, "h long, bucket int")
+    # the window keeps an anchor's rows outside the heap if they are many; what follows stays in its task
+    total = found.withColumn("total", F.sum("n").over(Window.partitionBy("h"))).where("total >= 2")
+    return total.select("h", "bucket", (F.col("total") > CROWD).alias("crowded")).distinct()
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values))
 
 
-_WINDOWS = "h long, bucket int, phrase binary, w array<long>"
+_WINDOWS = "h long, bucket int, phrase binary, w array<long>, crowded boolean"
 
 
 def _empty(names: list[str], types: list[pa.DataType]) -> pa.Table:
@@ -100,13 +96,18 @@ def _empty(names: list[str], types: list[pa.DataType]) -> pa.Table:
 
 def confirmed_windows(docs: DataFrame, places: DataFrame, window: int, phrase: int) -> DataFrame:
     """(h, bucket, phrase, w): the anchors that have, in the bucket, windows that start at two or more
-    places of the whole corpus; w holds second hashes of their windows there that do not."""
-    names, types = ["h", "bucket", "phrase", "w"], [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+    places of the whole corpus; w holds second hashes of their windows there that do not.
+
+    The rows of an anchor meet in one task, but for crowded ones: these stay spread over all tasks and
+    are settled by counting their windows one by one."""
+    names, types = ["h", "bucket", "phrase", "w", "crowded"], [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.bool_()]
 
     def windows(texts: pa.Table, wanted: pa.Table) -> pa.Table:
         if not texts.num_rows or not wanted.num_rows:
             return _empty(names, types)
-        known = np.sort(wanted["h"].to_numpy().view(np.uint64))
+        known = wanted["h"].to_numpy().view(np.uint64)
+        order = np.argsort(known)
+        known, crowded = known[order], wanted["crowded"].to_numpy()[order]
         found, phrases = [], {}
         for _, words in _chunks(texts["body"].to_pylist()):
             if len(words) < window:
@@ -130,10 +131,20 @@ def confirmed_windows(docs: DataFrame, places: DataFrame, window: int, phrase: i
         h = pairs[first, 0]
         return pa.Table.from_arrays([
             pa.array(h.view(np.int64)), pa.array(np.full(len(h), wanted["bucket"][0].as_py()), pa.int32()), pa.array([phrases[x] for x in h], pa.binary()),
-            _lists(pairs[:, 1].copy().view(np.int64), sizes)], names=names)
+            _lists(pairs[:, 1].copy().view(np.int64), sizes), pa.array(crowded[np.searchsorted(known, h)])], names=names)
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_groups(batches, "h"):
+        crowded: list[pa.RecordBatch] = []
+
+        def others() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n = batch.num_rows - batch.column("crowded").true_count
+                yield batch.slice(0, n)
+                if n < batch.num_rows:  # crowded rows come last
+                    crowded.append(batch.slice(n))
+                    return
+
+        for rows in whole_groups(others(), "h"):
             w = rows["w"].combine_chunks()
             row = np.repeat(np.arange(rows.num_rows), w.value_lengths().to_numpy())
             values, h = w.flatten().to_numpy(), rows["h"].to_numpy()[row]
@@ -148,10 +159,24 @@ def confirmed_windows(docs: DataFrame, places: DataFrame, window: int, phrase: i
             has[some] = True
             part = rows.select(["h", "bucket", "phrase"]).take(pa.array(some)).combine_chunks()
             yield pa.RecordBatch.from_arrays(
-                [*(part[c].combine_chunks() for c in part.column_names), _lists(values[~twice & has[row]], once[some])], names=names)
+                [*(part[c].combine_chunks() for c in part.column_names), _lists(values[~twice & has[row]], once[some]), pa.array(np.zeros(len(some), dtype=bool))],
+                names=names)
+        yield from crowded
+        yield from batches
 
     found = docs.select("bucket", "body").groupBy("bucket").cogroup(places.groupBy("bucket")).applyInArrow(windows, _WINDOWS)
-    return found.repartition("h").sortWithinPartitions("h").mapInArrow(confirm, _WINDOWS)
+    dealt = found.repartition(F.when(F.col("crowded"), F.xxhash64("h", "bucket")).otherwise(F.col("h")))
+    met = materialise(dealt.sortWithinPartitions("crowded", "h").mapInArrow(confirm, _WINDOWS))
+    settled, crowded = (met.where(c).drop("crowded") for c in (~F.col("crowded"), F.col("crowded")))
+    if crowded.isEmpty():
+        return settled
+
+    # a window that occurs once lies in one bucket, which is the least of its buckets
+    each = crowded.select("h", "bucket", F.explode("w").alias("x")).groupBy("h", "x").agg(F.count(F.lit(1)).alias("n"), F.min("bucket").alias("bucket"))
+    once = each.where("n = 1").groupBy("h", "bucket").agg(F.collect_list("x").alias("once"))
+    counted = crowded.join(once, ["h", "bucket"], "left").withColumn("once", F.coalesce("once", F.array().cast("array<long>")))
+    some = counted.where(F.size(F.array_distinct("w")) > F.size("once"))
+    return settled.unionByName(some.select("h", "bucket", "phrase", F.col("once").alias("w")))
 
 
 def _automata(phrases: list[bytes]) -> Iterator[tuple]:
@@ -212,7 +237,7 @@ def cut_repeats(docs: DataFrame, finish: Callable[[bytes | None, list[bytes], np
         F.pmod(F.xxhash64("doc_id", text), F.lit(buckets)).cast("int").alias("bucket"), utf8(F.col(text)).alias("body"),
         F.col(text).isNull().alias("missing"), *(F.col(f.name).alias(f"c{i}") for i, f in enumerate(carried)))
     places = anchor_places(spread, window, phrase)
-    confirmed = materialise(confirmed_windows(spread, places, window, phrase))
+    confirmed = confirmed_windows(spread, places, window, phrase)
     made = [f for f in schema if f not in carried]
     made_types = [arrow_type(f.dataType) for f in made]
 
