@@ -91,13 +91,19 @@ def test_compaction_changes_files_not_rows(spark, table, run_ts):
     assert channels(table.read()) == {"a": "1", "b": "2"}
 
 
-def test_many_change_sets_ask_for_compaction(spark, table, run_ts, monkeypatch):
-    monkeypatch.setattr(state, "MAX_CHANGE_SETS", 2)
-    for n in (1, 2):
-        put(table, spark, run_ts, {"id": f"k{n}", "seq": str(n)})
-        assert not table.needs_compaction()
-    put(table, spark, run_ts, {"id": "k3", "seq": "3"})
-    assert table.needs_compaction()
+def test_many_change_sets_are_folded_without_base_or_version(spark, table, run_ts, monkeypatch):
+    monkeypatch.setattr(state, "FOLD_CHANGE_SETS", 3)
+    for n in range(1, 10):
+        put(table, spark, run_ts, {"id": f"k{n % 4}", "seq": str(n), "CHANNEL": str(n)})
+        assert not table.needs_compaction() and len(table.record()["change_sets"]) <= 4
+    assert table.versions() == list(range(1, 10)) and table.record()["base"] == table.record(1)["base"]
+    assert channels(table.read()) == {"k0": "8", "k1": "9", "k2": "6", "k3": "7"}
+    assert channels(table.read(6)) == {"k0": "4", "k1": "5", "k2": "6", "k3": "3"}
+    assert table.changes(after=7).count() == 2
+    table.restore(3)
+    assert channels(table.read()) == {"k1": "1", "k2": "2", "k3": "3"}
+    table.compact()
+    assert table.version() == 10 and channels(table.read()) == {"k1": "1", "k2": "2", "k3": "3"}
 
 
 def test_unpublished_files_are_ignored_and_written_again(spark, table, run_ts, monkeypatch):

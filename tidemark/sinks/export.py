@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import constants as K
 from tidemark.specs import EXPORT_COLUMNS
 
-# A gzip-compressed fact row takes a few dozen bytes; this bound keeps files below the byte limit.
+# A gzip-compressed fact row takes a few dozen bytes. Wider rows are found by the sizes of the files.
 MAX_BYTES_PER_ROW = 64
 
 
@@ -16,12 +16,30 @@ def rows_per_file(file_bytes: int = K.EXPORT_FILE_BYTES, row_bytes: int = MAX_BY
     return max(1, file_bytes // row_bytes)
 
 
-def export_csv(fact: DataFrame, path: str, max_records: int | None = None, run_id: str | None = None) -> str:
+def export_csv(
+    fact: DataFrame,
+    path: str,
+    max_records: int | None = None,
+    run_id: str | None = None,
+    file_bytes: int = K.EXPORT_FILE_BYTES,
+) -> str:
     """Gzip CSV with header, many files, replacing the target. NULL is nothing, empty text is `""`.
 
-    Part files carry a job id; `run_id` puts the run into its own directory instead of replacing.
+    Part files carry a job id; `run_id` puts the run into its own directory instead of replacing. If a
+    file turns out larger than `file_bytes`, all are written again with fewer rows each.
     """
     target = f"{path}/run={run_id}" if run_id else path
+    rows = max_records or rows_per_file(file_bytes)
+    while True:
+        _write_csv(fact, target, rows)
+        files = fact.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv.gz").load(target)
+        largest = files.agg(F.max("length")).first()[0] or 0
+        if largest <= file_bytes or rows == 1:
+            return target
+        rows = max(1, min(rows // 2, rows * file_bytes // largest))
+
+
+def _write_csv(fact: DataFrame, target: str, rows: int) -> None:
     (
         fact.select(*EXPORT_COLUMNS)
         .write.mode("overwrite")
@@ -30,10 +48,9 @@ def export_csv(fact: DataFrame, path: str, max_records: int | None = None, run_i
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", max_records or rows_per_file())
+        .option("maxRecordsPerFile", rows)
         .csv(target)
     )
-    return target
 
 
 def export_parquet(fact: DataFrame, path: str, dt: str | None = None) -> str:

@@ -2,7 +2,9 @@
 
     <path>/changes/v=<n>/   change set of version n, written once, never rewritten
     <path>/base/v=<n>/      full rows at version n, written now and then by `compact`
+    <path>/folded/v=<n>/    the newest images of all change sets up to version n, written by `commit`
     <path>/_commits/<n>     JSON: which base and change sets make up version n
+    <path>/_commits/<n>.base  JSON: the base that `compact` made of version n
 
 A commit writes only what changed, so its cost follows the batch and not the table. Readers take
 the newest commit file; a directory without one is ignored, so a job that dies half-way leaves the
@@ -10,8 +12,8 @@ table as it was and its retry writes the same directory again. One writer per ta
 
 The base is bucketed by key. A join of the table with changed keys therefore never shuffles the
 base: few keys are broadcast, many keys are shuffled to the base's buckets. Bucketing needs a name
-in the session catalog, so each base is known there as an external table; dropping that name, as
-`compact` does for the base it folds, keeps the files.
+in the session catalog, so each base is known there as an external table. Names of earlier bases
+stay, for readers that still use them; dropping one keeps its files.
 """
 
 from __future__ import annotations
@@ -38,8 +40,9 @@ from tidemark.operators.changes import (
 from tidemark.state.files import SharedFiles
 
 KINDS = ("insert", "update", "delete")
-# Fold the change sets into a new base when there are this many, or when they hold this share of it.
-MAX_CHANGE_SETS = 24
+# So many change sets are folded into one, which leaves the base alone.
+FOLD_CHANGE_SETS = 24
+# The base is written anew when the change sets hold this share of it.
 MAX_CHANGED_SHARE = 0.25
 # Estimates come from compressed files, so a bucket holds several times this in memory.
 BUCKET_BYTES = 16 * 1024 * 1024
@@ -49,7 +52,7 @@ class VersionedTable:
     def __init__(
         self, spark: SparkSession, path: str, key: str, schema: T.StructType, buckets: int | None = None
     ):
-        """`buckets` of the base; by default as its estimated size asks, up to the shuffle partitions."""
+        """`buckets` of the base; by default as its estimated size asks."""
         self.spark = spark
         self.key = key
         self.schema = schema
@@ -69,7 +72,10 @@ class VersionedTable:
             if not known:
                 return None
             version = known[-1]
-        return json.loads(self._files.read_text(f"{self.path}/_commits/{version}"))
+        path = f"{self.path}/_commits/{version}"
+        record = json.loads(self._files.read_text(path))
+        compacted = f"{path}.base"
+        return record | json.loads(self._files.read_text(compacted)) if self._files.exists(compacted) else record
 
     def version(self) -> int:
         known = self.versions()
@@ -140,14 +146,15 @@ class VersionedTable:
         return self.spark.table(name).select(*self.schema.names)
 
     def _bucket_count(self, rows: DataFrame) -> int:
-        """As asked for, else by the estimated size: a divisor of the shuffle partitions, so that
-        rows shuffled by key already lie in tasks that write whole buckets."""
+        """As asked for, else by the estimated size: a divisor or a multiple of the shuffle partitions,
+        so that rows shuffled by key already lie in tasks that write whole buckets."""
         if self._buckets:
             return self._buckets
         partitions = self._shuffle_partitions()
         estimate = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         wanted = int(str(estimate)) // BUCKET_BYTES + 1
-        return next((n for n in range(1, partitions) if partitions % n == 0 and n >= wanted), partitions)
+        divisors = (n for n in range(wanted, partitions) if partitions % n == 0)
+        return next(divisors, partitions * -(-wanted // partitions))
 
     def _shuffle_partitions(self) -> int:
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -169,8 +176,9 @@ class VersionedTable:
         record = self.record()
         return record is None or record["base"] is None
 
-    def _change_sets(self, versions: list[int]) -> DataFrame:
-        paths = [f"{self.path}/changes/v={v}" for v in versions]
+    def _change_sets(self, versions: list[int | str]) -> DataFrame:
+        """Change sets by version, or by path if folded."""
+        paths = [f"{self.path}/{v if isinstance(v, str) else f'changes/v={v}'}" for v in versions]
         return self.spark.read.schema(change_schema(self.schema)).parquet(*paths)
 
     def change_versions(self, after: int, upto: int | None = None) -> list[int]:
@@ -232,7 +240,8 @@ class VersionedTable:
         first = head is None or head["base"] is None
         if first:
             buckets = buckets or self._bucket_count(rows)
-            spread = not clustered or self._shuffle_partitions() % buckets > 0
+            partitions = self._shuffle_partitions()
+            spread = not clustered or (partitions % buckets > 0 and buckets % partitions > 0)
             self._write_base(rows, target, buckets, spread)
         else:
             rows.write.mode("overwrite").parquet(f"{self.path}/{target}")
@@ -253,32 +262,38 @@ class VersionedTable:
             base = target if changed else None
             values |= {"base": base, "base_rows": changed, "rows": changed, "buckets": buckets}
         else:
+            sets, held = head["change_sets"], head["changed_rows"]
+            if changed and len(sets) >= FOLD_CHANGE_SETS:
+                sets, held = self._fold(head)
             new_sets = [version] if changed else []
             values |= {
                 "base": head["base"],
                 "buckets": head["buckets"],
                 "base_rows": head["base_rows"],
-                "change_sets": head["change_sets"] + new_sets,
-                "changed_rows": head["changed_rows"] + changed,
+                "change_sets": sets + new_sets,
+                "changed_rows": held + changed,
                 "rows": head["rows"] + counts["insert"] - counts["delete"],
             }
         return self._publish(version, **values)
 
+    def _fold(self, head: dict) -> tuple[list[str], int]:
+        """The newest images of all change sets as one, and their number. The base is not touched."""
+        target = f"folded/v={head['version']}"
+        self._newest(head).write.mode("overwrite").parquet(f"{self.path}/{target}")
+        return [target], self._change_sets([target]).count()
+
     def needs_compaction(self) -> bool:
         head = self.record()
         if head is None or not head["change_sets"]:
             return False
-        too_many = len(head["change_sets"]) >= MAX_CHANGE_SETS
-        floor = max(K.BROADCAST_ROWS, MAX_CHANGED_SHARE * head["base_rows"])
-        return too_many or head["changed_rows"] > floor
+        return head["changed_rows"] > max(K.BROADCAST_ROWS, MAX_CHANGED_SHARE * head["base_rows"])
 
     def compact(self) -> dict | None:
-        """Write the newest rows as a new base. The rows, and so the changes, stay the same."""
+        """Write the newest rows as a new base of the same version."""
         head = self.record()
         if head is None or not head["change_sets"]:
             return head
-        version = head["version"] + 1
-        target = f"base/v={version}"
+        target = f"base/v={head['version']}"
         # Only the changes are moved; the rows of the old base stay in the tasks that read them,
         # unless the table has outgrown its buckets.
         buckets = head["buckets"]
@@ -289,9 +304,9 @@ class VersionedTable:
         if outgrown:
             buckets = self._bucket_count(rows)
         self._write_base(rows, target, buckets, spread=outgrown)
-        record = self._publish(version, base=target, base_rows=head["rows"], buckets=buckets)
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._base_name(head['base'])}")
-        return record
+        based = {"base": target, "base_rows": head["rows"], "buckets": buckets, "change_sets": [], "changed_rows": 0}
+        self._files.publish_text(f"{self.path}/_commits/{head['version']}.base", json.dumps(based))
+        return head | based
 
     def replace(self, rows: DataFrame, meta: dict | None = None, buckets: int | None = None) -> dict:
         """A new version that holds exactly `rows`, without a change set."""

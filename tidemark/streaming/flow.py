@@ -282,28 +282,39 @@ class Flow:
 
     def ingest_available(self, *entities: EntitySpec) -> None:
         """Everything new of the given feeds (all by default) into silver. The feeds run side by side."""
-        queries = [self._start_one(e, {"availableNow": True}, None) for e in entities or self.entities]
+        queries = [self._start_one(e, {"availableNow": True}) for e in entities or self.entities]
         for query in queries:
             query.awaitTermination()
 
-    def start_continuous(self, interval: str = K.TRIGGER_INTERVAL) -> list[StreamingQuery]:
-        """One running query per feed; each batch that reaches silver refreshes gold and the export."""
+    def start_continuous(
+        self, interval: str = K.TRIGGER_INTERVAL, gold_interval: str | None = None, export_interval: str | None = None
+    ) -> list[StreamingQuery]:
+        """One running query per feed, one that refreshes gold and one that exports it, each at its own
+        pace: ingest never waits for a refresh, nor a refresh for an export."""
 
-        def downstream() -> None:
-            with self._gold_lock:
-                self.refresh_gold()
-                if self.needs_export():
-                    self.export()
+        def export_newer() -> None:
+            if self.needs_export():
+                self.export()
 
-        return [self._start_one(e, {"processingTime": interval}, downstream) for e in self.entities]
+        feeds = [self._start_one(e, {"processingTime": interval}) for e in self.entities]
+        gold_query = self._every(gold_interval or interval, self.refresh_gold, "refresh")
+        return [*feeds, gold_query, self._every(export_interval or interval, export_newer, "export")]
 
-    def _start_one(self, spec: EntitySpec, trigger: dict, after_batch) -> StreamingQuery:
+    def _every(self, interval: str, step, label: str) -> StreamingQuery:
+        """Run a step at intervals, as a streaming query that can be watched and stopped like the feeds."""
+        ticks = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+        return (
+            ticks.writeStream.foreachBatch(lambda rows, n: step() and None)
+            .option("checkpointLocation", f"{self.root}/checkpoints/timers/{label}-{uuid.uuid4().hex}")
+            .trigger(processingTime=interval)
+            .start()
+        )
+
+    def _start_one(self, spec: EntitySpec, trigger: dict) -> StreamingQuery:
         checkpoint = f"{self.root}/checkpoints/{self._generation()}/{spec.name}"
 
         def on_batch(batch: DataFrame, batch_id: int) -> None:
             self.apply_batch(spec, batch, (self._feed_id(checkpoint), batch_id))
-            if after_batch is not None:
-                after_batch()
 
         rows = stream_landing(
             self.spark, self.landing, spec, fmt=self.fmt, load_ts=self.run_ts, max_files=self.max_files, **self.reading
