@@ -228,15 +228,15 @@ DEAD = "s.IS_DELETED OR s.BOOKING_STATUS = 'CANCELLED'"
 GOLD = "GOLD.BOOKING_FACT"
 
 
-def orphans(parent: str) -> str:
+def orphans(parent: str, claim: str = "claim") -> str:
     return (
-        f"SELECT c.CLAIM_ID FROM claim c LEFT JOIN {parent} b ON b.BOOKING_ID = c.BOOKING_ID "
+        f"SELECT c.CLAIM_ID FROM {claim} c LEFT JOIN {parent} b ON b.BOOKING_ID = c.BOOKING_ID "
         "WHERE b.BOOKING_ID IS NULL AND NOT c.IS_DELETED"
     )
 
 
-def dead_in(table: str) -> str:
-    return f"SELECT g.BOOKING_ID FROM {table} g JOIN booking s ON s.BOOKING_ID = g.BOOKING_ID WHERE {DEAD}"
+def dead_in(table: str, booking: str = "booking") -> str:
+    return f"SELECT g.BOOKING_ID FROM {table} g JOIN {booking} s ON s.BOOKING_ID = g.BOOKING_ID WHERE {DEAD}"
 
 
 def upsert_sql(entity: str) -> str:
@@ -390,6 +390,82 @@ def gold_suite() -> str:
 
 ACCEPTED = "BOOKING_STATUS NOT IN ('CONFIRMED', 'PENDING', 'CANCELLED')"
 NEGATIVE = dq_line("net_revenue_not_negative", GOLD, "SELECT 1 FROM fact WHERE NET_REVENUE < 0", "WARN")
+
+
+def pipeline_rules(prefix: str = "", table: str = "fact") -> str:
+    """The six rules over the states and the fact of one moment."""
+    booking = f"{prefix}booking"
+    return both(
+        dq_line("unique_booking_id", "SILVER.BOOKING", repeated(booking, "BOOKING_ID")),
+        dq_line("not_null_booking_id", "SILVER.BOOKING", f"SELECT 1 FROM {booking} WHERE BOOKING_ID IS NULL"),
+        dq_line("accepted_booking_status", "SILVER.BOOKING", f"SELECT 1 FROM {booking} WHERE {ACCEPTED}"),
+        dq_line("fk_claim_to_booking", "SILVER.CLAIM", orphans(booking, f"{prefix}claim")),
+        dq_line("net_revenue_not_negative", GOLD, f"SELECT 1 FROM {table} WHERE NET_REVENUE < 0", "WARN"),
+        dq_line("gold_excludes_cancelled", GOLD, dead_in(table, booking)),
+    )
+
+
+def rejects_sql() -> str:
+    bad = "BOOKING_STATUS = 'PENDING' AND CHANNEL IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"
+    reason = "CASE CHANNEL WHEN '1-URGENT' THEN 'unusable sequence' WHEN '2-HIGH' THEN 'ORIGIN too long' ELSE 'missing key' END"
+    audited = {
+        "ROWS_READ": "count(*)",
+        "ROWS_REJECTED": f"count(*) FILTER (WHERE {bad})",
+        "FIELDS_UNPARSABLE": "count(*) FILTER (WHERE FARE_TEXT = 'n/a')",
+    }
+    return query(
+        both(
+            *[f"SELECT '{p}' AS PART, 'fullload/booking' AS NAME, CAST({n} AS BIGINT) AS N FROM landed" for p, n in audited.items()],
+            f"SELECT 'REASON', {reason}, count(*) FROM landed WHERE {bad} GROUP BY 2",
+            f"SELECT 'CURRENCY', CURRENCY, count(*) FROM landed WHERE NOT ({bad}) GROUP BY 2",
+        ),
+        "\nlanded AS (SELECT * FROM booking_feed WHERE batch = 0)",
+    )
+
+
+def undelete_sql() -> str:
+    changed = {"seq": "CAST(CASE WHEN IS_DELETED THEN seq + 10000000000000 ELSE seq END AS VARCHAR) AS CHANGE_SEQ", "IS_DELETED": "FALSE AS IS_DELETED"}
+    columns = ", ".join(changed.get(c.strip(), shown(c)) for c in COLUMNS["booking"].split(","))
+    return query(f"SELECT {columns} FROM booking", state("booking", "booking"))
+
+
+def offsets_sql() -> str:
+    lines = []
+    for after in (0, 1):
+        if after == 0:
+            lines.append("SELECT 0 AS AFTER, CAST(1 AS BIGINT) AS _version, 'insert' AS _change_type, count(*) AS N FROM booking_old")
+        for kind, when in (("insert", "IS NULL"), ("update_preimage", "IS NOT NULL"), ("update_postimage", "IS NOT NULL")):
+            lines.append(f"SELECT {after}, 2, '{kind}', count(*) FROM booking_diff WHERE old_key {when}")
+    return query(f"SELECT * FROM ({both(*lines)}) v WHERE N > 0", change_ctes("booking"))
+
+
+def run_log_sql() -> str:
+    keys = " UNION ".join(keys_of(e) for e in KEYS)
+    refreshed = f"SELECT count(*) FROM fact WHERE BOOKING_ID IN ({keys})"
+
+    def line(step: str, target: str, runs: int, rows: str) -> str:
+        return (
+            f"SELECT '{step}' AS STEP, '{target}' AS TARGET, {runs} AS RUNS, CAST({rows} AS BIGINT) AS ROWS_AFFECTED, "
+            "TIMESTAMP '2001-11-04 03:00:30' AS LAST_TS"
+        )
+
+    merged = "(SELECT count(*) FROM {0}_old) + (SELECT count(*) FROM {0}_diff)"
+    return query(
+        both(
+            *[line("RAW->SILVER", f"SILVER.{e.upper()}", 2, merged.format(e)) for e in KEYS],
+            line("SILVER->GOLD", GOLD, 2, f"(SELECT count(*) FROM old_fact) + ({refreshed})"),
+            line("GOLD->OUTBOUND", "booking_fact", 1, "(SELECT count(*) FROM fact)"),
+        ),
+        states(), fact(), states("0", "old_"), fact("old_fact", "old_"), *[change_ctes(e) for e in KEYS],
+    )
+
+
+INSPECTION = (
+    "SELECT f.REVENUE_BAND, r.CABIN_CLASS, count(*) AS CLAIMS FROM fact f "
+    "JOIN claim c ON c.BOOKING_ID = f.BOOKING_ID LEFT JOIN (SELECT * FROM reservation WHERE NOT IS_DELETED) r "
+    "ON r.BOOKING_ID = f.BOOKING_ID WHERE NOT c.IS_DELETED AND c.CLAIM_STATUS = 'OPEN' AND f.CHANNEL = '1-URGENT' "
+    "AND f.REVENUE_BAND <> 'LOW' GROUP BY ALL"
+)
 STATUS_TOTALS = (
     "SELECT '{0}' AS STAGE, BOOKING_STATUS, IS_DELETED, count(*) AS N, CAST(sum(FARE_AMOUNT) AS DOUBLE) AS FARE "
     "FROM {1} GROUP BY BOOKING_STATUS, IS_DELETED"
@@ -506,17 +582,7 @@ def oracles() -> dict[str, str]:
             states(), fact(), states("0", "old_"), fact("old_fact", "old_"),
         ),
         "dq_gold_suite": gold_suite(),
-        "dq_results": query(
-            both(
-                dq_line("unique_booking_id", "SILVER.BOOKING", repeated("booking", "BOOKING_ID")),
-                dq_line("not_null_booking_id", "SILVER.BOOKING", "SELECT 1 FROM booking WHERE BOOKING_ID IS NULL"),
-                dq_line("accepted_booking_status", "SILVER.BOOKING", f"SELECT 1 FROM booking WHERE {ACCEPTED}"),
-                dq_line("fk_claim_to_booking", "SILVER.CLAIM", orphans("booking")),
-                NEGATIVE,
-                dq_line("gold_excludes_cancelled", GOLD, dead_in("fact")),
-            ),
-            states(), fact(),
-        ),
+        "dq_results": query(pipeline_rules(), states(), fact()),
         "stream_ingest": query(
             f"SELECT {shown(booking, without=('UPDATED_AT',))} FROM newest", state("newest", "booking", "0, 1, 2")
         ),
@@ -539,4 +605,15 @@ def oracles() -> dict[str, str]:
             both(version_summary(1, "v1"), version_summary(2, "v2"), version_summary(3, "v1")),
             state("v1", "claim", "0"), state("v2", "claim"),
         ),
+        "landed_rejects": rejects_sql(),
+        "cdc_undelete": undelete_sql(),
+        "consumer_offsets": offsets_sql(),
+        "run_log": run_log_sql(),
+        "dq_history": query(
+            both(pipeline_rules("old_", "old_fact"), pipeline_rules()),
+            states(), fact(), states("0", "old_"), fact("old_fact", "old_"),
+        ),
+        "stored_rebuild": query(SUMMARY, states(), fact(), DAILY),
+        "export_top": _fact_select(without=("LOAD_TS",)) + " ORDER BY fact.FARE_AMOUNT DESC NULLS LAST, BOOKING_ID LIMIT 100",
+        "inspection": query(INSPECTION, states(), fact()),
     }

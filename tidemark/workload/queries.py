@@ -377,6 +377,120 @@ def time_travel(spark, sf_dir):
     return present(union(parts))
 
 
+# ---- stored results and files of runs ----------------------------------------------------
+
+
+def _merged(spark, sf_dir, label, *batches) -> Flow:
+    flow = Flow(spark, work_dir(spark, label), "", run_ts=RUN_TS)
+    for batch in batches:
+        flow.merge_all(feeds.raw_batches(spark, sf_dir, batch))
+        flow.refresh_gold()
+    return flow
+
+
+def landed_rejects(spark, sf_dir):
+    """Bookings landed with faults, under foreign column names and with NULL tokens: what the audit
+    counts per landing folder, what is set aside and why, what silver holds."""
+    base = work_dir(spark, "rejects")
+    pending = F.col("BOOKING_STATUS") == "PENDING"
+    faults = {
+        "BOOKING_ID": F.when(pending & (F.col("CHANNEL") == "3-MEDIUM"), "").otherwise(F.col("BOOKING_ID")),
+        "ORIGIN": F.when(pending & (F.col("CHANNEL") == "2-HIGH"), "LONDON").otherwise(F.col("ORIGIN")),
+        "CURRENCY": F.coalesce("CURRENCY", F.lit("NULL")),
+        K.CHANGE_SEQ: F.when(pending & (F.col("CHANNEL") == "1-URGENT"), "x").otherwise(F.col(K.CHANGE_SEQ)),
+    }
+    rows = feeds.feed(spark, sf_dir, BOOKING, FULL)
+    named = [faults.get(c, F.col(c)).alias(f"field {i}") for i, c in enumerate(BOOKING.file_columns)]
+    rows.select(*named).write.options(header="true", escape='"').csv(f"{base}/landing/fullload/booking")
+    flow = Flow(spark, f"{base}/root", f"{base}/landing", run_ts=RUN_TS)
+    flow.load("fullload")
+
+    folder = F.regexp_replace(K.SRC_FILE, "/[^/]*$", "")
+    audit = flow.load_audit().groupBy(folder.alias("NAME")).agg(
+        *[F.sum(c).alias(c) for c in ("ROWS_READ", "ROWS_REJECTED", "FIELDS_UNPARSABLE")]
+    )
+    parts = [audit.select(F.lit(c).alias("PART"), "NAME", F.col(c).alias("N")) for c in audit.columns[1:]]
+    by = {"REASON": (flow.quarantine(BOOKING), "REJECT_REASON"), "CURRENCY": (flow.silver["booking"].read(), "CURRENCY")}
+    for part, (df, column) in by.items():
+        parts.append(df.groupBy(F.col(column).alias("NAME")).agg(F.count("*").alias("N")).withColumn("PART", F.lit(part)))
+    return union(parts)
+
+
+def cdc_undelete(spark, sf_dir):
+    """Bookings that the changes deleted come back in a later batch."""
+    table = VersionedTable(spark, work_dir(spark, "undelete"), BOOKING.key, BOOKING.state_schema)
+    table.commit(C.change_set(None, feeds.newest(spark, sf_dir, BOOKING, FULL), BOOKING))
+    delta = feeds.newest(spark, sf_dir, BOOKING, DELTA)
+    table.commit(C.change_set(table.read(), delta, BOOKING))
+    back = delta.filter(K.IS_DELETED).withColumns(
+        {K.IS_DELETED: F.lit(False), K.CHANGE_SEQ: (F.col(K.CHANGE_SEQ) + F.lit(10_000_000_000_000)).cast("decimal(38,0)")}
+    )
+    table.commit(C.change_set(table.read(), back, BOOKING))
+    return present(table.read())
+
+
+def consumer_offsets(spark, sf_dir):
+    """What consumers that have read up to different versions of silver booking still see."""
+    flow = Flow(spark, work_dir(spark, "offsets"), "", run_ts=RUN_TS)
+    for batch in (FULL, DELTA, LATE):  # the late batch changes nothing: older sequences
+        flow.merge_batch(BOOKING, feeds.raw_batches(spark, sf_dir, batch)[BOOKING])
+    parts = []
+    for offset in range(flow.silver["booking"].version() + 1):
+        seen = C.change_rows(flow.silver["booking"].changes(after=offset)).groupBy(C.VERSION, C.CHANGE_TYPE)
+        parts.append(seen.agg(F.count("*").alias("N")).withColumn("AFTER", F.lit(offset)))
+    return union(parts)
+
+
+def run_log(spark, sf_dir):
+    """Steps and rows that a full load, a batch of changes and an export leave in the log."""
+    flow = _flow(spark, sf_dir, "run-log", FULL, DELTA)
+    for batch in (FULL, DELTA):
+        flow.load(feeds.PREFIXES[batch])
+        flow.refresh_gold()
+    flow.export()
+    steps = flow.run_log().groupBy("STEP", "TARGET")
+    return steps.agg(F.count("*").alias("RUNS"), F.sum("ROWS_AFFECTED").alias("ROWS_AFFECTED"), F.max("LOG_TS").alias("LAST_TS"))
+
+
+def dq_history(spark, sf_dir):
+    """The stored results of a check after the full load and one after the changes."""
+    flow = Flow(spark, work_dir(spark, "dq-history"), "", run_ts=RUN_TS)
+    for batch in (FULL, DELTA):
+        flow.merge_all(feeds.raw_batches(spark, sf_dir, batch))
+        flow.refresh_gold()
+        flow.run_quality()
+    return flow.quality_history()
+
+
+def stored_rebuild(spark, sf_dir):
+    """The daily summary as a rebuild of the stored fact wrote it."""
+    flow = Flow(spark, work_dir(spark, "rebuild"), "", run_ts=RUN_TS)
+    for batch in (FULL, DELTA):
+        flow.merge_all(feeds.raw_batches(spark, sf_dir, batch))
+    flow.rebuild_gold()
+    return present(flow.daily_route_summary())
+
+
+def export_top(spark, sf_dir):
+    """The 100 dearest bookings, read back from an export of the stored fact."""
+    flow = _merged(spark, sf_dir, "export-top", FULL, DELTA)
+    schema = T.StructType([FACT_SCHEMA[c] for c in EXPORT_COLUMNS])
+    rows = read_export(spark, flow.export(), schema)
+    return present(rows.orderBy(F.desc("FARE_AMOUNT"), F.asc("BOOKING_ID")).limit(100))
+
+
+def inspection(spark, sf_dir):
+    """The views of a flow, asked in SQL: open claims of urgent bookings, by band and seat."""
+    _merged(spark, sf_dir, "inspection", FULL, DELTA).register_views()
+    return spark.sql(
+        "SELECT f.REVENUE_BAND, r.CABIN_CLASS, count(*) AS CLAIMS FROM gold_booking_fact f "
+        "JOIN silver_claim c ON c.BOOKING_ID = f.BOOKING_ID AND NOT c.IS_DELETED AND c.CLAIM_STATUS = 'OPEN' "
+        "LEFT JOIN silver_reservation r ON r.BOOKING_ID = f.BOOKING_ID AND NOT r.IS_DELETED "
+        "WHERE f.CHANNEL = '1-URGENT' AND f.REVENUE_BAND IN ('HIGH', 'MEDIUM') "
+        "GROUP BY f.REVENUE_BAND, r.CABIN_CLASS"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -387,5 +501,6 @@ QUERIES = {
         freshness, dq_unique, dq_not_null, dq_accepted, dq_fk, dq_net_revenue,
         dq_gold_excludes_cancelled, dq_gold_suite, dq_results, stream_ingest, stream_to_gold,
         replay, raw_empty_after_load, unload_roundtrip, unload_partitioned, time_travel,
+        landed_rejects, cdc_undelete, consumer_offsets, run_log, dq_history, stored_rebuild, export_top, inspection,
     )
 }
