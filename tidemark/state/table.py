@@ -52,7 +52,7 @@ class VersionedTable:
     def __init__(
         self, spark: SparkSession, path: str, key: str, schema: T.StructType, buckets: int | None = None
     ):
-        """`buckets` of the base; by default as its estimated size asks."""
+        """`buckets` of the base; by default as its estimated size asks, up to the shuffle partitions."""
         self.spark = spark
         self.key = key
         self.schema = schema
@@ -146,15 +146,15 @@ class VersionedTable:
         return self.spark.table(name).select(*self.schema.names)
 
     def _bucket_count(self, rows: DataFrame) -> int:
-        """As asked for, else by the estimated size: a divisor or a multiple of the shuffle partitions,
-        so that rows shuffled by key already lie in tasks that write whole buckets."""
+        """As asked for, else by the estimated size: a divisor of the shuffle partitions, so that
+        rows shuffled by key already lie in tasks that write whole buckets. The estimate multiplies the
+        sides of a join, so it cannot go unbounded."""
         if self._buckets:
             return self._buckets
         partitions = self._shuffle_partitions()
         estimate = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         wanted = int(str(estimate)) // BUCKET_BYTES + 1
-        divisors = (n for n in range(wanted, partitions) if partitions % n == 0)
-        return next(divisors, partitions * -(-wanted // partitions))
+        return next((n for n in range(1, partitions) if partitions % n == 0 and n >= wanted), partitions)
 
     def _shuffle_partitions(self) -> int:
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
