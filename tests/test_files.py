@@ -118,3 +118,11 @@ def test_parquet_exports(spark, tmp_path):
     assert back == {"B1": "NEW", "B2": "APP", "B3": None}  # only the day written again was replaced
     pruned = spark.read.parquet(path).filter("dt = '2026-08-02'")
     assert [r.BOOKING_ID for r in pruned.collect()] == ["B2"]
+
+
+def test_files_of_wide_rows_stay_below_the_limit(spark, tmp_path):
+    wide = fact(spark, ROUTE="x").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(400))))
+    wide = wide.withColumn("ROUTE", F.concat_ws("", *[F.sha2(F.concat(F.col("n").cast("string"), F.lit(str(i))), 512) for i in range(4)]))
+    out = export_csv(wide.drop("n").coalesce(1), str(tmp_path / "wide"), file_bytes=20_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "wide").glob("*.csv.gz")]
+    assert out == str(tmp_path / "wide") and len(sizes) > 1 and max(sizes) <= 20_000
