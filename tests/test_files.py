@@ -121,7 +121,7 @@ def test_parquet_exports(spark, tmp_path):
 
 
 def test_files_of_wide_rows_stay_below_the_limit(spark, tmp_path):
-    wide = fact(spark, ROUTE="x").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(400))))
+    wide = fact(spark).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(400))))
     wide = wide.withColumn("ROUTE", F.concat_ws("", *[F.sha2(F.concat(F.col("n").cast("string"), F.lit(str(i))), 512) for i in range(4)]))
     out = export_csv(wide.drop("n").coalesce(1), str(tmp_path / "wide"), file_bytes=20_000)
     sizes = [f.stat().st_size for f in (tmp_path / "wide").glob("*.csv.gz")]
