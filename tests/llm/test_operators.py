@@ -321,6 +321,23 @@ def test_extraction_of_the_given_pages(spark):
     assert {r.page_id: r.text for r in extraction.extract_text(pages).collect()} == want
 
 
+def test_all_pages_of_a_host_are_judged_by_one_wrapper(spark, monkeypatch):
+    page = "<body><div>Our menu</div><article><p>Text {n}</p><p>Same notice</p></article><div>Imprint</div></body>"
+    pages = [(i, f"http://a.example/{i}", page.replace("{n}", f"number {i}"), "x") for i in range(40)]
+    pages += [(100 + i, f"http://b{i}.example/", "<p>alone", "x") for i in range(3)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, host string")
+    want = {i: f"Text number {i}" for i in range(40)} | {100 + i: "alone" for i in range(3)}
+    monkeypatch.setattr(extraction, "HOST_SHARE", 40)
+    for pages_per_part, rows in ((512, 1024), (2, 1024), (512, 3), (2, 3)):
+        monkeypatch.setattr(extraction, "HOST_PAGES", pages_per_part, raising=False)
+        with_rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+        try:
+            assert {r.page_id: r.text for r in extraction.extract_text(df).collect()} == want
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", with_rows)
+
+
 def labelled(spark, good, bad, column):
     texts = [good(i) if i % 3 else bad(i) for i in range(240)]
     labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(240)] + [(None, 1), (7, None), (9999, 1)], f"doc_id long, {column} int")

@@ -1,36 +1,39 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are parsed into trees of block elements. Their trees are aligned, one after the
-other, with a growing wrapper tree by simple tree matching: the heaviest order-preserving matching of
-children, found recursively by dynamic programming. A wrapper node whose text is the same on most of
-its pages is template; one whose text varies is a slot. Slots become content unless they stand in a
-part of the page that by its element, role, class or id is navigation, header, footer, sidebar,
-advert, notice, form or comments. If the wrapper has article or main elements with text, content is
-what stands in them, and else the slots under the wrapper node that holds most of the varying text.
+Pages are parsed into trees of block elements. Induction comes first: the different tree shapes of a
+host are aligned, one after the other, with a growing wrapper tree by simple tree matching: the
+heaviest order-preserving matching of children, found by dynamic programming. Every page is then
+matched to the finished wrapper of its host, and the texts in each place of it are counted over all
+pages of the host. A text that is the same on most pages is template; where texts vary is a slot.
+Extraction comes second and judges all pages of a host by the same wrapper and counts. Slots become
+content unless they stand in a part of the page that by its element, role, class or id is navigation,
+header, footer, sidebar, advert, notice, form or comments. If the page has article or main elements
+with text, content is what stands in them, and else the slots under the node that holds most of the
+varying text.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as references
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import prepare, table
+from tidemark.llm.common import materialise, prepare, table
 
-#: pages that are aligned before content is taken from them; the wrapper then goes on growing
-RUN = 256
-#: hosts with more than this share of the pages are spread over several tasks
-HOST_SHARE = 2000
+#: hosts with more than this share of the pages, and this many, are spread over several tasks
+HOST_SHARE, HOST_PAGES = 2000, 512
+#: shapes of a host are aligned in so many parts, whose wrappers are then aligned with one another
+SHAPE_PARTS = 16
 #: a text is template if so many different pages have it in one place, and so large a part of them
 TEMPLATE_PAGES, TEMPLATE_SHARE = 4, 0.6
-#: different texts remembered at a wrapper node
-TEXTS = 512
 
 # Element classes of HTML
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,38 +57,15 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    """A block element, or (tag '#') a run of text between blocks."""
+    """A block element, or (tag '#') a run of text between blocks; of a page or of a wrapper."""
 
-    __slots__ = ("tag", "apart", "children", "text", "match")
+    __slots__ = ("tag", "apart", "children", "text", "match", "number")
 
     def __init__(self, tag: str, apart: bool = False, text: str = ""):
         self.tag, self.apart, self.text = tag, apart, text
         self.children: list[Node] = []
-        self.match: Slot | None = None
-
-
-class Slot:
-    """A node of the wrapper: what its pages hold in its place."""
-
-    __slots__ = ("tag", "children", "pages", "texts", "other")
-
-    def __init__(self, tag: str):
-        self.tag = tag
-        self.children: list[Slot] = []
-        self.pages, self.other = 0, 0
-        self.texts: Counter[int] = Counter()
-
-    def see(self, text: str) -> None:
-        self.pages += 1
-        key = hash(text)
-        if key in self.texts or len(self.texts) < TEXTS:
-            self.texts[key] += 1
-        else:
-            self.other += 1
-
-    def is_template(self, text: str) -> bool:
-        n = self.texts.get(hash(text), 0)
-        return n >= TEMPLATE_PAGES and n >= TEMPLATE_SHARE * self.pages
+        self.match: Node | None = None  # of a page: its place in the wrapper
+        self.number = -1  # of a run in a finished wrapper
 
 
 def _apart(tag: str, attributes: str, in_core: bool) -> bool:
@@ -219,14 +199,65 @@ def _head_end(page: str, at: int) -> int:
         at = stop.end()
 
 
-def _weigh(slot: Slot, node: Node) -> int:
-    """Nodes of the heaviest order-preserving matching of two trees with equal root tags."""
+def flatten(root: Node) -> tuple[str, list[str]]:
+    """The shape of a tree and its text runs, both in page order. In a shape each block is opened by
+    its tag, with ! if it is set apart, and closed by /; # is a run."""
+    shape: list[str] = []
+    texts: list[str] = []
+    stack: list[Node | None] = [root]
+    while stack:
+        node = stack.pop()
+        if node is None:
+            shape.append("/")
+        elif node.tag == "#":
+            shape.append("#")
+            texts.append(node.text)
+        else:
+            shape.append(node.tag + "!" if node.apart else node.tag)
+            stack.append(None)
+            stack.extend(reversed(node.children))
+    return " ".join(shape), texts
+
+
+def tree_of(shape: str) -> tuple[Node, list[Node]]:
+    """The tree of a shape, and its runs, numbered in page order."""
+    top = Node("")
+    stack, runs = [top], []
+    for token in shape.split(" "):
+        if token == "/":
+            stack.pop()
+            continue
+        node = Node(token.rstrip("!"), token.endswith("!"))
+        stack[-1].children.append(node)
+        if token == "#":
+            node.number = len(runs)
+            runs.append(node)
+        else:
+            stack.append(node)
+    return top.children[0], runs
+
+
+def _weigh(slot: Node, node: Node, known: dict[tuple[int, int], int]) -> int:
+    """Nodes of the heaviest order-preserving matching of two trees with equal root tags. known holds
+    the weights of pairs below."""
     if not slot.children or not node.children:
         return 1
-    return 1 + _table(slot.children, node.children)[-1][-1]
+    stack = [(slot, node)]
+    while stack:
+        s, n = stack[-1]
+        if (id(s), id(n)) in known:
+            stack.pop()
+            continue
+        below = [(a, b) for a in s.children if a.children for b in n.children if b.tag == a.tag and b.children and (id(a), id(b)) not in known]
+        if below:
+            stack += below
+            continue
+        stack.pop()
+        known[id(s), id(n)] = 1 + _table(s.children, n.children, known)[-1][-1]
+    return known[id(slot), id(node)]
 
 
-def _table(slots: list[Slot], nodes: list[Node]) -> list[list[int]]:
+def _table(slots: list[Node], nodes: list[Node], known: dict[tuple[int, int], int]) -> list[list[int]]:
     rows = [[0] * (len(nodes) + 1)]
     for slot in slots:
         above, row, best = rows[-1], [0], 0
@@ -234,7 +265,7 @@ def _table(slots: list[Slot], nodes: list[Node]) -> list[list[int]]:
         for j, node in enumerate(nodes, 1):
             best = above[j] if above[j] > best else best
             if node.tag == tag:
-                through = above[j - 1] + (_weigh(slot, node) if node.children else 1)
+                through = above[j - 1] + (known[id(slot), id(node)] if node.children and slot.children else 1)
                 if through > best:
                     best = through
             row.append(best)
@@ -242,100 +273,171 @@ def _table(slots: list[Slot], nodes: list[Node]) -> list[list[int]]:
     return rows
 
 
-def align(slot: Slot, node: Node, evidence: bool = True) -> None:
-    """Match a page's tree to the wrapper and add what the wrapper lacks. Only evidence is counted."""
-    node.match = slot
-    if evidence:
-        slot.see(node.text)
-    if not node.children:
-        return
-    slots, nodes = slot.children, node.children
-    pairs: list[tuple[int, int]] = []
-    if [s.tag for s in slots] == [n.tag for n in nodes]:
-        pairs = [(i, i) for i in range(len(slots))]
-    elif slots:
-        rows = _table(slots, nodes)
-        i, j = len(slots), len(nodes)
-        while i and j:
-            if rows[i][j] == rows[i][j - 1]:
-                j -= 1
-            elif rows[i][j] == rows[i - 1][j]:
-                i -= 1
-            else:
-                i, j = i - 1, j - 1
-                pairs.append((i, j))
-        pairs.reverse()
-    matched = {j: slots[i] for i, j in pairs}
-    added, at = [], 0
-    for j, child in enumerate(nodes):
-        if j in matched:
-            while slots[at] is not matched[j]:
-                added.append(slots[at])
-                at += 1
-            at += 1
-            added.append(matched[j])
+def _pairs(slots: list[Node], nodes: list[Node], known: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
+    """The heaviest order-preserving matching of two lists of children."""
+    for slot in slots:
+        if slot.children:
+            for node in nodes:
+                if node.tag == slot.tag and node.children:
+                    _weigh(slot, node, known)
+    rows = _table(slots, nodes, known)
+    i, j = len(slots), len(nodes)
+    pairs = []
+    while i and j:
+        if rows[i][j] == rows[i][j - 1]:
+            j -= 1
+        elif rows[i][j] == rows[i - 1][j]:
+            i -= 1
         else:
-            fresh = Slot(child.tag)
-            added.append(fresh)
-            matched[j] = fresh
-        align(matched[j], child, evidence)
-    slot.children = added + slots[at:]
+            i, j = i - 1, j - 1
+            pairs.append((i, j))
+    pairs.reverse()
+    return pairs
+
+
+def align(wrapper: Node, page: Node, grow: bool = True) -> None:
+    """Match a page's tree, or another wrapper, to the wrapper, and add what the wrapper lacks. A
+    wrapper that is not to grow matches all of a page that has been aligned with it before."""
+    known: dict[tuple[int, int], int] = {}
+    stack = [(wrapper, page)]
+    while stack:
+        slot, node = stack.pop()
+        node.match = slot
+        if not node.children:
+            continue
+        slots, nodes = slot.children, node.children
+        if len(slots) == len(nodes) and [s.tag for s in slots] == [n.tag for n in nodes]:
+            stack += zip(slots, nodes, strict=True)
+            continue
+        matched = {j: slots[i] for i, j in _pairs(slots, nodes, known)} if slots else {}
+        if grow:
+            added, at = [], 0
+            for j, child in enumerate(nodes):
+                if j in matched:
+                    while slots[at] is not matched[j]:
+                        added.append(slots[at])
+                        at += 1
+                    at += 1
+                else:
+                    matched[j] = Node(child.tag)
+                added.append(matched[j])
+            slot.children = added + slots[at:]
+        stack += [(s, nodes[j]) for j, s in matched.items()]
 
 
-def _texts(node: Node, inside: bool, out: list[tuple[Node, bool]]) -> None:
-    """Text runs outside the parts set apart, and whether they stand in an article or main element."""
-    for child in node.children:
-        if child.tag == "#":
-            out.append((child, inside))
-        elif not child.apart:
-            _texts(child, inside or child.tag in _CORE, out)
+def places(wrapper: Node, shape: str) -> list[int]:
+    """For each run of a shape the number of its run in a finished wrapper, or -1."""
+    page, runs = tree_of(shape)
+    align(wrapper, page, grow=False)
+    return [-1 if r.match is None else r.match.number for r in runs]
 
 
-def _main_node(node: Node) -> Node:
-    """Down from the root while one child holds most of the varying text."""
+def _outside(root: Node) -> list[tuple[Node, bool]]:
+    """Text runs outside the parts set apart, and whether they stand in an article or main element."""
+    out: list[tuple[Node, bool]] = []
+    stack = [(root, False)]
+    while stack:
+        node, inside = stack.pop()
+        if node.tag == "#":
+            out.append((node, inside))
+        else:
+            stack += [(c, inside or c.tag in _CORE) for c in reversed(node.children) if not c.apart]
+    return out
 
-    def size(n: Node) -> int:
-        if n.apart:
-            return 0
-        own = len(n.text) if n.tag == "#" and not n.match.is_template(n.text) else 0
-        return own + sum(size(c) for c in n.children)
 
+def _main_node(root: Node, varying: set[Node]) -> Node:
+    """Down from the root while one child holds most of the varying text."""
+    order, sizes = [root], {}
+    for node in order:  # grows: parents before children
+        order += () if node.apart else node.children
+    for node in reversed(order):
+        sizes[node] = (len(node.text) if node in varying else 0) + (0 if node.apart else sum(sizes[c] for c in node.children))
+    node = root
     while True:
-        total = size(node)
-        best = max(((size(c), -i) for i, c in enumerate(node.children) if c.tag not in ("#", "p", "li", "ul", "ol", "table", "blockquote")), default=(0, 0))
-        if not total or best[0] < 0.6 * total:
+        best = max(((sizes[c], -i) for i, c in enumerate(node.children) if c.tag not in ("#", "p", "li", "ul", "ol", "table", "blockquote")), default=(0, 0))
+        if not sizes[node] or best[0] < 0.6 * sizes[node]:
             return node
         node = node.children[-best[1]]
 
 
-def content(page: Node) -> list[str]:
-    """Blocks of a page that has been aligned."""
-    runs: list[tuple[Node, bool]] = []
-    _texts(page, False, runs)
-    inside = [n for n, core in runs if core]
+def content(shape: str, texts: list[str], template: list[bool]) -> list[str]:
+    """Blocks of a page, given which of its runs are template."""
+    root, runs = tree_of(shape)
+    for run, text in zip(runs, texts, strict=True):
+        run.text = text
+    outside = _outside(root)
+    inside = [n for n, core in outside if core]
     if not inside:
-        runs = []
-        _texts(_main_node(page), True, runs)
-        inside = [n for n, _ in runs]
-    varying = [n.text for n in inside if not n.match.is_template(n.text)]
+        inside = [n for n, _ in _outside(_main_node(root, {n for n, _ in outside if not template[n.number]}))]
+    varying = [n.text for n in inside if not template[n.number]]
     # mostly "template": rather one of many near copies of a text than a page of little content
     return varying if 2 * sum(map(len, varying)) >= sum(len(n.text) for n in inside) else [n.text for n in inside]
 
 
-def _extract(pages: list[str | None], wrapper: Slot, seen: set[int]) -> list[str]:
-    trees: list[Node | None] = []
-    for page in pages:
-        if not page:
-            trees.append(None)
-            continue
-        tree = parse(page)
-        runs: list[tuple[Node, bool]] = []
-        _texts(tree, False, runs)
-        key = hash("\n".join(n.text for n, core in runs if core) or page)
-        align(wrapper, tree, key not in seen)  # a copy of a text is no evidence that it is template
-        seen.add(key)
-        trees.append(tree)
-    return ["" if t is None else "\n\n".join(content(t)) for t in trees]
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _read(page: str) -> tuple[int, str, bytes, list[int]]:
+    """Of a page: what tells it from copies of its text, shape, packed texts and their hashes."""
+    root = parse(page)
+    shape, texts = flatten(root)
+    key = _hash("\n".join(n.text for n, core in _outside(root) if core) or page)
+    return key, shape, zlib.compress("\n".join(texts).encode(), 1), [_hash(t) for t in texts]  # runs have no line breaks
+
+
+def _folded(batches: Iterator[pa.RecordBatch], parts: bool) -> Iterator[pa.RecordBatch]:
+    """One wrapper for the shapes of each host, or of each part of it, of sorted rows (host, part, shape)."""
+    names = ["host", "part", "shape"]
+    key, wrapper = None, None
+    for batch in batches:
+        for host, part, shape in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            now = (host, part if parts else 0)
+            if now != key:
+                if wrapper is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int64()), pa.array([flatten(wrapper)[0]])], names=names)
+                key, wrapper = now, Node("html")
+            align(wrapper, tree_of(shape)[0])
+    if wrapper is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int64()), pa.array([flatten(wrapper)[0]])], names=names)
+
+
+def _wrappers(shapes: DataFrame) -> DataFrame:
+    """(host, shape): the finished wrapper of each host, from its different shapes alone, whatever
+    their batches and partitions."""
+    plain = shapes.select("host", F.regexp_replace("shape", "!", "").alias("shape")).distinct()
+    dealt = plain.select("host", F.pmod(F.xxhash64("shape"), F.lit(SHAPE_PARTS)).alias("part"), "shape")
+    kind = "host string, part long, shape string"
+    some = dealt.repartition("host", "part").sortWithinPartitions("host", "part", "shape").mapInArrow(lambda rows: _folded(rows, True), kind)
+    return some.repartition("host").sortWithinPartitions("host", "part").mapInArrow(lambda rows: _folded(rows, False), kind).select("host", "shape")
+
+
+def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, place, hash, n): pages with a text in a place of the wrapper, summed per batch. Rows (host,
+    part, kind, shape, hashes) are sorted; the wrapper comes before its pages."""
+    wrapper, last, at = Node("html"), None, []
+    for batch in batches:
+        found: Counter = Counter()
+        for host, _, kind, shape, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if not kind:
+                wrapper, last = tree_of(shape)[0], None
+                continue
+            if shape != last:
+                last, at = shape, places(wrapper, shape)
+            found.update((host, place, h) for place, h in zip(at, hashes, strict=True))
+        hosts, at_, of = zip(*found, strict=True) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hosts, pa.string()), pa.array(at_, pa.int32()), pa.array(of, pa.int64()), pa.array(list(found.values()), pa.int64())],
+            names=["host", "place", "hash", "n"])
+
+
+def _templates(seen: DataFrame) -> DataFrame:
+    """(host, template): of each host's wrapper the places whose text is template, with its hash."""
+    texts = seen.where("place >= 0").groupBy("host", "place", "hash").agg(F.sum("n").alias("n"))
+    # a share above one half: only the most frequent text can be template
+    top = texts.groupBy("host", "place").agg(F.sum("n").alias("pages"), F.max(F.struct("n", "hash")).alias("top"))
+    return top.where((F.col("top.n") >= TEMPLATE_PAGES) & (F.col("top.n") >= TEMPLATE_SHARE * F.col("pages"))).groupBy("host").agg(
+        F.collect_list(F.struct("place", "top.hash")).alias("template"))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -345,40 +447,76 @@ def extract_text(pages: DataFrame) -> DataFrame:
     in page order. Null and empty pages, and pages without content, give an empty text. Pages without
     a url, or whose url has no host, are one host. Hosts with too few pages to tell template from slots
     rely on what elements say of themselves; repeated pages count once as evidence. Large hosts are
-    spread over tasks by page, and each part induces its own wrapper from all of its pages. Other
-    columns are not read; an empty table gives no rows.
+    spread over tasks by page, but all pages of a host are judged by one wrapper and by counts over all
+    of them. Other columns are not read; an empty table gives no rows.
     """
     prepare(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
-    rows = pages.select("page_id", "url", "html").withColumn("host", host)
-    total = pages.count()
-    limit = max(2 * RUN, total // HOST_SHARE)
+    read_schema = StructType([
+        pages.schema["page_id"], pages.schema["url"], StructField("host", StringType()), StructField("key", LongType()), StructField("shape", StringType()),
+        StructField("body", BinaryType()), StructField("hashes", ArrayType(LongType()))])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_read(page) if page else (None,) * 4 for page in batch.column(3).to_pylist()]
+            columns = list(zip(*found, strict=True)) or [()] * 4
+            kinds = (pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=read_schema.names)
+
+    rows = materialise(pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(read, read_schema).withColumn("row", F.monotonically_increasing_id()))
+    limit = max(HOST_PAGES, rows.count() // HOST_SHARE)
     # at most HOST_SHARE hosts are so large
-    large = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("host", F.ceil(F.col("n") / limit).alias("parts"))
-    spread = rows.join(F.broadcast(large), "host", "left").withColumn(
-        "part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1).cast("long"))))
-    ordered = spread.select("host", "part", "page_id", "url", "html").repartition("host", "part").sortWithinPartitions("host", "part", "page_id", "url")
+    large = materialise(rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("host", F.ceil(F.col("n") / limit).alias("parts")))
+
+    def dealt(df: DataFrame, by: str) -> DataFrame:
+        return df.join(F.broadcast(large), "host", "left").withColumn("part", F.pmod(F.col(by), F.coalesce("parts", F.lit(1).cast("long")))).withColumn("kind", F.lit(1))
+
+    def first(df: DataFrame) -> DataFrame:
+        """Wrappers, one for each part of a host, to come before its pages."""
+        parts = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1).cast("long")) - 1))
+        return df.join(F.broadcast(large), "host", "left").withColumn("part", parts).withColumn("kind", F.lit(0))
+
+    def together(wrappers: DataFrame, of_pages: DataFrame) -> DataFrame:
+        return wrappers.unionByName(of_pages).repartition("host", "part").sortWithinPartitions("host", "part", "kind", "shape")
+
+    parsed = rows.where(F.col("shape").isNotNull())
+    wrappers = materialise(_wrappers(parsed))
+    # a copy of a text is no evidence that it is template
+    once = parsed.groupBy("host", "key").agg(F.min(F.struct(F.regexp_replace("shape", "!", "").alias("shape"), "hashes")).alias("page")).select("host", "key", "page.*")
+    evidence = ("host", "part", "kind", "shape", "hashes")
+    seen = together(first(wrappers).withColumn("hashes", F.lit(None).cast("array<bigint>")).select(*evidence), dealt(once, "key").select(*evidence))
+    templates = _templates(seen.mapInArrow(_located, "host string, place int, hash long, n long"))
+
     schema = StructType([pages.schema["page_id"], pages.schema["url"], StructField("text", StringType()), StructField("n_chars", LongType())])
+    template_type = ArrayType(StructType([StructField("place", IntegerType()), StructField("hash", LongType())]))
+    finished = first(wrappers.join(templates, "host", "left")).select(
+        "host", "part", "kind", "shape", F.col("template").cast(template_type).alias("template"), F.lit(None).cast(pages.schema["page_id"].dataType).alias("page_id"),
+        F.lit(None).cast(pages.schema["url"].dataType).alias("url"), F.lit(None).cast("binary").alias("body"))
+    judged = dealt(rows, "row").select("host", "part", "kind", "shape", F.lit(None).cast(template_type).alias("template"), "page_id", "url", "body")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, wrapper, seen = None, Slot("html"), set()
+        wrapper, template, last, at = Node("html"), {}, None, []
         for batch in batches:
-            hosts, parts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            html = batch.column(4)
             texts: list[str] = []
-            start = 0
-            while start < len(hosts):
-                now = (hosts[start], parts[start])
-                stop = start
-                while stop < len(hosts) and stop - start < RUN and (hosts[stop], parts[stop]) == now:
-                    stop += 1
-                if now != key:
-                    key, wrapper, seen = now, Slot("html"), set()
-                texts += _extract(html.slice(start, stop - start).to_pylist(), wrapper, seen)
-                start = stop
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
-
-    return ordered.mapInArrow(extract, schema)
+            kinds = batch.column(2).to_pylist()
+            for kind, shape, known, body in zip(kinds, *(batch.column(i).to_pylist() for i in (3, 4, 7)), strict=True):
+                if not kind:
+                    wrapper, last = tree_of(shape)[0], None
+                    template = {t["place"]: t["hash"] for t in known or ()}
+                elif shape is None:
+                    texts.append("")
+                else:
+                    runs = zlib.decompress(body).decode().split("\n") if "#" in shape else []
+                    if template and shape != last:
+                        last, at = shape, places(wrapper, shape)
+                    same = [p in template and template[p] == _hash(t) for p, t in zip(at, runs, strict=True)] if template else [False] * len(runs)
+                    texts.append("\n\n".join(content(shape, runs, same)))
+            use = pa.array([i for i, kind in enumerate(kinds) if kind], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(5).take(use), batch.column(6).take(use), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                names=schema.names)
+
+    return together(finished, judged).mapInArrow(extract, schema)
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
