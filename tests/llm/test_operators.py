@@ -338,6 +338,17 @@ def test_all_pages_of_a_host_are_judged_by_one_wrapper(spark, monkeypatch):
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", with_rows)
 
 
+def test_extraction_without_article_keeps_every_varying_text(spark):
+    page = ('<body><div>Our menu</div><h1>Headline {n}</h1><div><p>Intro {n}</p><div>' + "Long body {n} " * 5 + "</div></div><nav>Other {n}</nav>"
+            "<div>Second section {n}</div></body>")
+    pages = [(i, f"http://a.example/{i}", page.replace("{n}", f"number {i}")) for i in range(9)] + [(9, "http://b.example/", page.replace("{n}", "x"))]
+    rows = {r.page_id: r.text for r in extraction.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(9):
+        body = " ".join([f"Long body number {i}"] * 5)
+        assert rows[i] == f"Headline number {i}\n\nIntro number {i}\n\n{body}\n\nSecond section number {i}"
+    assert rows[9].split("\n\n") == ["Our menu", "Headline x", "Intro x", " ".join(["Long body x"] * 5), "Second section x"]
+
+
 def labelled(spark, good, bad, column):
     texts = [good(i) if i % 3 else bad(i) for i in range(240)]
     labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(240)] + [(None, 1), (7, None), (9999, 1)], f"doc_id long, {column} int")

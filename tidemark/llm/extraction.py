@@ -8,8 +8,8 @@ pages of the host. A text that is the same on most pages is template; where text
 Extraction comes second and judges all pages of a host by the same wrapper and counts. Slots become
 content unless they stand in a part of the page that by its element, role, class or id is navigation,
 header, footer, sidebar, advert, notice, form or comments. If the page has article or main elements
-with text, content is what stands in them, and else the slots under the node that holds most of the
-varying text.
+with text, content is what stands in them, and else every slot; the node that holds most of the
+varying text tells whether the page is one of many near copies, whose text is kept too.
 """
 
 from __future__ import annotations
@@ -367,11 +367,15 @@ def content(shape: str, texts: list[str], template: list[bool]) -> list[str]:
         run.text = text
     outside = _outside(root)
     inside = [n for n, core in outside if core]
+    elsewhere: list[Node] = []
     if not inside:
         inside = [n for n, _ in _outside(_main_node(root, {n for n, _ in outside if not template[n.number]}))]
-    varying = [n.text for n in inside if not template[n.number]]
+        elsewhere = [n for n, _ in outside]
+    varying = [n for n in inside if not template[n.number]]
     # mostly "template": rather one of many near copies of a text than a page of little content
-    return varying if 2 * sum(map(len, varying)) >= sum(len(n.text) for n in inside) else [n.text for n in inside]
+    kept = varying if 2 * sum(len(n.text) for n in varying) >= sum(len(n.text) for n in inside) else inside
+    chosen = {n.number for n in kept} | {n.number for n in elsewhere if not template[n.number]}
+    return [n.text for n in runs if n.number in chosen]
 
 
 def _hash(text: str) -> int:
