@@ -95,6 +95,16 @@ def test_passages_are_found_as_by_comparing_all_windows(spark, none):
     assert decontamination.find_passages(docs, bench.limit(0)).where(F.size("bench_spans") > 0).count() == 0
 
 
+def test_items_without_id_are_cut_but_not_named(spark):
+    bench = spark.createDataFrame([("7", prose(7, 25)), (None, prose(8, 12))], "item_id string, text string")
+    docs = frame(spark, [prose(8, 12) + " " + prose(7, 25), prose(8, 12), "x"])
+    for block in (1 << 20, 100):
+        rows = {r.doc_id: r for r in decontamination.find_passages(docs, bench, block_bytes=block).collect()}
+        assert [rows[i].bench_items for i in range(3)] == [["7"], [], []]
+        assert rows[0].bench_spans == [0, 37] and rows[1].bench_spans == [0, 12] and rows[2].bench_spans == []
+    assert {r.doc_id: r.text for r in decontamination.remove_passages(docs, bench).collect()} == {0: "", 1: "", 2: "x"}
+
+
 def test_fm_index_counts_and_locates():
     draw = np.random.default_rng(3)
     symbols = draw.integers(0, 4, 400)
@@ -349,6 +359,12 @@ def test_extraction_without_article_keeps_every_varying_text(spark):
     assert rows[9].split("\n\n") == ["Our menu", "Headline x", "Intro x", " ".join(["Long body x"] * 5), "Second section x"]
 
 
+def test_extraction_of_deeply_nested_pages(spark):
+    pages = [(i, f"http://a.example/{i}", "<p>x" * (i % 2) + "<div>" * 3000 + f"number {i}" + "<div><p>y" * i) for i in range(3)]
+    rows = {r.page_id: r.text for r in extraction.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert rows == {0: "number 0", 1: "x\n\nnumber 1\n\ny", 2: "number 2\n\ny\n\ny"}
+
+
 def labelled(spark, good, bad, column):
     texts = [good(i) if i % 3 else bad(i) for i in range(240)]
     labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(240)] + [(None, 1), (7, None), (9999, 1)], f"doc_id long, {column} int")

@@ -216,7 +216,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
     No shuffle. The benchmark is the stated query set: it is sent to the tasks in blocks of at most
     `block_bytes` of text, one pass over the documents each. A null or empty text has no words and no
     spans, a null or wordless item no windows; an item of fewer words than `window` is one window.
-    Items with the same id count as one name. Columns of docs that have the new names are replaced.
+    Items with the same id count as one name; items without id are searched too, but have no name. Columns of docs that have the new names are replaced.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("name"), F.col("text").alias("body"))
@@ -240,7 +240,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
                     merged = [
                         [x for span in merge_spans([*zip(old[::2], old[1::2], strict=True), *new]) for x in span]
                         for old, new in zip(old_spans.to_pylist(), spans, strict=True)]
-                    both = [sorted({*old, *new}) for old, new in zip(old_names.to_pylist(), names, strict=True)]
+                    both = [sorted({*old, *new} - {None}) for old, new in zip(old_names.to_pylist(), names, strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [*kept, pa.array(counts, pa.int64()), pa.array(merged, pa.list_(pa.int32())), pa.array(both, pa.list_(pa.string()))],
                         names=schema.names)
