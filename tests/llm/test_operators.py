@@ -146,6 +146,18 @@ def test_histogram_packing_places_every_length():
     assert sum(n for n, _ in packs) <= 1.05 * sum(k * v for k, v in counts.items()) / 2048 + 1
 
 
+@pytest.mark.parametrize("counts", [{300: 600_000}, {1000: 7}, {2048: 3, 1500: 2, 300: 100_001, 7: 5}, {1: 5000}])
+def test_equal_lengths_share_packs(counts):
+    packs = packing.pack_histogram(counts)
+    placed: dict[int, int] = {}
+    for n, pattern in packs:
+        assert sum(pattern) <= 2048
+        for length in pattern:
+            placed[length] = placed.get(length, 0) + n
+    assert placed == counts
+    assert sum(n for n, _ in packs) <= sum(-(-n // (2048 // length)) for length, n in counts.items())
+
+
 def test_tokens_by_ranks_equal_those_of_the_tokenizer():
     fast = packing.Tokens(packing.tokenizer_path(), packing.tokenizer_path(packing.RANKS))
     draw = random.Random(4)

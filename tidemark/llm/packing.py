@@ -134,7 +134,13 @@ def pack_histogram(counts: dict[int, int], sequence: int = SEQUENCE) -> list[tup
                 heapq.heappop(spaces)
             space = -spaces[0] if spaces else 0
             if space < length:
-                put(sequence - length, left, (length,))
+                # a pack just opened is filled least: it takes pieces of this length until it is full
+                each = sequence // length
+                whole, rest = divmod(left, each)
+                if whole:
+                    put(sequence - each * length, whole, (length,) * each)
+                if rest:
+                    put(sequence - rest * length, 1, (length,) * rest)
                 break
             pack = groups[space][-1]
             n = min(left, pack[0])
