@@ -309,6 +309,14 @@ def test_fingerprints_insert_delete_and_merge():
     assert fingerprints.Fingerprint.from_hex(a.hex()).likeness(a) == 1.0
 
 
+@pytest.mark.parametrize("n", [40_000, 50_000])
+def test_likeness_of_a_line_repeated_very_often(n):
+    whole = fingerprints.Fingerprint.of("a b c\n" * n)
+    part = fingerprints.Fingerprint.of("a b c\n" * (2 * n // 3) + "\n".join(prose(i, 9) for i in range(100)))
+    assert 0.9 < whole.likeness(part) < 0.95
+    assert fingerprints.Fingerprint.from_hex(part.hex()).likeness(whole) == whole.likeness(part)
+
+
 def test_ranges_of_neighbours_meet(spark):
     df = frame(spark, [f"t{i}" for i in range(50)], [7 * i for i in range(50)])
     parts = fingerprints.neighbours(df, rows_per_range=6).collect()

@@ -6,7 +6,7 @@ subtracting a paragraph's vector inserts or deletes it, so a fingerprint is kept
 the text. The vector has two parts:
 
 * `LANES` lanes modulo 2^64 from a cryptographic hash of the paragraph, for equality;
-* `CELLS` cells modulo 2^16, into which the paragraph's word triples are counted with random signs
+* `CELLS` cells modulo 2^32, into which the paragraph's word triples are counted with random signs
   (lone words and pairs too, where a paragraph has fewer), for likeness: inner products of these
   estimate how many triples two texts share.
 """
@@ -44,7 +44,7 @@ def _cells(paragraphs: list[bytes]) -> np.ndarray:
     words = Words([p.split() for p in paragraphs])
     out = np.zeros(CELLS, dtype=np.int64)
     if not len(words):
-        return out.astype(np.uint16)
+        return out.astype(np.uint32)
     prefix = family(0).prefix(words.data)
     left = words.first[words.text_of + 1] - np.arange(len(words))
     length = np.minimum(left, RUN)
@@ -54,7 +54,7 @@ def _cells(paragraphs: list[bytes]) -> np.ndarray:
     h = family(0).runs(prefix, words.start[at], words.end[at + length[at] - 1])
     sign = np.where((h >> np.uint64(63)).astype(bool), 1.0, -1.0)
     out += np.bincount((h % np.uint64(CELLS)).astype(np.int64), weights=sign, minlength=CELLS).astype(np.int64)
-    return (out & 0xFFFF).astype(np.uint16)
+    return (out & 0xFFFFFFFF).astype(np.uint32)
 
 
 class Fingerprint:
@@ -62,7 +62,7 @@ class Fingerprint:
 
     def __init__(self, lanes: np.ndarray | None = None, cells: np.ndarray | None = None):
         self.lanes = np.zeros(LANES, dtype=np.uint64) if lanes is None else lanes
-        self.cells = np.zeros(CELLS, dtype=np.uint16) if cells is None else cells
+        self.cells = np.zeros(CELLS, dtype=np.uint32) if cells is None else cells
 
     @classmethod
     def of(cls, text: str) -> Fingerprint:
@@ -71,10 +71,10 @@ class Fingerprint:
     @classmethod
     def from_hex(cls, hexed: str) -> Fingerprint:
         data = bytes.fromhex(hexed)
-        return cls(np.frombuffer(data[: 8 * LANES], dtype="<u8").copy(), np.frombuffer(data[8 * LANES :], dtype="<u2").copy())
+        return cls(np.frombuffer(data[: 8 * LANES], dtype="<u8").copy(), np.frombuffer(data[8 * LANES :], dtype="<u4").copy())
 
     def hex(self) -> str:
-        return self.lanes.astype("<u8").tobytes().hex() + self.cells.astype("<u2").tobytes().hex()
+        return self.lanes.astype("<u8").tobytes().hex() + self.cells.astype("<u4").tobytes().hex()
 
     def insert(self, *paragraphs: str) -> Fingerprint:
         return self._change(paragraphs, 1)
@@ -91,7 +91,7 @@ class Fingerprint:
         if not data:
             return self
         lanes = np.stack([paragraph_lanes(p) for p in data]).sum(axis=0, dtype=np.uint64)
-        cells, size, held = np.zeros(CELLS, dtype=np.uint16), 0, []
+        cells, size, held = np.zeros(CELLS, dtype=np.uint32), 0, []
         for p in data:  # many paragraphs are hashed in pieces of bounded size
             held.append(p)
             size += len(p)
@@ -106,7 +106,7 @@ class Fingerprint:
         """1 for equal fingerprints, else the estimated share of common word triples, 0 to 1."""
         if (self.lanes == other.lanes).all() and (self.cells == other.cells).all():
             return 1.0
-        a, b = (x.cells.astype(np.int16).astype(np.float64) for x in (self, other))
+        a, b = (x.cells.astype(np.int32).astype(np.float64) for x in (self, other))
         size = float(a @ a + b @ b)
         return min(1.0, max(0.0, 2 * float(a @ b) / size)) if size else 0.0
 
