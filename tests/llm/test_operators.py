@@ -385,6 +385,30 @@ def test_extraction_of_deeply_nested_pages(spark):
     assert rows == {0: "number 0", 1: "x\n\nnumber 1\n\ny", 2: "number 2\n\ny\n\ny"}
 
 
+def test_quick_alignment_equals_the_table(monkeypatch):
+    draw = random.Random(2)
+
+    def tree(depth):
+        node = extraction.Node(draw.choice(["div", "p", "#"]) if depth else "html")
+        if node.tag != "#" and depth < 4:
+            node.children = [tree(depth + 1) for _ in range(draw.randint(0, 4))]
+        return node
+
+    shapes = [extraction.flatten(tree(0))[0] for _ in range(60)]
+
+    def wrapper_and_places():
+        root = extraction.Node("html")
+        for shape in shapes:
+            extraction.align(root, extraction.tree_of(shape)[0])
+        done = extraction.tree_of(extraction.flatten(root)[0])[0]
+        return extraction.flatten(root)[0], [extraction.places(done, shape) for shape in shapes]
+
+    quick = wrapper_and_places()
+    assert all(p >= 0 for at in quick[1] for p in at)
+    monkeypatch.setattr(extraction, "_embedding", lambda *_: None)
+    assert wrapper_and_places() == quick
+
+
 def labelled(spark, good, bad, column):
     texts = [good(i) if i % 3 else bad(i) for i in range(240)]
     labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(240)] + [(None, 1), (7, None), (9999, 1)], f"doc_id long, {column} int")

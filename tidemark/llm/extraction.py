@@ -273,8 +273,49 @@ def _table(slots: list[Node], nodes: list[Node], known: dict[tuple[int, int], in
     return rows
 
 
-def _pairs(slots: list[Node], nodes: list[Node], known: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
+def _fits(small: Node, big: Node, known: dict[tuple[int, int], bool]) -> bool:
+    """Whether all of a tree can be matched to another with an equal root tag."""
+    stack = [[small, big, 0, 0]]
+    while stack:
+        s, b, i, j = frame = stack[-1]
+        if i == len(s.children) or len(b.children) - j < len(s.children) - i:
+            known[id(s), id(b)] = i == len(s.children)
+            stack.pop()
+            continue
+        c, d = s.children[i], b.children[j]
+        if c.tag != d.tag or c.children and not d.children:
+            frame[3] += 1
+        elif not c.children:
+            frame[2:] = i + 1, j + 1
+        elif (id(c), id(d)) not in known:
+            stack.append([c, d, 0, 0])
+        else:
+            frame[2:] = i + known[id(c), id(d)], j + 1
+    return known[id(small), id(big)]
+
+
+def _embedding(small: list[Node], big: list[Node], known: dict[tuple[int, int], bool]) -> list[int] | None:
+    """For each child of one list the first child of the other that takes all of it, in order, if there
+    are such: then that matching is the heaviest, and the one that the table would give."""
+    at, out = 0, []
+    for node in small:
+        while at < len(big) and (big[at].tag != node.tag or node.children and not _fits(node, big[at], known)):
+            at += 1
+        if at == len(big):
+            return None
+        out.append(at)
+        at += 1
+    return out
+
+
+def _pairs(slots: list[Node], nodes: list[Node], known: dict[tuple[int, int], int], fits: dict[tuple[int, int], bool]) -> list[tuple[int, int]]:
     """The heaviest order-preserving matching of two lists of children."""
+    found = _embedding(nodes, slots, fits)
+    if found is not None:
+        return [(i, j) for j, i in enumerate(found)]
+    found = _embedding(slots, nodes, fits)
+    if found is not None:
+        return [*enumerate(found)]
     for slot in slots:
         if slot.children:
             for node in nodes:
@@ -299,6 +340,7 @@ def align(wrapper: Node, page: Node, grow: bool = True) -> None:
     """Match a page's tree, or another wrapper, to the wrapper, and add what the wrapper lacks. A
     wrapper that is not to grow matches all of a page that has been aligned with it before."""
     known: dict[tuple[int, int], int] = {}
+    fits: dict[tuple[int, int], bool] = {}
     stack = [(wrapper, page)]
     while stack:
         slot, node = stack.pop()
@@ -309,7 +351,7 @@ def align(wrapper: Node, page: Node, grow: bool = True) -> None:
         if len(slots) == len(nodes) and [s.tag for s in slots] == [n.tag for n in nodes]:
             stack += zip(slots, nodes, strict=True)
             continue
-        matched = {j: slots[i] for i, j in _pairs(slots, nodes, known)} if slots else {}
+        matched = {j: slots[i] for i, j in _pairs(slots, nodes, known, fits)} if slots else {}
         if grow:
             added, at = [], 0
             for j, child in enumerate(nodes):
