@@ -19,14 +19,14 @@ import html as references
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import materialise, prepare, table
+from tidemark.llm.common import arrow_type, materialise, prepare, table
 
 #: hosts with more than this share of the pages, and this many, are spread over several tasks
 HOST_SHARE, HOST_PAGES = 2000, 512
@@ -424,12 +424,17 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _read(page: str) -> tuple[int, str, bytes, list[int]]:
-    """Of a page: what tells it from copies of its text, shape, packed texts and their hashes."""
+def _evidence(page: str) -> tuple[int, str, list[int]]:
+    """Of a page: what tells it from copies of its text, its shape, and hashes of its texts."""
     root = parse(page)
     shape, texts = flatten(root)
-    key = _hash("\n".join(n.text for n, core in _outside(root) if core) or page)
-    return key, shape, zlib.compress("\n".join(texts).encode(), 1), [_hash(t) for t in texts]  # runs have no line breaks
+    return _hash("\n".join(n.text for n, core in _outside(root) if core) or page), shape, [_hash(t) for t in texts]
+
+
+def _packed(page: str) -> tuple[str, bytes]:
+    """Of a page: its shape and packed texts; runs have no line breaks."""
+    shape, texts = flatten(parse(page))
+    return shape, zlib.compress("\n".join(texts).encode(), 1)
 
 
 def _folded(batches: Iterator[pa.RecordBatch], parts: bool) -> Iterator[pa.RecordBatch]:
@@ -498,18 +503,25 @@ def extract_text(pages: DataFrame) -> DataFrame:
     """
     prepare(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
-    read_schema = StructType([
-        pages.schema["page_id"], pages.schema["url"], StructField("host", StringType()), StructField("key", LongType()), StructField("shape", StringType()),
-        StructField("body", BinaryType()), StructField("hashes", ArrayType(LongType()))])
+    pages = pages.select("page_id", "url", host.alias("host"), "html")
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [_read(page) if page else (None,) * 4 for page in batch.column(3).to_pylist()]
-            columns = list(zip(*found, strict=True)) or [()] * 4
-            kinds = (pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=read_schema.names)
+    def read(df: DataFrame, what: Callable[[str], tuple], fields: list[StructField]) -> DataFrame:
+        """df with its last column, the page, replaced by what is read from it."""
+        schema = StructType([*df.schema.fields[:-1], *fields])
+
+        def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [what(page) if page else (None,) * len(fields) for page in batch.columns[-1].to_pylist()]
+                columns = list(zip(*found, strict=True)) or [()] * len(fields)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-1], *(pa.array(c, arrow_type(f.dataType)) for c, f in zip(columns, fields, strict=True))], names=schema.names)
+
+        return df.mapInArrow(parsed, schema)
 
-    rows = materialise(pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(read, read_schema).withColumn("row", F.monotonically_increasing_id()))
+    # texts are read again in the end rather than stored until then
+    shape = StructField("shape", StringType())
+    rows = materialise(read(pages.select("host", "html"), _evidence, [StructField("key", LongType()), shape, StructField("hashes", ArrayType(LongType()))]))
+    texts = read(pages, _packed, [shape, StructField("body", BinaryType())]).withColumn("row", F.monotonically_increasing_id())
     limit = max(HOST_PAGES, rows.count() // HOST_SHARE)
     # at most HOST_SHARE hosts are so large
     large = materialise(rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("host", F.ceil(F.col("n") / limit).alias("parts")))
@@ -538,7 +550,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     finished = first(wrappers.join(templates, "host", "left")).select(
         "host", "part", "kind", "shape", F.col("template").cast(template_type).alias("template"), F.lit(None).cast(pages.schema["page_id"].dataType).alias("page_id"),
         F.lit(None).cast(pages.schema["url"].dataType).alias("url"), F.lit(None).cast("binary").alias("body"))
-    judged = dealt(rows, "row").select("host", "part", "kind", "shape", F.lit(None).cast(template_type).alias("template"), "page_id", "url", "body")
+    judged = dealt(texts, "row").select("host", "part", "kind", "shape", F.lit(None).cast(template_type).alias("template"), "page_id", "url", "body")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wrapper, template, last, at = Node("html"), {}, None, []
