@@ -426,6 +426,18 @@ def test_toxic_documents_score_higher(spark, none):
     assert np.mean([(score[i] >= 0.5) == (i % 3 == 0) for i in held]) > 0.9
     assert toxicity.score_toxicity(none, labels).count() == 0
     assert toxicity.score_toxicity(docs, labels.limit(0)).count() == 244
+    named = docs.withColumn("toxicity_score", F.lit("mine"))
+    kept = toxicity.drop_toxic(named, labels).collect()
+    assert {r.toxicity_score for r in kept} == {"mine"} and kept[0].__fields__ == named.columns
+    left = {r.doc_id for r in kept}
+    assert np.mean([(i in left) == (i % 3 > 0) for i in held]) > 0.9 and len(kept) == len([r for r in kept if r.doc_id is not None]) + 1
+    assert toxicity.drop_toxic(none, labels).count() == 0
+
+
+def test_cut_is_fair_to_both_classes():
+    y = np.array([0, 0, 0, 0, 1, 1, 1, 1])
+    assert toxicity.balanced_cut(np.array([0.1, 0.1, 0.2, 0.6, 0.3, 0.3, 0.7, 0.9]), y) == 0.3
+    assert toxicity.balanced_cut(np.array([0.1] * 8), np.zeros(8)) == toxicity.REJECT
 
 
 def test_good_documents_score_higher(spark, none):
