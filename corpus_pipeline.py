@@ -10,21 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm.common import prepare, table
 from tidemark.llm.decontamination import remove_passages
 from tidemark.llm.packing import RANKS, pack, tokenizer_path
 from tidemark.llm.simhash import drop_near_duplicates
 from tidemark.llm.substrings import remove_repeats
-from tidemark.llm.toxicity import REJECT, score_toxicity
+from tidemark.llm.toxicity import drop_toxic
 from tidemark.session import work_dir
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below one half."""
-    scored = score_toxicity(docs, table(spark, sf_dir, "labels"))
-    return scored.where(F.col("toxicity_score") < REJECT).select(*docs.columns)
+    """Documents whose toxicity score is below the cut learnt with the model."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
