@@ -1,0 +1,114 @@
+"""The Merkle manifest against a tree built in one place, with its closed forms."""
+
+import hashlib
+import zlib
+
+import pytest
+
+from tests.llm.test_operators import frame
+from tidemark.llm import manifest as M
+
+
+def brute_leaf(*values):
+    return hashlib.sha256(b"".join(b"-" if v is None else b"%d:" % len(str(v).encode()) + str(v).encode() for v in values)).hexdigest()
+
+
+def brute_levels(nodes):
+    levels = [nodes]
+    while len(nodes) > 1:
+        nodes = [hashlib.sha256("".join(nodes[i : i + 16]).encode()).hexdigest() for i in range(0, len(nodes), 16)]
+        levels.append(nodes)
+    return levels
+
+
+def brute_path(levels, i):
+    for level in levels[:-1]:
+        first = i - i % 16
+        yield level[first:i], level[i + 1 : first + 16]
+        i //= 16
+
+
+def brute_manifest(rows):
+    """rows of (doc_id, source, lang, n_chars, text) to the set of result rows."""
+    trees = {}
+    for r in rows:
+        trees.setdefault(r[1], []).append((r[0] is not None, r[0], brute_leaf(*r), r))
+    names = sorted(trees, key=lambda s: (s is not None, (s or "").encode()))
+    for name in names:
+        trees[name].sort(key=lambda x: (x[0], x[1] or 0, x[2]))
+    levels = {n: brute_levels([x[2] for x in trees[n]]) for n in names}
+    upper = brute_levels([levels[n][-1][0] for n in names])
+    root = upper[-1][0]
+    out = []
+    for place, name in enumerate(names):
+        for i, (_, doc_id, leaf, row) in enumerate(trees[name]):
+            path = [*brute_path(levels[name], i), *brute_path(upper, place)]
+            node = leaf
+            if doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 0 and row[4] is not None:
+                node = brute_leaf(*row[:4], "".join(c.lower() if "A" <= c <= "Z" else c for c in row[4]))
+            for left, right in path:
+                node = hashlib.sha256("".join([*left, node, *right]).encode()).hexdigest()
+            proof = hashlib.sha256("".join(x for left, right in path for x in [*left, *right]).encode()).hexdigest()
+            out.append((doc_id, leaf, levels[name][-1][0], root, proof, node, node == root))
+    return out
+
+
+def result(spark, docs):
+    columns = [M.F.col(c) for c in M.FIELDS[:-1]]
+    changed = M.F.when(M.fold(M.F.col("doc_id")) == 0, M.hashed(*columns, M.F.translate("text", M.UPPER, M.LOWER)))
+    rows = M.verify_rows(M.build_manifest(docs, changed=changed)).collect()
+    return sorted(map(str, map(tuple, rows)))
+
+
+def test_closed_forms_place_nodes_as_completed():
+    for n in (1, 2, 15, 16, 17, 32, 33, 255, 256, 257, 600):
+        levels = M.height(n)
+        marks = [b"%064d" % i for i in range(n)]
+        log = M.append_nodes(marks, levels)
+        tree = brute_levels([m.decode() for m in marks])
+        assert len(tree) == levels + 1 and sum(map(len, tree)) == len(log)
+        for level, row in enumerate(tree):
+            for i, node in enumerate(row):
+                assert log[M.position(level, i, n)].decode() == node
+    assert [M.subtree_size(k) for k in range(3)] == [1, 17, 273]
+
+
+@pytest.mark.parametrize("sizes", [{"a": 1}, {None: 3, "b": 17, "ä": 40, "": 2}, {"big": 9000, None: 16, **{f"s{i}": 1 + i % 3 for i in range(30)}}])
+def test_manifest_equals_the_whole_tree(spark, sizes):
+    rows, at = [], 0
+    for source, n in sizes.items():
+        for i in range(n):
+            rows.append((at * 7 % 100003, source, None if i % 5 == 0 else "en", i, None if i % 11 == 0 else "" if i % 13 == 0 else f"Tëxt {i} ABC" if i % 2 else f"low {i}"))
+            at += 1
+    docs = spark.createDataFrame([(*r, "x", 0) for r in rows], "doc_id long, source string, lang string, n_chars long, text string, tree string, node int")
+    assert result(spark, docs.repartition(5)) == sorted(map(str, brute_manifest(rows)))
+
+
+def test_repeated_rows_null_ids_and_clashing_names(spark):
+    rows = [(None, "s", "en", 1, "A")] * 3 + [(4, "s", "en", 1, "A")] * 20 + [(4, "s", "en", 1, "B"), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    for c in ("tree", "id", "rank", "leaves", "salt", "block", "nodes", "above", "changed", "part", "place"):
+        docs = docs.withColumn(c, M.F.lit(1))
+    assert result(spark, docs) == sorted(map(str, brute_manifest(rows)))
+
+
+def test_empty_dataset_has_no_rows_and_no_root(spark):
+    docs = frame(spark, []).limit(0)
+    done = M.build_manifest(docs)
+    assert done.root is None and M.verify_rows(done).count() == 0
+
+
+def test_log_is_gapless_and_children_come_first(spark):
+    sizes = {"big": 5000, "one": 1, "two": 40}
+    rows = [(i, s, "en", 1, str(i)) for s, n in sizes.items() for i in range(n)]
+    done = M.build_manifest(spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string"))
+    log = {}
+    for r in M.log_rows(done).collect():
+        log.setdefault(r.tree, {})[r.position] = (r.level, r.place, r.node)
+    for source, n in sizes.items():
+        nodes = log["=" + source]
+        levels = brute_levels([brute_leaf(i, source, "en", 1, str(i)) for i in range(n)])
+        assert sorted(nodes) == list(range(sum(map(len, levels))))
+        assert {(level, i): node for level, i, node in nodes.values()} == {(a, i): x for a, row in enumerate(levels) for i, x in enumerate(row)}
+        where = {(level, i): p for p, (level, i, _) in nodes.items()}
+        assert all(where[level, i] < where[level + 1, i // 16] for level, i in where if (level + 1, i // 16) in where)

@@ -10,6 +10,7 @@ from tidemark.llm.chat import op7_chat_formatting
 from tidemark.llm.decontamination import ORACLE_OP10, op10_decontamination
 from tidemark.llm.extraction import op2_html_extraction
 from tidemark.llm.fingerprints import op4_fingerprints
+from tidemark.llm.manifest import ORACLE_OP13, op13_merkle_manifest
 from tidemark.llm.packing import op9_packing
 from tidemark.llm.quality import op3_quality
 from tidemark.llm.sharding import op6_sharding
@@ -21,8 +22,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_html_extraction, op3_quality, op4_fingerprints, op5_simhash_dedup, op6_sharding, op7_chat_formatting,
-        op8_substring_dedup, op9_packing, op10_decontamination,
+        op8_substring_dedup, op9_packing, op10_decontamination, op13_merkle_manifest,
     )
 }
 
-ORACLES: dict[str, str] = {"op8_substring_dedup": ORACLE_OP8, "op10_decontamination": ORACLE_OP10}
+ORACLES: dict[str, str] = {
+    "op8_substring_dedup": ORACLE_OP8, "op10_decontamination": ORACLE_OP10, "op13_merkle_manifest": ORACLE_OP13,
+}
