@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 
 from tests import sample_feed
 from tests.build import same_rows
-from tidemark.sinks.export import export_by_date, export_csv, export_parquet, rows_per_file
-from tidemark.sources.landing import list_files, read_export, read_landing, stream_landing
+from tidemark.sinks.export import export_by_date, export_csv, export_parquet, read_export, rows_per_file
+from tidemark.sources.landing import list_files, read_landing, stream_landing
 from tidemark.specs import BOOKING, CLAIM, EXPORT_COLUMNS, FACT_SCHEMA, RESERVATION
 
 

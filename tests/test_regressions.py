@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import session_now
 from tidemark.plans import gold, quality
-from tidemark.sinks.export import export_by_date, export_csv
-from tidemark.sources.landing import read_export, read_landing
+from tidemark.sinks.export import export_by_date, export_csv, read_export
+from tidemark.sources.landing import read_landing
 from tidemark.specs import ENTITIES, EXPORT_COLUMNS, FACT_SCHEMA
 
 

@@ -190,4 +190,4 @@ def test_broken_off_before_the_export(spark, tmp_path, landing, monkeypatch):
             flow.run_available()
     assert flow.needs_export()
     assert flow.run_available() is None  # no new data, but the export is made up for
-    assert not flow.needs_export() and list((tmp_path / "root/outbound/booking_fact").glob("*.csv.gz"))
+    assert not flow.needs_export() and list((tmp_path / "root/outbound/booking_fact").glob("run=*/*.csv.gz"))

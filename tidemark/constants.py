@@ -43,3 +43,6 @@ TRIGGER_INTERVAL = "30 seconds"
 # beforehand, stays below this (keys of some 100 bytes each). Beyond it the same step runs as a
 # shuffled join.
 BROADCAST_ROWS = 1_000_000
+
+# Up to so many keys of a batch are listed in the look-up itself: literals that choose files and pages.
+LISTED_KEYS = 1_000

@@ -18,6 +18,7 @@ from tidemark.specs import EntitySpec
 PRE = "_pre"
 CHANGE_TYPE = "_change_type"
 VERSION = "_version"
+COUNTED = {"INSERTED": "insert", "UPDATED": "update", "DELETED": "delete"}
 
 
 def change_schema(schema: T.StructType) -> T.StructType:
@@ -171,8 +172,7 @@ def changed_keys(change_sets: dict[str, DataFrame], all_sources: bool = True, ke
 
 def count_changes(changes: DataFrame) -> DataFrame:
     """One row: how many keys were inserted, updated and deleted."""
-    kinds = {"INSERTED": "insert", "UPDATED": "update", "DELETED": "delete"}
-    return changes.agg(*[F.count_if(F.col(CHANGE_TYPE) == v).alias(k) for k, v in kinds.items()])
+    return changes.agg(*[F.count_if(F.col(CHANGE_TYPE) == v).alias(k) for k, v in COUNTED.items()])
 
 
 def newest_images(changes: DataFrame, key: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import constants as K
 from tidemark.functions.scalars import as_timestamp, percentage
@@ -170,7 +171,51 @@ def daily_route(fact: DataFrame) -> DataFrame:
     )
 
 
-def daily_route_summary(fact: DataFrame) -> DataFrame:
+def with_share(daily: DataFrame) -> DataFrame:
     """The dashboard aggregate with the share of bookings at risk."""
-    share = percentage(F.col("AT_RISK_BOOKINGS"), F.col("BOOKINGS"))
-    return daily_route(fact).withColumn("AT_RISK_PCT", share)
+    return daily.withColumn("AT_RISK_PCT", percentage(F.col("AT_RISK_BOOKINGS"), F.col("BOOKINGS")))
+
+
+def daily_route_summary(fact: DataFrame) -> DataFrame:
+    return with_share(daily_route(fact))
+
+
+# ---- the same, kept up by images of changes ----------------------------------------------
+
+# What a group holds: sums that start at nothing, and how many values are behind those that may be unknown.
+TOTALS = {
+    "BOOKINGS": lambda: F.lit(1),
+    "GROSS_REVENUE": lambda: F.coalesce("FARE_AMOUNT", F.lit(0)),
+    "NET_REVENUE": lambda: F.coalesce("NET_REVENUE", F.lit(0)),
+    "CLAIM_EXPOSURE": lambda: F.coalesce("CLAIM_AMOUNT", F.lit(0)),
+    "AT_RISK_BOOKINGS": lambda: F.coalesce(F.col("IS_AT_RISK").cast("int"), F.lit(0)),
+    "KNOWN_FARES": lambda: F.col("FARE_AMOUNT").isNotNull().cast("int"),
+    "KNOWN_NET": lambda: F.col("NET_REVENUE").isNotNull().cast("int"),
+    "KNOWN_CLAIMS": lambda: F.col("CLAIM_AMOUNT").isNotNull().cast("int"),
+}
+KNOWN = {"GROSS_REVENUE": "KNOWN_FARES", "NET_REVENUE": "KNOWN_NET", "CLAIM_EXPOSURE": "KNOWN_CLAIMS"}
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    kinds = {name: T.DecimalType(34, 2) if name in KNOWN else T.LongType() for name in TOTALS}
+    return rows.groupBy(*DAILY_ROUTE_KEYS).agg(*[F.sum(n).cast(k).alias(n) for n, k in kinds.items()])
+
+
+def daily_totals(fact: DataFrame) -> DataFrame:
+    """Totals of every day, route and channel of a whole fact."""
+    return _summed(fact.select(*DAILY_ROUTE_KEYS, *[c().alias(n) for n, c in TOTALS.items()]))
+
+
+def maintained_totals(totals: DataFrame, images: DataFrame) -> DataFrame:
+    """Totals after changes of the fact, given as images before (taken off) and after (added). Groups without
+    a booking leave. The images are summed per group before they meet the totals."""
+    before = F.col(CHANGE_TYPE).isin("delete", "update_preimage")
+    signed = {n: F.when(before, -c()).otherwise(c()).alias(n) for n, c in TOTALS.items()}
+    changed = _summed(images.select(*DAILY_ROUTE_KEYS, *signed.values()))
+    return _summed(totals.unionByName(changed)).filter("BOOKINGS > 0")
+
+
+def totals_shown(totals: DataFrame) -> DataFrame:
+    """The dashboard aggregate from totals: a sum without any known value is unknown."""
+    shown = [F.when(F.col(KNOWN[n]) > 0, F.col(n)).alias(n) if n in KNOWN else F.col(n) for n in TOTALS if not n.startswith("KNOWN")]
+    return totals.select(*DAILY_ROUTE_KEYS, *shown)

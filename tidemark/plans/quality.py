@@ -80,6 +80,45 @@ def foreign_key(
     return TableRule(name, target, failures)
 
 
+@dataclass(frozen=True)
+class Relationship:
+    """Every value of `column` occurs as `key` of `parent`; rows without a value are not asked."""
+
+    name: str
+    target: str
+    column: str
+    parent: str
+    key: str
+    severity: str = "FAIL"
+
+
+def relationships(tables: Tables, rules: list[Relationship], run_ts=None) -> DataFrame:
+    """The result rows of many relationships from one aggregate over the values of all their sides.
+
+    Every table is read once: a row gives a value for each side it takes part in. Values are counted per rule
+    before the shuffle, so a parent with very many children is one row per task. Values meet as text.
+    """
+    parts = []
+    for name in dict.fromkeys([*(r.target for r in rules), *(r.parent for r in rules)]):
+        sides = [
+            F.struct(F.lit(i).alias("rule"), F.col(column).cast("string").alias("value"), F.lit(child).alias("child"))
+            for i, r in enumerate(rules)
+            for table, column, child in ((r.target, r.column, True), (r.parent, r.key, False))
+            if table == name
+        ]
+        parts.append(tables[name].select(F.inline(F.array(*sides))))
+    values = reduce(DataFrame.unionByName, parts).filter(F.col("value").isNotNull())
+    counted = values.groupBy("rule", "value").agg(F.count_if("child").alias("children"), F.bool_or(~F.col("child")).alias("found"))
+    broken = counted.groupBy("rule").agg(F.sum(F.when(~F.col("found"), F.col("children")).otherwise(0)).alias("n"))
+    lines = F.array(*[_line(r, F.lit(0)) for r in rules])
+    asked = tables[rules[0].target].sparkSession.range(1).select(F.posexplode(lines).alias("rule", "line"))
+    results = asked.join(F.broadcast(broken), "rule", "left")  # a row per rule on either side
+    count = F.coalesce(F.col("n"), F.lit(0)).cast("long")
+    status = F.when(count == 0, "PASS").otherwise(F.col("line.SEVERITY"))
+    return results.select(
+        as_timestamp(run_ts).alias("RUN_TS"), "line.TEST_NAME", "line.TARGET", count.alias("FAIL_COUNT"), status.alias("STATUS"))
+
+
 def no_dead_parent(name: str, target: str, parent: str, key: str) -> TableRule:
     """Rows whose parent is deleted or cancelled."""
 
@@ -164,9 +203,10 @@ def freshness(
     return lines.select("OBJ", "LAST_UPDATE", lag.alias("LAG_MIN"), state.alias("STATUS"))
 
 
-def load_audit(raw: DataFrame, spec: EntitySpec, policy: Policy = SAFE) -> DataFrame:
-    """Per source file: rows, rows set aside, fields that did not parse."""
+def load_audit(raw: DataFrame, spec: EntitySpec, policy: Policy = SAFE, loaded_at: bool = False) -> DataFrame:
+    """Per source file: rows, rows set aside, fields that did not parse, and when it was loaded if wanted."""
     return raw.groupBy(K.SRC_FILE).agg(
+        *([F.max(K.LOAD_TS).alias("LOADED_AT")] if loaded_at else []),
         F.lit(spec.name).alias("ENTITY"),
         F.count("*").alias("ROWS_READ"),
         F.count_if(reject_reason(spec, policy).isNotNull()).alias("ROWS_REJECTED"),

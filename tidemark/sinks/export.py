@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
+from tidemark.session import work_dir
 from tidemark.specs import EXPORT_COLUMNS
+from tidemark.state.files import SharedFiles
 
-# A gzip-compressed fact row takes a few dozen bytes. Wider rows are found by the sizes of the files.
+# A gzip-compressed fact row takes a few dozen bytes: what a file is planned with when there is nothing to measure.
 MAX_BYTES_PER_ROW = 64
+# Rows that are written first to measure how wide they are, and how full files are planned by it.
+SAMPLE_ROWS = 5_000
+FILL = 0.8
+PUBLISHED = "_published"
 
 
-def rows_per_file(file_bytes: int = K.EXPORT_FILE_BYTES, row_bytes: int = MAX_BYTES_PER_ROW) -> int:
-    return max(1, file_bytes // row_bytes)
+def rows_per_file(file_bytes: int = K.EXPORT_FILE_BYTES, row_bytes: float = MAX_BYTES_PER_ROW) -> int:
+    return max(1, int(file_bytes / row_bytes))
 
 
 def export_csv(
@@ -22,37 +28,86 @@ def export_csv(
     max_records: int | None = None,
     run_id: str | None = None,
     file_bytes: int = K.EXPORT_FILE_BYTES,
+    stored: bool = False,
 ) -> str:
     """Gzip CSV with header, many files, replacing the target. NULL is nothing, empty text is `""`.
 
-    Part files carry a job id; `run_id` puts the run into its own directory instead of replacing. If a
-    file turns out larger than `file_bytes`, all are written again with fewer rows each.
+    No file is larger than `file_bytes`: a sample written first says how wide compressed rows are. It is taken
+    from written rows (`stored` says that `fact` only reads files; any other plan is written once, so it
+    runs once). If rows differ so much that a file still turns out larger, the written rows are exported
+    again with fewer rows a file.
+
+    Part files carry a job id; `run_id` puts the run into its own directory instead of replacing, and
+    `publish_run` then makes it the one that readers get.
     """
+    spark = fact.sparkSession
     target = f"{path}/run={run_id}" if run_id else path
-    rows = max_records or rows_per_file(file_bytes)
+    scratch, files = work_dir(spark, "export"), SharedFiles(spark, target)
+    rows = fact.select(*EXPORT_COLUMNS)
+    if not stored:
+        rows.write.parquet(f"{scratch}/rows")
+        rows = spark.read.schema(rows.schema).parquet(f"{scratch}/rows")
+    records = max_records or rows_per_file(file_bytes * FILL, _row_bytes(rows, f"{scratch}/sample"))
     while True:
-        _write_csv(fact, target, rows)
-        files = fact.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv.gz").load(target)
-        largest = files.agg(F.max("length")).first()[0] or 0
-        if largest <= file_bytes or rows == 1:
-            return target
-        rows = max(1, min(rows // 2, rows * file_bytes // largest))
+        _write_csv(rows, target, records)
+        largest = max(files.sizes(target, ".csv.gz"), default=0)
+        if largest <= file_bytes or records == 1:
+            break
+        records = max(1, min(records // 2, int(records * FILL * file_bytes / largest)))
+    SharedFiles(spark, scratch).remove(scratch)
+    return target
+
+
+def _row_bytes(rows: DataFrame, scratch: str) -> float:
+    """Bytes of a compressed row, from some rows written as they will be."""
+    seen = Observation()
+    _write_csv(rows.limit(SAMPLE_ROWS).observe(seen, F.count(F.lit(1)).alias("n")), scratch, SAMPLE_ROWS)
+    written = sum(SharedFiles(rows.sparkSession, scratch).sizes(scratch, ".csv.gz"))
+    return written / seen.get["n"] if seen.get["n"] else MAX_BYTES_PER_ROW
 
 
-def _write_csv(fact: DataFrame, target: str, rows: int) -> None:
+def _write_csv(rows: DataFrame, target: str, records: int) -> None:
     (
-        fact.select(*EXPORT_COLUMNS)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", rows)
+        .option("maxRecordsPerFile", records)
         .csv(target)
     )
 
 
+def publish_run(spark: SparkSession, path: str, run_id: str) -> None:
+    """Make a complete run the newest one of an export: a small file written last, under the next number."""
+    files = SharedFiles(spark, path)
+    number = max([int(n.partition("-")[0]) for n in _pointers(files, path)], default=0) + 1
+    files.publish_text(f"{path}/{PUBLISHED}/{number:08d}-{run_id}", run_id)
+
+
+def published_runs(spark: SparkSession, path: str) -> list[str]:
+    """The complete runs of an export, oldest first."""
+    return [n.partition("-")[2] for n in _pointers(SharedFiles(spark, path), path)]
+
+
+def _pointers(files: SharedFiles, path: str) -> list[str]:
+    return sorted(n for n in files.names(f"{path}/{PUBLISHED}") if not n.startswith(".") and not n.endswith(".draft"))
+
+
+def read_export(spark: SparkSession, path: str, schema, run_id: str | None = None, multi_line: bool = True) -> DataFrame:
+    """An exported CSV directory, read back by position with the given types: of published runs the newest, or `run_id`.
+
+    The unused null token keeps a quoted empty text apart from a missing value. Without `multi_line`, for
+    exports whose fields hold no line breaks, lines are records.
+    """
+    runs = [run_id] if run_id else published_runs(spark, path)
+    if runs:
+        path = f"{path}/run={runs[-1]}"
+    dialect = {"header": "true", "escape": '"', "nullValue": "\0", "emptyValue": "", "multiLine": str(multi_line).lower()}
+    return spark.read.schema(schema).options(**dialect).csv(path)
+
+
 def export_parquet(fact: DataFrame, path: str, dt: str | None = None) -> str:
     """All columns as Parquet, into a dated directory if `dt` is given."""
     target = f"{path}/dt={dt}" if dt else path

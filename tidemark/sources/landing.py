@@ -55,11 +55,23 @@ def stream_landing(
     max_files: int | None = None,
     path_pattern: str | None = None,
     multi_line: bool = False,
+    archive: str | None = None,
+    max_file_age: str | None = None,
 ) -> DataFrame:
-    """New files of an entity; the stream's checkpoint remembers what was read."""
+    """New files of an entity; the stream's checkpoint remembers what was read.
+
+    `archive`: a folder outside the landing folder that read files are moved to, under their whole path, when the
+    batch after theirs begins: what is listed then is what is new or was read last. `max_file_age` (such as
+    "14d") bounds the memory of names: older names, counted from the newest file seen, are forgotten, and
+    a file that lands under such a name is read again.
+    """
     reader = _prepared(spark.readStream, spec, fmt, multi_line)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if max_file_age:
+        reader = reader.option("maxFileAge", max_file_age)
     rows = reader.load(entity_glob(landing, spec, prefix))
     return _raw_rows(rows, spark, landing, spec, load_ts, path_pattern)
 
@@ -96,11 +108,17 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "length", "modificationTime")
 
 
-def read_export(spark: SparkSession, path: str, schema) -> DataFrame:
-    """An exported CSV directory, read back by position with the given types.
+def file_states(spark: SparkSession, landing: str, audit: DataFrame) -> DataFrame:
+    """Every landing file with its size and time, and what the load audit has of it: rows and load time, both
+    unknown for a file that was not loaded (or had no rows)."""
+    root = SharedFiles(spark, landing).qualified(landing)
+    listed = list_files(spark, landing).select(
+        _below_root(F.col("path"), root).alias(K.SRC_FILE), F.col("length").alias("LENGTH"), F.col("modificationTime").alias("LANDED_AT"))
+    loaded = audit.groupBy(K.SRC_FILE).agg(F.max("LOADED_AT").alias("LOADED_AT"), F.max("ROWS_READ").alias("ROWS_READ"))
+    return listed.join(loaded, K.SRC_FILE, "left")
 
-    The unused null token keeps a quoted empty text apart from a missing value. Fields may hold line
-    breaks, so a file is read by one task; exports are cut into files of bounded size.
-    """
-    dialect = {"header": "true", "escape": '"', "nullValue": "\0", "emptyValue": "", "multiLine": "true"}
-    return spark.read.schema(schema).options(**dialect).csv(path)
+
+def unloaded_files(spark: SparkSession, landing: str, audit: DataFrame) -> DataFrame:
+    """Landing files that the load audit does not know: name, size, time."""
+    states = file_states(spark, landing, audit)
+    return states.filter(F.col("LOADED_AT").isNull()).drop("LOADED_AT", "ROWS_READ")

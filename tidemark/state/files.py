@@ -30,6 +30,17 @@ class SharedFiles:
             return []
         return [s.getPath().getName() for s in self._fs.listStatus(self._path(path))]
 
+    def sizes(self, path: str, suffix: str = "") -> list[int]:
+        """Bytes of the files of a folder whose names end so."""
+        found = self._fs.listStatus(self._path(path)) if self.exists(path) else []
+        return [s.getLen() for s in found if s.isFile() and s.getPath().getName().endswith(suffix)]
+
+    def move(self, source: str, target: str) -> None:
+        """Rename a file or folder, so that it arrives whole; what is there already is not replaced."""
+        self._fs.mkdirs(self._path(target).getParent())
+        if self.exists(target) or not self._fs.rename(self._path(source), self._path(target)):
+            raise FileExistsError(target)
+
     def remove(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
@@ -41,7 +52,8 @@ class SharedFiles:
             stream.close()
 
     def publish_text(self, path: str, text: str) -> None:
-        """Create `path` with its whole content, or fail if it is already there."""
+        """Create `path` with its whole content, or fail if it is already there. Between the check and the rename
+        another writer could publish the same path: a table or export has one writer at a time."""
         draft = self._path(f"{path}.draft")
         out = self._fs.create(draft, True)
         out.write(bytearray(text, "utf-8"))

@@ -14,6 +14,11 @@ The base is bucketed by key. A join of the table with changed keys therefore nev
 base: few keys are broadcast, many keys are shuffled to the base's buckets. Bucketing needs a name
 in the session catalog, so each base is known there as an external table. Names of earlier bases
 stay, for readers that still use them; dropping one keeps its files.
+
+Looking up a batch reads of the base what the batch can touch. Files carry Bloom filters of the
+looked-up columns and are sorted by key. Few keys become literals, which choose buckets, row groups and
+pages; more keys carry their range, which Spark infers for the base too and which lets it build a
+runtime filter from the batch.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ import hashlib
 import json
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,17 +53,37 @@ MAX_CHANGED_SHARE = 0.25
 BUCKET_BYTES = 16 * 1024 * 1024
 
 
+def observed(rows: DataFrame, **measures: Column) -> tuple[DataFrame, Observation]:
+    """Rows that are measured while they are written, without a job of its own. The measures belong to the
+    tasks that write, so each task counts once, however often it was tried."""
+    seen = Observation()
+    return rows.observe(seen, *[m.alias(n) for n, m in (measures or {"n": F.count(F.lit(1))}).items()]), seen
+
+
+def counted() -> dict[str, Column]:
+    """How many rows of a change set are of each kind."""
+    return {k: F.count_if(F.col(CHANGE_TYPE) == k) for k in KINDS}
+
+
 class VersionedTable:
     def __init__(
-        self, spark: SparkSession, path: str, key: str, schema: T.StructType, buckets: int | None = None
+        self,
+        spark: SparkSession,
+        path: str,
+        key: str,
+        schema: T.StructType,
+        buckets: int | None = None,
+        looked_up: tuple[str, ...] = (),
     ):
-        """`buckets` of the base; by default as its estimated size asks, up to the shuffle partitions."""
+        """`buckets` of the base; by default as its estimated size asks, up to the shuffle partitions.
+        `looked_up`: columns besides the key that rows are picked by."""
         self.spark = spark
         self.key = key
         self.schema = schema
         self._files = SharedFiles(spark, path)
         self.path = self._files.qualified(path.rstrip("/"))
         self._buckets = buckets
+        self._looked_up = tuple(dict.fromkeys((key, *looked_up)))
 
     # ---- commits -------------------------------------------------------------------------
 
@@ -159,18 +184,18 @@ class VersionedTable:
     def _shuffle_partitions(self) -> int:
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _write_base(self, rows: DataFrame, target: str, buckets: int, spread: bool) -> None:
-        """Write bucketed rows, after a shuffle to the buckets if they still need to be spread."""
+    def _write_base(self, rows: DataFrame, target: str, buckets: int, spread: bool, **measured: Column) -> dict:
+        """Write bucketed rows, after a shuffle to the buckets if they still need to be spread. Returns
+        the measures of what was written."""
         if spread:
             rows = rows.repartition(buckets, self.key)
-        (
-            rows.write.mode("overwrite")
-            .format("parquet")
-            .bucketBy(buckets, self.key)
-            .sortBy(self.key)
-            .option("path", f"{self.path}/{target}")
-            .saveAsTable(self._base_name(target))
-        )
+        rows, seen = observed(rows, **measured)
+        writer = rows.write.mode("overwrite").format("parquet").bucketBy(buckets, self.key).sortBy(self.key)
+        for column in self._looked_up:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer.option("path", f"{self.path}/{target}").saveAsTable(self._base_name(target))
+        return seen.get
 
     def is_empty(self) -> bool:
         record = self.record()
@@ -212,11 +237,21 @@ class VersionedTable:
         """Rows of a batch written next to the table and read back, with their number.
 
         Whatever is done with them next then starts from files: nothing before is computed twice,
-        and a lost executor costs a file read. The next batch replaces them.
+        and a lost executor costs a file read. The next batch replaces them. The rows come back under
+        the range of their keys, measured while they were written: it reaches the base of a join by key.
         """
+        rows, seen = observed(rows, n=F.count(F.lit(1)), low=F.min(self.key), high=F.max(self.key))
         rows.write.mode("overwrite").parquet(f"{self.path}/staging")
         staged = self.spark.read.schema(rows.schema).parquet(f"{self.path}/staging")
-        return staged, staged.count()
+        if seen.get["n"] == 0:
+            return staged, 0
+        key = F.col(self.key)
+        return staged.filter(key.between(F.lit(seen.get["low"]), F.lit(seen.get["high"]))), seen.get["n"]
+
+    def read_keys(self, keys: list, version: int | None = None, column: str | None = None) -> DataFrame:
+        """The rows of a version with a few listed keys, or values of another looked-up column. Spark
+        chooses buckets, row groups and pages by them."""
+        return self.read(version).filter(F.col(column or self.key).isin(keys))
 
     def commit(
         self,
@@ -242,13 +277,11 @@ class VersionedTable:
             buckets = buckets or self._bucket_count(rows)
             partitions = self._shuffle_partitions()
             spread = not clustered or (partitions % buckets > 0 and buckets % partitions > 0)
-            self._write_base(rows, target, buckets, spread)
+            counts = self._write_base(rows, target, buckets, spread, **counted())
         else:
+            rows, seen = observed(rows, **counted())
             rows.write.mode("overwrite").parquet(f"{self.path}/{target}")
-
-        # Counted from the written files: exact whatever was retried while writing.
-        written = self._change_sets([version]).groupBy(CHANGE_TYPE).count().collect()
-        counts = {k: 0 for k in KINDS} | {r[CHANGE_TYPE]: r["count"] for r in written}
+            counts = seen.get
         changed = sum(counts.values())
         merged_meta = {**(head["meta"] if head else {}), **(meta or {})}
         if changed == 0 and (head is None or merged_meta == head["meta"]):
@@ -279,8 +312,9 @@ class VersionedTable:
     def _fold(self, head: dict) -> tuple[list[str], int]:
         """The newest images of all change sets as one, and their number. The base is not touched."""
         target = f"folded/v={head['version']}"
-        self._newest(head).write.mode("overwrite").parquet(f"{self.path}/{target}")
-        return [target], self._change_sets([target]).count()
+        rows, seen = observed(self._newest(head), n=F.count(F.lit(1)))
+        rows.write.mode("overwrite").parquet(f"{self.path}/{target}")
+        return [target], seen.get["n"]
 
     def needs_compaction(self) -> bool:
         head = self.record()
@@ -314,8 +348,7 @@ class VersionedTable:
         version = self.version() + 1
         target = f"base/v={version}"
         buckets = buckets or self._bucket_count(rows)
-        self._write_base(rows, target, buckets, spread=True)
-        written = self.spark.read.schema(self.schema).parquet(f"{self.path}/{target}").count()
+        written = self._write_base(rows, target, buckets, spread=True, n=F.count(F.lit(1)))["n"]
         merged = {**(head["meta"] if head else {}), **(meta or {})}
         return self._publish(
             version, base=target, base_rows=written, rows=written, meta=merged, buckets=buckets, cut=True

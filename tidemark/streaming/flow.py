@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import constants as K
-from tidemark.operators.changes import change_set, changed_keys
+from tidemark.operators.changes import change_rows, change_set, changed_keys
 from tidemark.operators.latest import newest_changes
 from tidemark.operators.typing import split_rejects, typed
 from tidemark.plans import gold, quality
-from tidemark.sinks.export import export_csv
+from tidemark.sinks.export import export_csv, publish_run
 from tidemark.functions.scalars import session_now
-from tidemark.sources.landing import read_landing, stream_landing
+from tidemark.sources.landing import file_states, read_landing, stream_landing
 from tidemark.specs import ENTITIES, FACT_KEY, FACT_SCHEMA, SAFE, EntitySpec, Policy
 from tidemark.state.files import SharedFiles
 from tidemark.state.table import VersionedTable
@@ -47,9 +47,12 @@ class Flow:
         max_files: int | None = None,
         path_pattern: str | None = None,
         multi_line: bool = False,
+        archive: str | None = None,
+        max_file_age: str | None = None,
     ):
         """`path_pattern` cuts landing files by their path below the landing folder; `multi_line` reads CSV
-        fields with line breaks."""
+        fields with line breaks; `archive` takes the files that streams have read, `max_file_age` bounds
+        how long streams remember names."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.landing = landing
@@ -59,8 +62,9 @@ class Flow:
         self.fmt = fmt
         self.max_files = max_files
         self.reading = {"path_pattern": path_pattern, "multi_line": multi_line}
+        self.retiring = {"archive": archive, "max_file_age": max_file_age}
         self.silver = {
-            e.name: VersionedTable(spark, f"{self.root}/silver/{e.name}", e.key, e.state_schema)
+            e.name: VersionedTable(spark, f"{self.root}/silver/{e.name}", e.key, e.state_schema, looked_up=(e.parent_key,))
             for e in entities
         }
         self.fact = VersionedTable(spark, f"{self.root}/gold/booking_fact", FACT_KEY, FACT_SCHEMA)
@@ -96,8 +100,13 @@ class Flow:
             record = table.commit(change_set(None, newest, spec), token, clustered=True)
         else:
             staged, rows = table.stage(newest)
-            lookup = "broadcast" if rows <= K.BROADCAST_ROWS else "pick"
-            record = table.commit(change_set(table.read(), staged, spec, self.policy.guard, lookup), token)
+            if rows <= K.LISTED_KEYS:
+                keys = [r[0] for r in staged.select(spec.key).collect()]  # at most LISTED_KEYS
+                changes = change_set(table.read_keys(keys), staged, spec, self.policy.guard)
+            else:
+                lookup = "broadcast" if rows <= K.BROADCAST_ROWS else "pick"
+                changes = change_set(table.read(), staged, spec, self.policy.guard, lookup)
+            record = table.commit(changes, token)
         if table.needs_compaction():
             table.compact()
         return record
@@ -118,7 +127,7 @@ class Flow:
         # Named by the batch: a batch delivered again replaces its own audit rows.
         batch = "-".join(map(str, token)) if token else uuid.uuid4().hex
         path = f"{self.root}/util/load_audit/{spec.name}/batch={batch}"
-        quality.load_audit(raw, spec, self.policy).write.mode("overwrite").parquet(path)
+        quality.load_audit(raw, spec, self.policy, loaded_at=True).write.mode("overwrite").parquet(path)
         if self.spark.read.parquet(path).filter("ROWS_REJECTED > 0").isEmpty():
             return
         _, rejected = split_rejects(raw, spec, self.policy)
@@ -165,9 +174,17 @@ class Flow:
                 keys.write.parquet(keys_path)
                 keys = self.spark.read.parquet(keys_path)
             try:
-                booking, reservation, claim = (self.silver[e.name].read(upto[e.name]) for e in self.entities)
                 first = self.fact.is_empty()
-                fact = None if first else self.fact.read()
+                listed = None
+                if 2 * changed_rows <= K.LISTED_KEYS and not first and self.policy.all_sources:
+                    listed = [r[0] for r in keys.collect()]  # at most LISTED_KEYS
+                tables = [(self.silver[e.name], upto[e.name]) for e in self.entities]
+                if listed is None:
+                    booking, reservation, claim = (t.read(v) for t, v in tables)
+                    fact = None if first else self.fact.read()
+                else:
+                    booking, reservation, claim = (t.read_keys(listed, v, FACT_KEY) for t, v in tables)
+                    fact = self.fact.read_keys(listed)
                 narrowed = None if first and self.policy.all_sources else keys
                 live = gold.booking_fact(booking, reservation, claim, narrowed, small, run_ts)
                 if self.policy.all_sources:
@@ -209,6 +226,28 @@ class Flow:
             return self.spark.read.parquet(stored)
         return gold.daily_route_summary(self.fact.read())
 
+    def refresh_daily_route(self) -> DataFrame:
+        """The stored daily aggregate, brought up to the newest fact, with the share at risk.
+
+        Only bookings that changed since its last refresh are read: their images before are taken off, those
+        after are added. After a rebuild or reset of the fact, which leave no images, it is computed anew.
+        """
+        with self._gold_lock:
+            folder = f"{self.root}/gold/daily_route"
+            done = [int(n[2:]) for n in self._files.names(folder) if self._files.exists(f"{folder}/{n}/_SUCCESS")]
+            held, upto = max(done, default=0), self.fact.version()
+            if held < upto:
+                since = [v for v in self.fact.versions() if v > held]
+                if held == 0 or any(self.fact.record(v)["cut"] for v in since):
+                    totals = gold.daily_totals(self.fact.read(upto))
+                else:
+                    images = change_rows(self.fact.net_changes(held, upto))
+                    totals = gold.maintained_totals(self.spark.read.parquet(f"{folder}/v={held}"), images)
+                totals.write.mode("overwrite").parquet(f"{folder}/v={upto}")
+            if upto == 0:
+                return gold.with_share(gold.totals_shown(gold.daily_totals(self.fact.read())))
+            return gold.with_share(gold.totals_shown(self.spark.read.parquet(f"{folder}/v={upto}")))
+
     def _summary_path(self, version: int) -> str:
         return f"{self.root}/gold/daily_route_summary/v={version}"
 
@@ -228,9 +267,12 @@ class Flow:
     # ---- gold -> outside -----------------------------------------------------------------
 
     def export(self) -> str:
+        """Write the fact as a run of its own and make it the one that readers of the folder get."""
         record = self.fact.record()
         version = record["version"] if record else 0  # a refresh meanwhile is not part of this export
-        path = export_csv(self.fact.read(version) if record else self.fact.read(), f"{self.root}/outbound/booking_fact")
+        path, run = f"{self.root}/outbound/booking_fact", f"{version}-{uuid.uuid4().hex}"
+        export_csv(self.fact.read(version) if record else self.fact.read(), path, run_id=run, stored=True)
+        publish_run(self.spark, path, run)
         self._log("GOLD->OUTBOUND", "booking_fact", record["rows"] if record else 0, "unload ok")
         self._files.publish_text(f"{self.root}/util/exports/{uuid.uuid4().hex}-{version}", path)
         return path
@@ -296,10 +338,29 @@ class Flow:
             if self.needs_export():
                 self.export()
 
-        feeds = [self._start_one(e, {"processingTime": interval}) for e in self.entities]
+        feeds = self.start_feeds(interval).values()
         gold_query = self._every(gold_interval or interval, self.refresh_gold, "refresh")
         return [*feeds, gold_query, self._every(export_interval or interval, export_newer, "export")]
 
+    def start_feeds(self, interval: str = K.TRIGGER_INTERVAL) -> dict[str, StreamingQuery]:
+        """One running query per feed, which takes in what has landed since its last trigger."""
+        return {e.name: self._start_one(e, {"processingTime": interval}) for e in self.entities}
+
+    def arrive(self, folder: str, prefix: str) -> None:
+        """Let a complete folder land as a prefix, by one rename: no trigger sees a part of it."""
+        self._files.move(folder, f"{self.landing.rstrip('/')}/{prefix}")
+
+    def archived(self) -> str:
+        """The landing folder as the archive of read files mirrors it."""
+        archive = self.retiring["archive"]
+        return archive.rstrip("/") + "/" + self._files.qualified(self.landing).partition(":")[2].lstrip("/")
+
+    def feed_progress(self, queries: dict[str, StreamingQuery]) -> DataFrame:
+        """FEED, BATCH, ROWS of the triggers that read rows, as the running queries report them (Spark
+        keeps the newest `spark.sql.streaming.numRecentProgressUpdates` reports of each)."""
+        rows = [(name, p.batchId, p.numInputRows) for name, q in queries.items() for p in q.recentProgress if p.numInputRows]
+        return self.spark.createDataFrame(rows, "FEED string, BATCH long, ROWS long")
+
     def _every(self, interval: str, step, label: str) -> StreamingQuery:
         """Run a step at intervals, as a streaming query that can be watched and stopped like the feeds."""
         ticks = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
@@ -317,7 +378,7 @@ class Flow:
             self.apply_batch(spec, batch, (self._feed_id(checkpoint), batch_id))
 
         rows = stream_landing(
-            self.spark, self.landing, spec, fmt=self.fmt, load_ts=self.run_ts, max_files=self.max_files, **self.reading
+            self.spark, self.landing, spec, fmt=self.fmt, load_ts=self.run_ts, max_files=self.max_files, **self.reading, **self.retiring
         )
         return (
             rows.writeStream.foreachBatch(on_batch)
@@ -372,6 +433,10 @@ class Flow:
         folders = [f"{self.root}/util/load_audit/{e.name}" for e in self.entities]
         return self.spark.read.parquet(*[f"{f}/*" for f in folders if self._files.exists(f)])
 
+    def file_states(self) -> DataFrame:
+        """Every landing file, and what the load audit has of it."""
+        return file_states(self.spark, self.landing, self.load_audit())
+
     def quarantine(self, spec: EntitySpec) -> DataFrame:
         schema = spec.raw_schema.add("REJECT_REASON", "string")
         folder = f"{self.root}/util/quarantine/{spec.name}"

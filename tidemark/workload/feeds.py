@@ -196,12 +196,14 @@ def silver(spark: SparkSession, sf_dir: str, *batches: int) -> dict[str, DataFra
     return {e.name: newest(spark, sf_dir, e, *batches) for e in ENTITIES}
 
 
-def write_landing(spark: SparkSession, sf_dir: str, landing: str, *batches: int) -> None:
-    """The feeds as CSV landing files, one directory per batch and entity."""
+def write_landing(spark: SparkSession, sf_dir: str, landing: str, *batches: int, files: int | None = None, fmt: str = "csv") -> None:
+    """The feeds as landing files, one directory per batch and entity, with so many files each if given."""
 
     def write(spec: EntitySpec, batch: int) -> None:
         rows = feed(spark, sf_dir, spec, batch).select(*spec.file_columns)
-        rows.write.options(header="true", escape='"').csv(f"{landing}/{PREFIXES[batch]}/{spec.name}")
+        rows = rows.coalesce(files) if files else rows
+        options = {"header": "true", "escape": '"'} if fmt == "csv" else {}
+        rows.write.format(fmt).options(**options).save(f"{landing}/{PREFIXES[batch]}/{spec.name}")
 
     targets = [(spec, batch) for spec in ENTITIES for batch in batches]
     with ThreadPoolExecutor(len(targets)) as pool:

@@ -326,6 +326,25 @@ def silver_changes_sql() -> str:
     return query(select, change_ctes("booking"))
 
 
+def stored_changes_sql() -> str:
+    """Images of the delta and of a late batch that overwrites what it finds, as versions 2 and 3."""
+    columns = COLUMNS["booking"]
+    without = ("UPDATED_AT",)
+    cut = shown(columns, without)
+    old = ", ".join(f"o.{c.strip()}" for c in columns.split(","))
+    parts = []
+    for version, diff, before in ((2, "booking_diff", "booking_old"), (3, "late_diff", "booking_mid")):
+        parts.append(f"SELECT CASE WHEN old_key IS NULL THEN 'insert' ELSE 'update_postimage' END AS _change_type, CAST({version} AS BIGINT) AS _version, {cut} FROM {diff}")
+        parts.append(f"SELECT 'update_preimage', CAST({version} AS BIGINT), {cut} FROM (SELECT {old} FROM {before} o JOIN {diff} d ON d.old_key = o.BOOKING_ID) p")
+    return query(
+        both(*parts), state("booking_old", "booking", "0"), state("booking_new", "booking", "1"), state("late_new", "booking", "2"),
+        """
+booking_mid AS (SELECT * FROM booking_new UNION ALL SELECT * FROM booking_old WHERE BOOKING_ID NOT IN (SELECT BOOKING_ID FROM booking_new)),
+booking_diff AS (SELECT n.*, o.BOOKING_ID AS old_key FROM booking_new n LEFT JOIN booking_old o ON o.BOOKING_ID = n.BOOKING_ID),
+late_diff AS (SELECT n.*, o.BOOKING_ID AS old_key FROM late_new n LEFT JOIN booking_mid o ON o.BOOKING_ID = n.BOOKING_ID)""",
+    )
+
+
 def net_changes_sql() -> str:
     return query(
         "SELECT n.BOOKING_ID, CASE WHEN o.BOOKING_ID IS NULL THEN 'insert' ELSE 'update' END AS _change_type, "
@@ -472,6 +491,24 @@ STATUS_TOTALS = (
 )
 
 
+RELATIONSHIPS = (
+    ("order_has_customer", "orders", "o_custkey", "customer", "c_custkey", "FAIL"),
+    ("line_has_order", "lineitem", "l_orderkey", "orders", "o_orderkey", "FAIL"),
+    ("line_has_part", "lineitem", "l_partkey", "part", "p_partkey", "FAIL"),
+    ("line_has_supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey", "FAIL"),
+    ("nation_has_region", "nation", "n_regionkey", "region", "r_regionkey", "FAIL"),
+    ("customer_has_order", "customer", "c_custkey", "orders", "o_custkey", "WARN"),
+    ("part_number_is_an_order", "part", "p_partkey", "orders", "o_orderkey", "FAIL"),
+)
+
+
+def landed(entity: str) -> str:
+    """The changes of a feed with the folder they land in."""
+    op = "op" if entity == "booking" else "CASE WHEN batch = 0 THEN 'L' WHEN IS_DELETED THEN 'D' ELSE 'U' END"
+    feed = "booking_feed" if entity == "booking" else f"{entity}_typed"
+    return f"SELECT '{entity}' AS entity, batch, CASE batch WHEN 0 THEN 'fullload' WHEN 1 THEN 'cdc' ELSE 'late' END AS folder, {op} AS op FROM {feed}"
+
+
 def oracles() -> dict[str, str]:
     booking = COLUMNS["booking"]
     return {
@@ -521,6 +558,8 @@ def oracles() -> dict[str, str]:
         "gold_incremental_all": _fact_select(without=("LOAD_TS",)),
         "daily_route": query("SELECT * FROM daily", states(), fact(), DAILY),
         "daily_route_summary": query(SUMMARY, states(), fact(), DAILY),
+        "daily_route_maintained": query(SUMMARY, states(), fact(), DAILY),
+        "silver_changes_stored": stored_changes_sql(),
         "load_audit": query(
             both(
                 audit("booking", "booking_feed", "count(*) FILTER (WHERE TRY_CAST(FARE_TEXT AS DECIMAL(12,2)) IS NULL)"),
@@ -616,4 +655,38 @@ def oracles() -> dict[str, str]:
         "stored_rebuild": query(SUMMARY, states(), fact(), DAILY),
         "export_top": _fact_select(without=("LOAD_TS",)) + " ORDER BY fact.FARE_AMOUNT DESC NULLS LAST, BOOKING_ID LIMIT 100",
         "inspection": query(INSPECTION, states(), fact()),
+        "landed_by_path": query(
+            f"SELECT folder || '/' || entity AS FOLDER, op AS CHANGE_OPER, count(*) AS N, CASE batch WHEN 0 THEN 'parquet' ELSE 'csv' END AS FORMAT "
+            f"FROM ({both(*[landed(e) for e in KEYS])}) v GROUP BY ALL"
+        ),
+        "unloaded_files": query(
+            f"SELECT folder || '/' || entity AS FOLDER, CASE batch WHEN 0 THEN count(*) END AS ROWS_READ, "
+            f"CASE batch WHEN 0 THEN TIMESTAMP '2001-11-04 03:00:30' END AS LOADED_AT, CAST(batch AS BIGINT) AS WAITING "
+            f"FROM ({both(*[landed(e) for e in KEYS])}) v WHERE batch < 2 GROUP BY folder, entity, batch"
+        ),
+        "triggered_batches": query(
+            f"SELECT entity AS FEED, CAST(batch AS BIGINT) AS BATCH, count(*) AS ROWS FROM ({both(*[landed(e) for e in KEYS])}) v GROUP BY entity, batch"
+        ),
+        "retired_files": query(
+            f"SELECT folder AS PREFIX, count(*) AS N, CASE batch WHEN 2 THEN 'landing' ELSE 'archive' END AS PLACE "
+            f"FROM ({landed('booking')}) v GROUP BY folder, batch"
+        ),
+        "export_sizes": query(
+            "SELECT count(*) AS N, CAST(sum(NET_REVENUE) AS DOUBLE) AS NET_REVENUE, CAST(0 AS BIGINT) AS TOO_LARGE FROM fact", states(), fact()
+        ),
+        "unload_runs": query(
+            both(
+                *[
+                    f"SELECT '{run}' AS RUN, count(*) AS N, CAST(sum(NET_REVENUE) AS DOUBLE) AS NET_REVENUE FROM {source}"
+                    for run, source in (("first", "old_fact"), ("second", "fact"), ("newest", "fact"), ("2001-11-03", "old_fact"), ("2001-11-04", "fact"))
+                ]
+            ),
+            states(), fact(), states("0", "old_"), fact("old_fact", "old_"),
+        ),
+        "dq_relationships": both(
+            *[
+                dq_line(name, child, f"SELECT 1 FROM {child} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)", severity)
+                for name, child, column, parent, key, severity in RELATIONSHIPS
+            ]
+        ),
     }

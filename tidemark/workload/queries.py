@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
@@ -14,8 +15,8 @@ from tidemark.operators import changes as C
 from tidemark.operators.latest import latest_per_key
 from tidemark.plans import gold, quality
 from tidemark.session import work_dir
-from tidemark.sinks.export import export_by_date, export_csv
-from tidemark.sources.landing import read_export
+from tidemark.sinks.export import export_by_date, export_csv, export_parquet, published_runs, read_export
+from tidemark.sources.landing import read_landing, unloaded_files as files_not_loaded
 from tidemark.specs import (
     AS_DELIVERED,
     BOOKING,
@@ -150,13 +151,27 @@ def changed_keys(spark, sf_dir):
 
 
 def merge_counts(spark, sf_dir):
+    """What the commits of a batch say they did, and what the stored changes hold."""
+    flow = Flow(spark, work_dir(spark, "merge-counts"), "", run_ts=RUN_TS)
+    for batch in (FULL, DELTA):
+        flow.merge_all(feeds.raw_batches(spark, sf_dir, batch))
     parts = []
     for e in ENTITIES:
-        counted = C.count_changes(_delta_changes(spark, sf_dir, e))
-        parts.append(counted.withColumn("ENTITY", F.lit(e.name)))
+        said = flow.silver[e.name].record()["counts"]
+        counted = C.count_changes(flow.silver[e.name].changes(after=1))
+        agreed = [F.when(F.col(c) == said[k], F.col(c)).alias(c) for c, k in C.COUNTED.items()]
+        parts.append(counted.select(*agreed, F.lit(e.name).alias("ENTITY")))
     return union(parts)
 
 
+def silver_changes_stored(spark, sf_dir):
+    """Changes of stored bookings as the production merge finds them, by a large and a small batch."""
+    flow = Flow(spark, work_dir(spark, "stored-changes"), "", replace(feeds.SAFE, guard=False), run_ts=RUN_TS)
+    for batch in (FULL, DELTA, LATE):
+        flow.merge_batch(BOOKING, feeds.raw_batches(spark, sf_dir, batch)[BOOKING])
+    return present(C.change_rows(flow.silver["booking"].changes(after=1)).drop(K.UPDATED_AT))
+
+
 def change_op_counts(spark, sf_dir):
     parts = [feeds.feed(spark, sf_dir, e).groupBy(K.CHANGE_OPER).count().withColumn("ENTITY", F.lit(e.name)) for e in ENTITIES]
     return union(parts).withColumnRenamed("count", "N")
@@ -210,6 +225,16 @@ def daily_route_summary(spark, sf_dir):
     return present(gold.daily_route_summary(_fact(spark, sf_dir)))
 
 
+def daily_route_maintained(spark, sf_dir):
+    """The daily aggregate as images of changes keep it up, over a full load and two batches."""
+    flow = Flow(spark, work_dir(spark, "maintained"), "", run_ts=RUN_TS)
+    for batch in (FULL, DELTA, LATE):
+        flow.merge_all(feeds.raw_batches(spark, sf_dir, batch))
+        flow.refresh_gold()
+        kept = flow.refresh_daily_route()
+    return present(kept)
+
+
 # ---- quality -----------------------------------------------------------------------------
 
 
@@ -351,7 +376,7 @@ def unload_roundtrip(spark, sf_dir):
     path = work_dir(spark, "unload")
     export_csv(_fact(spark, sf_dir), path)
     schema = T.StructType([FACT_SCHEMA[c] for c in EXPORT_COLUMNS])
-    return present(read_export(spark, path, schema))
+    return present(read_export(spark, path, schema, multi_line=False))
 
 
 def unload_partitioned(spark, sf_dir):
@@ -475,7 +500,7 @@ def export_top(spark, sf_dir):
     """The 100 dearest bookings, read back from an export of the stored fact."""
     flow = _merged(spark, sf_dir, "export-top", FULL, DELTA)
     schema = T.StructType([FACT_SCHEMA[c] for c in EXPORT_COLUMNS])
-    rows = read_export(spark, flow.export(), schema)
+    rows = read_export(spark, flow.export(), schema, multi_line=False)
     return present(rows.orderBy(F.desc("FARE_AMOUNT"), F.asc("BOOKING_ID")).limit(100))
 
 
@@ -491,16 +516,123 @@ def inspection(spark, sf_dir):
     )
 
 
+# ---- files of a flow ---------------------------------------------------------------------
+
+
+def landed_by_path(spark, sf_dir):
+    """Changes per landing folder and code, where a pattern of the path chooses the files, of CSV and of Parquet."""
+    parts = []
+    for fmt, pattern in (("csv", "^(cdc|late)/.*[.]csv$"), ("parquet", "^fullload/.*[.]parquet$")):
+        landing = work_dir(spark, "by-path")
+        feeds.write_landing(spark, sf_dir, landing, FULL, DELTA, LATE, fmt=fmt)
+        for e in ENTITIES:
+            rows = read_landing(spark, landing, e, fmt=fmt, path_pattern=pattern)
+            folder = F.regexp_replace(K.SRC_FILE, "/[^/]*$", "").alias("FOLDER")
+            parts.append(rows.groupBy(folder, K.CHANGE_OPER).agg(F.count("*").alias("N")).withColumn("FORMAT", F.lit(fmt)))
+    return union(parts)
+
+
+def unloaded_files(spark, sf_dir):
+    """After one of two landed prefixes was loaded: what the audit has of each folder, and what waits."""
+    base = work_dir(spark, "unloaded")
+    feeds.write_landing(spark, sf_dir, f"{base}/landing", FULL, DELTA, files=1)
+    flow = Flow(spark, f"{base}/root", f"{base}/landing", run_ts=RUN_TS)
+    flow.load(feeds.PREFIXES[FULL])
+    folder = F.regexp_replace(K.SRC_FILE, "/[^/]*$", "").alias("FOLDER")
+    audit = flow.load_audit()
+    loaded = audit.groupBy(folder).agg(F.sum("ROWS_READ").alias("ROWS_READ"), F.max("LOADED_AT").alias("LOADED_AT"))
+    waiting = files_not_loaded(spark, flow.landing, audit).groupBy(folder).agg(F.count("*").alias("WAITING"))
+    return loaded.join(waiting, "FOLDER", "full").select(
+        "FOLDER", "ROWS_READ", "LOADED_AT", F.coalesce("WAITING", F.lit(0)).alias("WAITING"))
+
+
+def triggered_batches(spark, sf_dir):
+    """Rows of every trigger of the running feeds, for files that arrive between triggers."""
+    base = work_dir(spark, "triggered")
+    flow = Flow(spark, f"{base}/root", f"{base}/landing", run_ts=RUN_TS)
+    running = flow.start_feeds("200 milliseconds")
+    try:
+        for batch in (FULL, DELTA, LATE):
+            feeds.write_landing(spark, sf_dir, f"{base}/incoming", batch)
+            flow.arrive(f"{base}/incoming/{feeds.PREFIXES[batch]}", feeds.PREFIXES[batch])
+            for feed in running.values():
+                feed.processAllAvailable()
+        return flow.feed_progress(running)
+    finally:
+        for feed in running.values():
+            feed.stop()
+
+
+def retired_files(spark, sf_dir):
+    """Where the changes lie after three runs that retire what the run before has read."""
+    base = work_dir(spark, "retired")
+    flow = Flow(spark, f"{base}/root", f"{base}/landing", run_ts=RUN_TS, archive=f"{base}/archive", max_file_age="14d")
+    for batch in (FULL, DELTA, LATE):
+        feeds.write_landing(spark, sf_dir, f"{base}/landing", batch)
+        flow.ingest_available(BOOKING)
+    parts = []
+    for place, folder in (("landing", flow.landing), ("archive", flow.archived())):
+        rows = read_landing(spark, folder, BOOKING).groupBy(F.regexp_extract(K.SRC_FILE, "^[^/]*", 0).alias("PREFIX"))
+        parts.append(rows.agg(F.count("*").alias("N")).withColumn("PLACE", F.lit(place)))
+    return union(parts)
+
+
+def export_sizes(spark, sf_dir):
+    """An export of the whole fact in files of at most 50,000 bytes: rows that came back, files above the limit."""
+    path, limit = work_dir(spark, "sizes"), 50_000
+    export_csv(_fact(spark, sf_dir), path, file_bytes=limit)
+    schema = T.StructType([FACT_SCHEMA[c] for c in EXPORT_COLUMNS])
+    rows = read_export(spark, path, schema, multi_line=False)
+    total = rows.agg(F.count("*").alias("N"), F.sum("NET_REVENUE").cast("decimal(18,2)").alias("NET_REVENUE"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv.gz").load(path)
+    return present(total.crossJoin(files.agg(F.count_if(F.col("length") > limit).alias("TOO_LARGE"))))  # one row each
+
+
+def unload_runs(spark, sf_dir):
+    """Two published exports of a flow, read by run and as the newest; beside them dated Parquet."""
+    flow = Flow(spark, work_dir(spark, "runs"), "", run_ts=RUN_TS)
+    schema = T.StructType([FACT_SCHEMA[c] for c in EXPORT_COLUMNS])
+    for batch, day in ((FULL, "2001-11-03"), (DELTA, "2001-11-04")):
+        flow.merge_all(feeds.raw_batches(spark, sf_dir, batch))
+        flow.refresh_gold()
+        path = flow.export()
+        export_parquet(flow.fact.read(), f"{path}-parquet", dt=day)
+    runs = published_runs(spark, path)
+    named = {"first": read_export(spark, path, schema, runs[0], multi_line=False), "second": read_export(spark, path, schema, runs[1], multi_line=False),
+             "newest": read_export(spark, path, schema, multi_line=False)}
+    dated = spark.read.parquet(f"{path}-parquet").withColumn("RUN", F.col("dt").cast("string"))
+    rows = [df.select(F.lit(n).alias("RUN"), "NET_REVENUE") for n, df in named.items()] + [dated.select("RUN", "NET_REVENUE")]
+    return present(union(rows).groupBy("RUN").agg(F.count("*").alias("N"), F.sum("NET_REVENUE").cast("decimal(18,2)").alias("NET_REVENUE")))
+
+
+RELATIONSHIPS = [
+    quality.Relationship("order_has_customer", "orders", "o_custkey", "customer", "c_custkey"),
+    quality.Relationship("line_has_order", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+    quality.Relationship("line_has_part", "lineitem", "l_partkey", "part", "p_partkey"),
+    quality.Relationship("line_has_supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    quality.Relationship("nation_has_region", "nation", "n_regionkey", "region", "r_regionkey"),
+    quality.Relationship("customer_has_order", "customer", "c_custkey", "orders", "o_custkey", "WARN"),
+    quality.Relationship("part_number_is_an_order", "part", "p_partkey", "orders", "o_orderkey"),
+]
+
+
+def dq_relationships(spark, sf_dir):
+    """Seven relationships between the given tables, some of them broken, from one aggregate."""
+    names = {n for r in RELATIONSHIPS for n in (r.target, r.parent)}
+    return quality.relationships({n: feeds.table(spark, sf_dir, n) for n in names}, RELATIONSHIPS, RUN_TS)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         cdc_latest, cdc_upsert, cdc_upsert_reservation, cdc_upsert_claim, cdc_full_then_delta,
         cdc_soft_delete, cdc_out_of_order, cdc_events_by_day, cdc_events_state, silver_changes,
         silver_net_changes, changed_keys, merge_counts, change_op_counts, table_counts, claim_rollup, gold_rebuild,
-        gold_incremental, gold_incremental_all, daily_route, daily_route_summary, load_audit,
+        gold_incremental, gold_incremental_all, daily_route, daily_route_summary, daily_route_maintained, silver_changes_stored, load_audit,
         freshness, dq_unique, dq_not_null, dq_accepted, dq_fk, dq_net_revenue,
         dq_gold_excludes_cancelled, dq_gold_suite, dq_results, stream_ingest, stream_to_gold,
         replay, raw_empty_after_load, unload_roundtrip, unload_partitioned, time_travel,
         landed_rejects, cdc_undelete, consumer_offsets, run_log, dq_history, stored_rebuild, export_top, inspection,
+        landed_by_path, unloaded_files, triggered_batches, retired_files, export_sizes, unload_runs, dq_relationships,
     )
 }
