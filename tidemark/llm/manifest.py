@@ -280,30 +280,39 @@ def _base(row: dict) -> int:
     return min(BLOCK, row["leaves"] - row["block"] * BLOCK)
 
 
-HEAD = StructType([StructField("tree", StringType()), StructField("block", LongType()), StructField("above", BinaryType())])
+HEAD = StructType([StructField("tree", StringType()), StructField("block", LongType()), StructField("above", BinaryType()),
+                   StructField("place", LongType()), StructField("trees", LongType()), StructField("subroot", StringType())])
+
+
+def together(built: DataFrame, heads: DataFrame, *rows: DataFrame) -> DataFrame:
+    """Segments, what lies above their blocks, and rows of the blocks, dealt so that of each block the segment comes
+    first and its head second. No side is sent to all tasks: each has its share of the nodes."""
+    whole = built.withColumn("rank", F.lit(-2).cast("long")).unionByName(heads.withColumn("rank", F.lit(-1).cast("long")), allowMissingColumns=True)
+    for more in rows:
+        whole = whole.unionByName(more, allowMissingColumns=True)
+    return dealt(whole)
 
 
 def passed_down(built: list[DataFrame], above: DataFrame) -> DataFrame:
-    """(tree, block, above) of every block of the first round: the siblings beside the path from its top up.
-    above: (tree, above) for the top of each tree."""
+    """The heads of every block of the first round: `above`, the siblings beside the path from its top up, and what
+    else the row of its tree in `above` (tree, above, place, trees, subroot) says."""
 
     def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                base = _base(row)
-                block = Siblings(row["nodes"], base, row["leaves"], row["above"])
-                at = range(base)
-                first = row["block"] * BLOCK
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["tree"]] * base, pa.string()), pa.array([first + i for i in at], pa.int64()),
-                     pa.array([b"".join(block.beside(0, i)) + block.rest(i) for i in at], pa.binary())], names=HEAD.names)
+        for segment, head in by_block(batches):
+            base = _base(segment)
+            block = Siblings(segment["nodes"], base, segment["leaves"], head["above"])
+            at, first = range(base), segment["block"] * BLOCK
+            columns = [[segment["tree"]] * base, [first + i for i in at], [b"".join(block.beside(0, i)) + block.rest(i) for i in at],
+                       *([head[n]] * base for n in HEAD.names[3:])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, arrow_type(f.dataType)) for c, f in zip(columns, HEAD.fields, strict=True)], names=HEAD.names)
 
     heads = None
     for built_round in reversed(built):
-        crowned = built_round.where(F.col("leaves") <= BLOCK).select("tree", "block").join(above, "tree").select(*HEAD.names)
+        # a tree has one block here, so no value of the key repeats
+        crowned = built_round.where(F.col("leaves") <= BLOCK).select("tree", "block").join(above.hint("merge"), "tree").select(*HEAD.names)
         heads = crowned if heads is None else heads.unionByName(crowned)
         if built_round is not built[0]:
-            heads = materialise(built_round.join(heads, ["tree", "block"]).mapInArrow(down, HEAD))
+            heads = materialise(together(built_round, heads).mapInArrow(down, HEAD))
     return heads
 
 
@@ -317,42 +326,36 @@ def verify_rows(manifest: Manifest) -> DataFrame:
     is null. One row per leaf; no rows for an empty dataset."""
     leaves = manifest.leaves
     schema = StructType([StructField("id", leaves.schema["id"].dataType), *PROOF])
-    nothing = F.lit(b"").alias("above")
-    top_heads = passed_down(manifest.upper, tops(manifest.upper).select("tree", nothing))
-    spans = manifest.sources.select("tree", F.floor(F.col("rank") / BLOCK).alias("block"), "rank", "leaves", F.col("id").alias("name"), "node")
+    nothing = {"above": F.lit(b""), "place": F.lit(None).cast("long"), "trees": F.lit(None).cast("long"), "subroot": F.lit(None).cast("string")}
+    heads = passed_down(manifest.upper, tops(manifest.upper).select("tree", *[c.alias(n) for n, c in nothing.items()]))
+    spans = manifest.sources.select("tree", F.floor(F.col("rank") / BLOCK).alias("block"), "rank", F.col("leaves").alias("trees"), F.col("id").alias("name"), "node")
 
     # siblings of every subroot, from the blocks of the upper tree
-    found = StructType([StructField("tree", StringType()), StructField("above", BinaryType()), StructField("place", LongType()),
-                        StructField("trees", LongType()), StructField("subroot", StringType())])
+    found = StructType([HEAD["tree"], *HEAD.fields[2:]])
 
     def source_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in by_block(batches):
-            head = rows[0]
-            block = Siblings(head["nodes"], _base(head), head["leaves"], head["above"])
+        for segment, head, *rows in by_block(batches):
+            block = Siblings(segment["nodes"], _base(segment), segment["leaves"], head["above"])
             out = []
-            for r in rows[1:]:
-                i = r["rank"] - head["block"] * BLOCK
+            for r in rows:
+                i = r["rank"] - segment["block"] * BLOCK
                 out.append({"tree": r["name"], "above": b"".join(block.beside(0, i)) + block.rest(i), "place": r["rank"],
-                            "trees": r["leaves"], "subroot": r["node"]})
+                            "trees": r["trees"], "subroot": r["node"]})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([(f.name, arrow_type(f.dataType)) for f in found.fields]))
 
-    heads = manifest.upper[0].join(top_heads, ["tree", "block"]).withColumn("rank", F.lit(-1).cast("long"))
-    paths = materialise(dealt(heads.unionByName(spans, allowMissingColumns=True)).mapInArrow(source_paths, found))
-
-    below = passed_down(manifest.log, paths.select("tree", "above"))
-    heads = (manifest.log[0].join(below, ["tree", "block"]).join(paths.drop("above"), "tree").withColumn("rank", F.lit(-1).cast("long")))
+    paths = materialise(together(manifest.upper[0], heads, spans).mapInArrow(source_paths, found))
+    below = passed_down(manifest.log, paths)
     rows = leaves.withColumn("block", F.floor(F.col("rank") / BLOCK))
     root = (manifest.root or "").encode()
 
     def prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block_rows in by_block(batches):
-            head = block_rows[0]
-            block = Siblings(head["nodes"], _base(head), head["leaves"], head["above"])
+        for segment, head, *block_rows in by_block(batches):
+            block = Siblings(segment["nodes"], _base(segment), segment["leaves"], head["above"])
             out: dict[str, list] = {n: [] for n in schema.names}
             paths_up: dict[int, list[tuple[int, int]]] = {}
             known: dict[tuple[int, bytes], bytes] = {}
-            for r in block_rows[1:]:
-                i = r["rank"] - head["block"] * BLOCK
+            for r in block_rows:
+                i = r["rank"] - segment["block"] * BLOCK
                 up = i // ARITY if block.levels else 0
                 left, right = block.beside(0, i)
                 rest = block.rest(i)
@@ -370,7 +373,7 @@ def verify_rows(manifest: Manifest) -> DataFrame:
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], arrow_type(f.dataType)) for f in schema.fields], names=schema.names)
 
-    return dealt(heads.unionByName(rows, allowMissingColumns=True)).mapInArrow(prove, schema)
+    return together(manifest.log[0], below, rows).mapInArrow(prove, schema)
 
 
 def log_rows(manifest: Manifest) -> DataFrame:
@@ -396,7 +399,7 @@ def log_rows(manifest: Manifest) -> DataFrame:
                         size = -(-size // ARITY)
                     yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([(f.name, arrow_type(f.dataType)) for f in out.fields]))
 
-        parts.append(built.join(sizes, "tree").mapInArrow(placed, out))
+        parts.append(built.join(sizes.hint("merge"), "tree").mapInArrow(placed, out))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)

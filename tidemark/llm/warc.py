@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import arrow_type, prepare, table, utf8
+from tidemark.llm.common import arrow_type, materialise, prepare, table, utf8
 from tidemark.session import work_dir
 
 #: payloads from this size are stored once
@@ -305,17 +305,18 @@ def read_warc(archives: DataFrame, payload: bool = False) -> DataFrame:
             if held:
                 yield pa.RecordBatch.from_pylist(held, schema=fields)
 
-    # one row per archive: dealt by name, so that no task reads more than its share
-    return archives.select("archive").repartition("archive").mapInArrow(read, schema)
+    # a task for each archive: by the bytes of their names, Spark would read very many in one
+    return archives.select("archive").repartition(max(1, archives.count())).mapInArrow(read, schema)
 
 
 def resolve(records: DataFrame) -> DataFrame:
     """records with the payload size (and payload, if read) of revisits, and `refers_to` as the page id of the
-    record that a revisit names. Equal responses count once. Spark can split a response that very many name."""
+    record that a revisit names. Equal responses count once. Spark can split a response that very many name.
+    Both sides are shuffled: how many records archives hold is not known from their names."""
     found = [c for c in ("payload_bytes", "payload") if c in records.columns]
     named = records.where("record_type = 'response'").dropDuplicates(["record_id"])
     named = named.select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("_page"), *(F.col(c).alias(f"_{c}") for c in found))
-    revisits = records.where("record_type = 'revisit'").join(named, "refers_to", "left")
+    revisits = records.where("record_type = 'revisit'").join(named.hint("merge"), "refers_to", "left")
     revisits = revisits.withColumns({"refers_to": F.col("_page"), **{c: F.col(f"_{c}") for c in found}}).select(*records.columns)
     return records.where("record_type = 'response'").unionByName(revisits)
 
@@ -323,7 +324,7 @@ def resolve(records: DataFrame) -> DataFrame:
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     kind = pages.schema["page_id"].dataType
-    rows = resolve(read_warc(write_warc(pages, work_dir(spark, "warc"))))
+    rows = resolve(materialise(read_warc(write_warc(pages, work_dir(spark, "warc")))))
     return rows.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                        F.col("refers_to").cast(kind).alias("refers_to"))
 
