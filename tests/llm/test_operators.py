@@ -448,3 +448,19 @@ def test_good_documents_score_higher(spark, none):
     held = [i for i in range(240) if zlib.crc32(str(i).encode()) % 5 == 0]
     assert len(rows) == 243 and np.mean([(score[i] >= 0.3) == (i % 3 > 0) for i in held]) > 0.95 and score[302] == score[1]
     assert quality.score_quality(none, labels).count() == 0 and quality.score_quality(docs, labels.limit(0)).count() == 243
+
+
+def test_stages_bring_columns_of_any_name_back(spark):
+    passage = prose(7, 40)
+    texts = [passage + " a", passage + " b", prose(8, 60), prose(8, 60), None, ""]
+    docs = frame(spark, texts)
+    extra = ["bench_words", "bench_spans", "bench_items", "_n_chars", "_changed", "_text_hash", "_kept_id", "_kept_hash", "bucket", "body", "missing", "c0", "c1", "C2",
+             "toxicity_score", "fp", "first", "root", "tree"]
+    for i, c in enumerate(extra):
+        docs = docs.drop(c).withColumn(c, F.concat(F.lit(f"{i}-"), F.col("doc_id").cast("string")))
+    bench = spark.createDataFrame([(1, prose(7, 12))], "item_id long, text string")
+    for out, ids in ((decontamination.remove_passages(docs, bench), [0, 1, 2, 3, 4, 5]), (substrings.remove_repeats(docs), [0, 1, 2, 3, 4, 5]),
+                     (simhash.drop_near_duplicates(docs), None)):
+        rows = sorted(out.collect(), key=lambda r: r.doc_id)
+        assert out.columns == docs.columns and (ids is None or [r.doc_id for r in rows] == ids)
+        assert all(r[c] == f"{i}-{r.doc_id}" for r in rows for i, c in enumerate(extra))

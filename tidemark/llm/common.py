@@ -45,6 +45,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name like `name` that no column has, whatever the case of its letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5. Null for a null id."""
     return (F.crc32(doc_id.cast("string").cast("binary")) % FOLDS).cast("int")

@@ -256,10 +256,11 @@ def remove_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     around stays as it is. Untouched documents, empty and null texts stay unchanged; every row stays.
     A column n_chars, if there, is counted anew for changed texts.
     """
-    found = find_passages(docs.select(*docs.columns), benchmark, window, text)
-    schema, counted = docs.schema, "n_chars" in docs.columns
-
-    body = schema.names.index(text)
+    # columns travel under names of our own, so that theirs cannot clash with what is found
+    body, counted = docs.columns.index(text), "n_chars" in docs.columns
+    carried = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    found = find_passages(carried, benchmark, window, f"c{body}")
+    schema = docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

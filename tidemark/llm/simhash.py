@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import prepare, materialise, table, utf8_list, whole_groups
+from tidemark.llm.common import materialise, prepare, table, unused, utf8_list, whole_groups
 from tidemark.llm.graph import components
 
 SHINGLE = 4
@@ -260,12 +260,13 @@ def near_duplicates(docs: DataFrame, words_in_shingle: int = SHINGLE, distance:
 def drop_near_duplicates(docs: DataFrame, words_in_shingle: int = SHINGLE, distance: int = DISTANCE, text: str = "text") -> DataFrame:
     """The rows of docs, one of each component: the one with the smallest doc_id. Repeated rows of it
     are one. A component without any id keeps one of its texts."""
+    own_id, own_hash, text_hash = (unused(n, docs.columns) for n in ("_kept_id", "_kept_hash", "_text_hash"))
     kept = near_duplicates(docs, words_in_shingle, distance, text).select(
-        F.col("component_id").alias("_kept_id"), F.col("kept_hash").alias("_kept_hash")).distinct()
-    hashed = docs.withColumn("_text_hash", F.xxhash64(text))
-    same = hashed["doc_id"].eqNullSafe(kept["_kept_id"]) & (hashed["_text_hash"] == kept["_kept_hash"])
+        F.col("component_id").alias(own_id), F.col("kept_hash").alias(own_hash)).distinct()
+    hashed = docs.withColumn(text_hash, F.xxhash64(text))
+    same = hashed["doc_id"].eqNullSafe(kept[own_id]) & (hashed[text_hash] == kept[own_hash])
     # both sides are dealt by id and text, which single out a row but for repeats
-    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", text_hash]).drop(text_hash)
 
 
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

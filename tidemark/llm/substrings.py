@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import arrow_type, prepare, materialise, slices, table, utf8, utf8_list, whole_groups
+from tidemark.llm.common import arrow_type, prepare, materialise, slices, table, unused, utf8, utf8_list, whole_groups
 from tidemark.llm.rolling import Words, family, mix, sliding_max, sliding_min
 
 WINDOW = 35
@@ -280,9 +280,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text") ->
     """docs with the words of every repeated window removed from the text; the words that stay are
     joined by single spaces. Documents that lose no word keep their text as it is, nulls too; every row
     stays. A column n_chars, if there, is counted anew for changed texts."""
-    names = [text, *(["n_chars"] if "n_chars" in docs.columns else [])]
-    flagged = docs.withColumnRenamed("n_chars", "_n_chars") if len(names) > 1 else docs
-    schema = StructType([f for f in flagged.schema if f.name != text] + [StructField(text, StringType()), StructField("_changed", LongType())])
+    counted = "n_chars" in docs.columns
+    before, changed = (unused(n, docs.columns) for n in ("_n_chars", "_changed"))
+    flagged = docs.withColumnRenamed("n_chars", before) if counted else docs
+    schema = StructType([f for f in flagged.schema if f.name != text] + [StructField(text, StringType()), StructField(changed, LongType())])
 
     def finish(body: bytes | None, words: list[bytes], cut: np.ndarray) -> tuple:
         if not cut.any():
@@ -291,8 +292,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text") ->
         return (kept, len(kept))
 
     out = cut_repeats(flagged, finish, schema, window, text=text)
-    if len(names) > 1:
-        out = out.withColumn("n_chars", F.coalesce(F.col("_changed").cast(docs.schema["n_chars"].dataType), F.col("_n_chars")))
+    if counted:
+        out = out.withColumn("n_chars", F.coalesce(F.col(changed).cast(docs.schema["n_chars"].dataType), F.col(before)))
     return out.select(*docs.columns)
 
 
