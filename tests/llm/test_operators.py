@@ -464,3 +464,19 @@ def test_stages_bring_columns_of_any_name_back(spark):
         rows = sorted(out.collect(), key=lambda r: r.doc_id)
         assert out.columns == docs.columns and (ids is None or [r.doc_id for r in rows] == ids)
         assert all(r[c] == f"{i}-{r.doc_id}" for r in rows for i, c in enumerate(extra))
+
+
+def test_names_of_parts_do_not_overrule_the_wrapper():
+    def of(page):
+        shape, texts = extraction.flatten(extraction.parse(page))
+        return extraction.content(shape, texts, [False] * len(texts))
+
+    inside = '<nav>menu</nav><article><h1>T</h1>{}</article><footer>f</footer>'
+    for part, want in (
+        ('<div class="related work"><p>Body</p></div>', ["Body"]), ('<p class="search">Searched</p>', ["Searched"]),
+        ('<p>A <span class="sponsor">sponsor</span> pays</p>', ["A sponsor pays"]), ('<p>Let <math><mi>x</mi><mo>=</mo><mn>3</mn></math> hold.</p>', ["Let x=3 hold."]),
+        ("<aside><p>A pull quote</p></aside>", ["A pull quote"]), ('<div class="ad-box">Buy</div>', []), ('<ul class="comment-list"><li>me</li></ul>', []),
+        ('<aside class="sidebar">x</aside>', []),
+    ):
+        assert of(inside.format(part)) == ["T", *want], part
+    assert of('<div id="ads">x</div><div class="news-ad-report"><p>Report body</p></div><aside>side</aside>') == ["Report body"]

@@ -6,8 +6,8 @@ heaviest order-preserving matching of children, found by dynamic programming. Ev
 matched to the finished wrapper of its host, and the texts in each place of it are counted over all
 pages of the host. A text that is the same on most pages is template; where texts vary is a slot.
 Extraction comes second and judges all pages of a host by the same wrapper and counts. Slots become
-content unless they stand in a part of the page that by its element, role, class or id is navigation,
-header, footer, sidebar, advert, notice, form or comments. If the page has article or main elements
+content unless they stand in a part of the page that by its element or role, or by a class or id of a
+container that says nothing else, is navigation, header, footer, sidebar, advert, notice, form or comments. If the page has article or main elements
 with text, content is what stands in them, and else every slot; the node that holds most of the
 varying text tells whether the page is one of many near copies, whose text is kept too.
 """
@@ -37,13 +37,14 @@ TEMPLATE_PAGES, TEMPLATE_SHARE = 4, 0.6
 
 # Element classes of HTML
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea title iframe svg math object select option button head canvas".split())
+_RAW = frozenset("script style noscript template textarea title iframe svg object select option button head canvas".split())
 _BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 _CLOSES_P = _BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "html", "body"}
 _SAME_CLOSES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
-_APART = frozenset("nav footer aside form dialog menu".split())
+_APART = frozenset("nav footer form dialog menu".split())
+_APART_OUTSIDE = frozenset(("header", "aside"))  # unless they belong to an article
 _CORE = frozenset(("article", "main"))
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _HINTS = frozenset(
@@ -51,6 +52,13 @@ _HINTS = frozenset(
     " footer header masthead topbar comment comments disqus respond reply replies share sharing social related recommended cookie cookies consent gdpr"
     " notice notices alert popup modal overlay newsletter subscribe subscription signup login search widget pagination pager toolbar skip".split())
 
+#: words that say where a part stands or how it looks, beside one that says what it is
+_NEUTRAL = frozenset(
+    "area bar block bottom box col column container content fixed first global group inner item items last left link links list main"
+    " mobile outer page panel primary rail right row secondary section site slot small sticky top unit wide wrap wrapper zone".split())
+#: elements that hold parts of a page; the others are content by where they stand
+_CONTAINERS = frozenset("aside center details dir div dl fieldset header hgroup menu nav ol section table ul".split())
+
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
@@ -69,15 +77,19 @@ class Node:
 
 
 def _apart(tag: str, attributes: str, in_core: bool) -> bool:
-    """Whether an element is set apart from the content by what it says of itself."""
-    if tag in _APART or (tag == "header" and not in_core):
+    """Whether an element is set apart from the content by what it says of itself. A class or id does so
+    only for a container, and only if it has no word for anything else: what a page calls `news-ad-report`
+    or `related work` is for the wrapper to decide."""
+    if tag in _APART or (tag in _APART_OUTSIDE and not in_core):
         return True
     for name, value in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "role" and value in _ROLES):
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "main", "article") and not _HINTS.isdisjoint(_WORD.findall(value)):
-            return True
+        if name in ("class", "id") and tag in _CONTAINERS:
+            words = set(_WORD.findall(value))
+            if words & _HINTS and words <= _HINTS | _NEUTRAL:
+                return True
     return False
 
 
