@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tests import sample_feed
 from tests.build import same_rows
-from tidemark.sinks.export import export_by_date, export_csv, export_parquet, read_export, rows_per_file
+from tidemark.sinks.export import export_by_date, export_csv, export_parquet, publish_run, published_runs, read_export, rows_per_file
 from tidemark.sources.landing import list_files, read_landing, stream_landing
 from tidemark.specs import BOOKING, CLAIM, EXPORT_COLUMNS, FACT_SCHEMA, RESERVATION
 
@@ -126,3 +126,82 @@ def test_files_of_wide_rows_stay_below_the_limit(spark, tmp_path):
     out = export_csv(wide.drop("n").coalesce(1), str(tmp_path / "wide"), file_bytes=20_000)
     sizes = [f.stat().st_size for f in (tmp_path / "wide").glob("*.csv.gz")]
     assert out == str(tmp_path / "wide") and len(sizes) > 1 and max(sizes) <= 20_000
+
+
+def test_a_heavy_day_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(2000).select(F.col("id").cast("string").alias("BOOKING_ID"), F.expr("CASE WHEN id < 1500 THEN DATE'2026-08-01' WHEN id < 1900 THEN NULL ELSE date_add(DATE'2026-09-01', int(id - 1900)) END").alias("BOOKING_DATE"))
+    path = export_by_date(rows, str(tmp_path / "heavy"), whole=True, task_rows=300)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in Path(path).glob("dt=*")}
+    assert files["dt=2026-08-01"] > 1 and files["dt=__HIVE_DEFAULT_PARTITION__"] > 1 and files["dt=2026-09-01"] == 1 and len(files) == 102
+    assert same_rows(spark.read.parquet(path).drop("dt"), rows)
+
+
+def test_export_of_a_plan_runs_it_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    plan = fact(spark).withColumn("ROUTE", counted("ROUTE"))
+    for file_bytes in (16_000_000, 150):
+        before = seen.value
+        out = export_csv(plan, str(tmp_path / f"once-{file_bytes}"), file_bytes=file_bytes)
+        assert seen.value - before == 3
+        sizes = [p.stat().st_size for p in Path(out).glob("*.csv.gz")]
+        assert sizes and (max(sizes) <= file_bytes or len(sizes) == 3)  # a file holds one row at least
+
+
+def test_runs_are_published_last(spark, tmp_path):
+    path, schema = str(tmp_path / "out"), T.StructType([FACT_SCHEMA[c] for c in EXPORT_COLUMNS])
+    for run, rows in (("a", fact(spark)), ("b-1", fact(spark).limit(1)), ("c", fact(spark).limit(0))):
+        export_csv(rows, path, run_id=run)
+        if run != "c":  # the last run broke off before it was published
+            publish_run(spark, path, run)
+    assert published_runs(spark, path) == ["a", "b-1"]
+    assert read_export(spark, path, schema).count() == 1 and read_export(spark, path, schema, "a").count() == 3
+
+
+def test_patterns_choose_files_when_they_are_listed(spark, tmp_path):
+    landing = tmp_path / "landing"
+    sample_feed.land(landing, "fullload", sample_feed.FULL)
+    sample_feed.land(landing, "cdc", sample_feed.CDC)
+    rows = read_landing(spark, str(landing), BOOKING, path_pattern="^cdc/")
+    rows.collect()
+    plan, files = [rows._jdf.queryExecution().executedPlan()], None
+    while plan:
+        node = plan.pop()
+        if "Scan csv" in node.nodeName():
+            files = node.metrics().apply("numFiles").value()
+        plan.extend(node.children().apply(i) for i in range(node.children().size()))
+    assert files == 1
+
+
+def test_read_files_are_retired_and_old_names_forgotten(spark, tmp_path):
+    import os
+    import time
+
+    landing, archive = tmp_path / "landing", tmp_path / "archive"
+    now = time.time() - 100_000
+
+    def land(name, text, moment):
+        write(landing / "cdc" / name, text)
+        os.utime(landing / "cdc" / name, (moment, moment))
+
+    def run():
+        rows = stream_landing(spark, str(landing), BOOKING, archive=str(archive), max_file_age="1h")
+        out = tmp_path / "out"
+        query = rows.writeStream.format("parquet").option("path", str(out)).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return spark.read.parquet(str(out)).count()
+
+    land("booking_a.csv", sample_feed.CDC_BOOKING, now)
+    assert run() == 7
+    land("booking_b.csv", sample_feed.CDC_BOOKING, now + 7200)
+    assert run() == 14
+    assert not (landing / "cdc" / "booking_a.csv").exists() and list(archive.rglob("booking_a.csv"))
+    land("booking_a.csv", sample_feed.CDC_BOOKING, now + 10_000)  # its name is forgotten by now
+    assert run() == 21
+    land("booking_old.csv", sample_feed.CDC_BOOKING, now - 7200)  # too old beside the newest
+    assert run() == 21

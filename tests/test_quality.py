@@ -98,3 +98,20 @@ def test_freshness_states(spark):
     watched = {"new": aged(minutes=3), "edge": aged(hours=2), "old": aged(hours=2, seconds=1), "dead": aged(hours=7), "none": empty}
     got = {r.OBJ: (r.LAG_MIN, r.STATUS) for r in quality.freshness(watched, now).collect()}
     assert got == {"new": (3, "PASS"), "edge": (120, "PASS"), "old": (120, "WARN"), "dead": (420, "ERROR"), "none": (None, "ERROR")}
+
+
+def test_relationships_need_one_shuffle_of_values(spark):
+    rules = [
+        quality.Relationship("a", "child", "x", "parent", "k"), quality.Relationship("b", "child", "y", "parent", "k", "WARN"),
+        quality.Relationship("c", "parent", "k", "child", "x"), quality.Relationship("d", "none", "x", "parent", "k"),
+    ]
+    tables = {
+        "child": spark.createDataFrame([(1, "1"), (1, "9"), (7, None), (7, "9"), (None, "2")], "x int, y string"),
+        "parent": spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int"),
+        "none": spark.createDataFrame([], "x int"),
+    }
+    got = quality.relationships(tables, rules, datetime(2026, 8, 21))
+    assert {(r.TEST_NAME, r.TARGET, r.FAIL_COUNT, r.STATUS) for r in got.collect()} == {
+        ("a", "child", 2, "FAIL"), ("b", "child", 2, "WARN"), ("c", "parent", 2, "FAIL"), ("d", "none", 0, "PASS")}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(rule") <= 4 and "Join" not in plan.replace("BroadcastHashJoin", "")

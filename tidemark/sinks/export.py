@@ -16,6 +16,8 @@ MAX_BYTES_PER_ROW = 64
 SAMPLE_ROWS = 5_000
 FILL = 0.8
 PUBLISHED = "_published"
+# Rows of a day that one task writes.
+DAY_ROWS = 5_000_000
 
 
 def rows_per_file(file_bytes: int = K.EXPORT_FILE_BYTES, row_bytes: float = MAX_BYTES_PER_ROW) -> int:
@@ -115,19 +117,36 @@ def export_parquet(fact: DataFrame, path: str, dt: str | None = None) -> str:
     return target
 
 
-def export_by_date(fact: DataFrame, path: str, column: str = "BOOKING_DATE", whole: bool = False) -> str:
+def export_by_date(
+    fact: DataFrame, path: str, column: str = "BOOKING_DATE", whole: bool = False, stored: bool = False, task_rows: int = DAY_ROWS
+) -> str:
     """Parquet partitioned by day; only the days present in `fact` are replaced. With `whole`, `fact` is
     all there is, and days that it no longer holds leave the export too.
 
-    Rebalancing by day gives few files per day, and adaptive execution splits a day that holds far
-    more rows than the others over several tasks.
+    The cost is the files, not the bytes, so days are dealt over all tasks, few files each. A day of more than
+    `task_rows` rows, counted first from written rows (`stored` says that `fact` only reads files; any
+    other plan is written once), is dealt over several.
     """
+    spark = fact.sparkSession
+    scratch = work_dir(spark, "export")
     dated = fact.withColumn("dt", F.col(column).cast("string"))
+    if not stored:
+        dated.write.parquet(f"{scratch}/rows")
+        dated = spark.read.schema(dated.schema).parquet(f"{scratch}/rows")
+    days = dated.groupBy("dt").agg(F.count("*").alias("n")).filter(F.col("n") > task_rows)
+    heavy = days.select(F.coalesce("dt", F.lit("")).alias("_day"), F.ceil(F.col("n") / task_rows).alias("_parts"))
+    extra = heavy.agg(F.coalesce(F.sum("_parts"), F.lit(0))).first()[0]
+    tasks, part = int(spark.conf.get("spark.sql.shuffle.partitions")) + extra, F.lit(0)
+    if extra:  # at most one row for every `task_rows` rows
+        dated = dated.withColumn("_day", F.coalesce("dt", F.lit(""))).join(F.broadcast(heavy), "_day", "left")
+        part = F.coalesce(F.pmod(F.xxhash64(*fact.columns), F.col("_parts")), F.lit(0).cast("long"))
     (
-        dated.hint("rebalance", F.col("dt"))
+        dated.repartition(tasks, "dt", part)
+        .select(*fact.columns, "dt")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy("dt")
         .parquet(path)
     )
+    SharedFiles(spark, scratch).remove(scratch)
     return path

@@ -17,6 +17,7 @@ from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import constants as K
@@ -29,7 +30,7 @@ from tidemark.functions.scalars import session_now
 from tidemark.sources.landing import file_states, read_landing, stream_landing
 from tidemark.specs import ENTITIES, FACT_KEY, FACT_SCHEMA, SAFE, EntitySpec, Policy
 from tidemark.state.files import SharedFiles
-from tidemark.state.table import VersionedTable
+from tidemark.state.table import VersionedTable, observed
 
 LOG_SCHEMA = "LOG_TS timestamp_ntz, STEP string, TARGET string, ROWS_AFFECTED long, NOTE string"
 
@@ -127,8 +128,9 @@ class Flow:
         # Named by the batch: a batch delivered again replaces its own audit rows.
         batch = "-".join(map(str, token)) if token else uuid.uuid4().hex
         path = f"{self.root}/util/load_audit/{spec.name}/batch={batch}"
-        quality.load_audit(raw, spec, self.policy, loaded_at=True).write.mode("overwrite").parquet(path)
-        if self.spark.read.parquet(path).filter("ROWS_REJECTED > 0").isEmpty():
+        audit, seen = observed(quality.load_audit(raw, spec, self.policy, loaded_at=True), rejected=F.sum("ROWS_REJECTED"))
+        audit.write.mode("overwrite").parquet(path)
+        if not seen.get["rejected"]:
             return
         _, rejected = split_rejects(raw, spec, self.policy)
         rejected.write.mode("overwrite").parquet(f"{self.root}/util/quarantine/{spec.name}/batch={batch}")
