@@ -11,6 +11,7 @@ taking one away restores the text.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -51,50 +52,58 @@ def show_role(role: str) -> str:
 
 
 class _Builder:
-    """Windows of one conversation, fed turn by turn; holds no more than one window and its history."""
+    """Windows of one conversation, fed turn by turn; holds no more than one window and its history.
+
+    `sums` are the prefix sums of the tokens of the held turns: a window is a span of turns between two of
+    them, and so is the history that the next one repeats.
+    """
 
     def __init__(self, conv_id, budget: int, history_turns: int, history_tokens: int):
         self.conv_id, self.budget, self.history_turns, self.history_tokens = conv_id, budget, history_turns, history_tokens
         self.system: tuple[str, str, int] | None = None
-        self.history: list[tuple[str, str, int]] = []
-        self.new: list[tuple[str, str, int]] = []
+        self.turns: list[tuple[str, str, int]] = []
+        self.sums = [0]
+        self.fresh = 0  # held turns before are history
         self.number = 0
 
-    def _kept(self) -> int:
-        return (self.system[2] if self.system else 0) + sum(t[2] for t in self.history)
+    def _system_tokens(self) -> int:
+        return self.system[2] if self.system else 0
 
     def add(self, role: str, text: str, tokens: int) -> Iterator[tuple]:
-        turn = (role, text, tokens)
-        if self.new and self._kept() + sum(t[2] for t in self.new) + tokens > self.budget:
+        if self.new and self._system_tokens() + self.sums[-1] - self.sums[0] + tokens > self.budget:
             yield self.window()
             self._start(tokens)
-        self.new.append(turn)
+        self.turns.append((role, text, tokens))
+        self.sums.append(self.sums[-1] + tokens)
+
+    @property
+    def new(self) -> bool:
+        return len(self.turns) > self.fresh
 
     def _start(self, tokens: int) -> None:
         """Open the next window: the system turn, then as much history as limits and budget allow."""
-        if self.number == 1 and self.new[0][0] == SYSTEM_ROLE:
-            self.system = self.new[0]
-        past = [t for t in [*self.history, *self.new] if t is not self.system]
-        self.history, self.new = [], []
-        room = min(self.history_tokens, self.budget - tokens - (self.system[2] if self.system else 0))
-        for turn in reversed(past[-self.history_turns :] if self.history_turns else []):
-            if turn[2] > room:
-                break
-            self.history.insert(0, turn)
-            room -= turn[2]
+        first = 0
+        if self.number == 1 and self.turns[0][0] == SYSTEM_ROLE:
+            self.system, first = self.turns[0], 1
+        held = len(self.turns)
+        room = min(self.history_tokens, self.budget - tokens - self._system_tokens())
+        first = bisect.bisect_left(self.sums, self.sums[-1] - room, max(first, held - self.history_turns), held)
+        self.turns, self.sums = self.turns[first:], self.sums[first:]
+        self.fresh = len(self.turns)
 
     def window(self) -> tuple:
-        kept = [*([self.system] if self.system else []), *self.history]
+        system = [self.system] if self.system else []
+        repeated = len(system) + self.fresh
         parts, spans, at = [], [], 0
-        for i, (role, text, _) in enumerate([*kept, *self.new]):
+        for i, (role, text, _) in enumerate([*system, *self.turns]):
             head, body = f"{_OPEN}{hide_role(role)}\n", hide(text)
             parts += [head, body, _CLOSE]
             at += len(head)
-            if i >= len(kept) and role == TARGET_ROLE:
+            if i >= repeated and role == TARGET_ROLE:
                 spans += [at, at + len(body)]
             at += len(body) + len(_CLOSE)
-        tokens = sum(t[2] for t in [*kept, *self.new])
-        row = (self.conv_id, self.number, "".join(parts), len(kept), spans, tokens)
+        tokens = self._system_tokens() + self.sums[-1] - self.sums[0]
+        row = (self.conv_id, self.number, "".join(parts), repeated, spans, tokens)
         self.number += 1
         return row
 
