@@ -480,3 +480,39 @@ def test_names_of_parts_do_not_overrule_the_wrapper():
     ):
         assert of(inside.format(part)) == ["T", *want], part
     assert of('<div id="ads">x</div><div class="news-ad-report"><p>Report body</p></div><aside>side</aside>') == ["Report body"]
+
+
+def test_a_stored_map_is_edited_by_the_next_run(spark, tmp_path):
+    folder = str(tmp_path / "map")
+    docs = frame(spark, [prose(i, 20 + i % 60) for i in range(900)])
+    sizes = {}
+    for run, (rows, shards) in enumerate([(docs, 4), (docs, 4), (docs.where("doc_id < 700"), 5)]):
+        placed = sharding.shard_rows(rows, shards, 256, folder=folder).collect()
+        loads = [sum(r.size for r in placed if r.shard == s) for s in range(shards)]
+        assert max(loads) < 1.05 * sum(loads) / shards
+        sizes[run] = {r.doc_id: r.shard for r in placed}
+        assert sharding._versions(spark, folder) == [[0, 1], [0, 1], [0, 1, 2]][run]  # nothing to edit in the second run
+    assert sizes[0] == sizes[1]
+    moved = sum(sizes[2][i] != sizes[1][i] for i in sizes[2])
+    assert moved < 0.35 * 700  # about the fifth that the new shard takes
+    before, after = ({r.vslot: r.shard for r in sharding.stored_map(spark, folder, v).collect()} for v in (1, 2))
+    assert len(before) == len(after) == 256 and sum(before[v] != after[v] for v in before) < 110
+
+
+def test_equal_rows_are_spread_over_shards(spark):
+    docs = frame(spark, ["same text"] * 3000 + [prose(i, 9) for i in range(300)], [7] * 3000 + list(range(300)))
+    rows = sharding.shard_rows(docs, 8, 512).collect()
+    loads = [sum(r.size for r in rows if r.shard == s) for s in range(8)]
+    assert len(rows) == 3300 and max(loads) < 1.05 * sum(loads) / 8
+    for shard in range(8):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+
+
+def test_registered_sharding_is_even_and_gapless(spark):
+    got = sharding.op6_sharding(spark, SF)
+    assert dict(got.dtypes) | {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"} == dict(got.dtypes)
+    rows = got.collect()
+    want = {r.doc_id: (len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == want and {(r.law, r.grown_shard) for r in rows} == {("bytes", None)}
+    loads = [sum(r.size for r in rows if r.shard == s) for s in range(16)]
+    assert max(loads) - min(loads) <= max(r.size for r in rows)

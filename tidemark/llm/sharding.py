@@ -2,7 +2,8 @@
 versioned map says which shard holds each slot. Rebalancing and growing edit the map; records keep
 their slot for ever. DataFrame functions only.
 
-The map is one row per slot, `SLOTS` in all, whatever the data: that bounds every broadcast here.
+The map is one row per slot, `SLOTS` in all, whatever the data: that bounds every broadcast here. Its versions
+are small Parquet folders below a folder of the data set, so that the next run edits what this one left.
 """
 
 from __future__ import annotations
@@ -11,11 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, table
+from tidemark.session import work_dir
+from tidemark.state.files import SharedFiles
 
 SLOTS = 4096
 SHARDS = 16
 #: parts of a slot, so that positions inside a shard are counted in small groups
 PARTS = 16
+#: a map is edited once a shard holds so much more than the mean
+TOLERANCE = 0.01
 
 
 def with_slots(docs: DataFrame, slots: int = SLOTS, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -36,7 +41,7 @@ def with_slots(docs: DataFrame, slots: int = SLOTS, key: str = "doc_id", text: s
 
 def slot_bytes(placed: DataFrame, slots: int = SLOTS) -> DataFrame:
     """(vslot, bytes) of all slots, empty ones included."""
-    sums = placed.groupBy("vslot").agg(F.sum("size").alias("bytes"))
+    sums = placed.groupBy("vslot").agg(F.sum("size").alias("bytes"))  # of rows or of counts
     every = placed.sparkSession.range(slots).select(F.col("id").cast("int").alias("vslot"))
     return every.join(sums, "vslot", "left").select("vslot", F.coalesce("bytes", F.lit(0).cast("long")).alias("bytes"))
 
@@ -76,24 +81,73 @@ def rebalance(shard_map: DataFrame, sizes: DataFrame, shards: int = SHARDS) -> D
         (F.col("version") + 1).alias("version"), "vslot", F.coalesce("moved_to", "shard").cast("int").alias("shard"))
 
 
-def map_history(spark: SparkSession, sizes: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
-    """Versions 0 (as dealt) and 1 (rebalanced) of the map, stored together."""
-    zero = first_map(spark, shards, slots)
-    return materialise(zero.unionByName(rebalance(zero, sizes, shards)))
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    files = SharedFiles(spark, folder)
+    return sorted(int(n[2:]) for n in files.names(folder) if n.startswith("v=") and files.exists(f"{folder}/{n}/_SUCCESS"))
 
 
-def shard_rows(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def stored_map(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame | None:
+    """A version of the map below a folder, by default the newest; None if there is none."""
+    known = _versions(spark, folder)
+    if not known:
+        return None
+    return spark.read.parquet(f"{folder}/v={known[-1] if version is None else version}")
+
+
+def _store(shard_map: DataFrame, folder: str, version: int) -> DataFrame:
+    shard_map.coalesce(1).write.mode("overwrite").parquet(f"{folder}/v={version}")
+    return shard_map.sparkSession.read.parquet(f"{folder}/v={version}")
+
+
+def edited_map(spark: SparkSession, sizes: DataFrame, folder: str, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+    """The newest map of a folder, after a version more if it does not fit: for other shards, or for a load of
+    more than TOLERANCE above the mean. A folder without a map gets version 0, slots dealt in turn. Versions
+    are never rewritten once complete; one writer at a time."""
+    held = stored_map(spark, folder)
+    if held is None:
+        held = _store(first_map(spark, shards, slots), folder, 0)
+    loads = held.join(sizes, "vslot").groupBy("shard").agg(F.sum("bytes").alias("load"))
+    known = held.agg(F.max("version").alias("version"), F.max("shard").alias("last")).first()
+    heaviest, total = loads.agg(F.max("load"), F.sum("load")).first()
+    if known["last"] == shards - 1 and (not total or heaviest * shards <= total * (1 + TOLERANCE)):
+        return held
+    return _store(rebalance(held, sizes, shards), folder, known["version"] + 1)
+
+
+def _spread(placed: DataFrame, counts: DataFrame, shards: int, slots: int) -> tuple[DataFrame, DataFrame]:
+    """Rows and counts with the rows of overfull slots dealt to all slots by their place in the table. A slot is
+    overfull with more than a quarter of a shard's share, so there are few: equal rows, which share a
+    slot, are a large part of the table then."""
+    sizes = counts.groupBy("vslot").agg(F.sum("size").alias("bytes"))
+    total = counts.agg(F.sum("size")).first()[0] or 0
+    overfull = [r["vslot"] for r in sizes.where(F.col("bytes") * 4 * shards > total).collect()]  # fewer than 4 * shards
+    if not overfull or total < slots:
+        return placed, counts
+    row = F.xxhash64(F.monotonically_increasing_id())
+    moved = F.col("vslot").isin(overfull)
+    placed = materialise(placed.withColumns({
+        "vslot": F.when(moved, F.pmod(row, F.lit(slots))).otherwise(F.col("vslot")).cast("int"),
+        "part": F.when(moved, F.pmod(F.shiftrightunsigned(row, 40), F.lit(PARTS))).otherwise(F.col("part")).cast("int")}))
+    return placed, materialise(slot_counts(placed))
+
+
+def slot_counts(placed: DataFrame) -> DataFrame:
+    return placed.groupBy("vslot", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+
+
+def shard_rows(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, key: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
     """Every row with its shard and its gapless position inside the shard, by the newest map.
 
+    The map is kept below `folder`, where a later run finds and edits it (without one, in a folder of its own).
     The law is bytes: shards hold nearly equal sizes. Positions follow (vslot, part, key, crc32,
-    size); repeated rows take neighbouring positions. An empty input gives no rows. Only the key and
-    the text are read: other columns, whatever their names, do not matter.
+    size); repeated rows take neighbouring positions, unless they are so many that they are spread over all
+    slots. An empty input gives no rows. Only the key and the text are read: other columns, whatever
+    their names, do not matter.
     """
     spark = docs.sparkSession
     placed = with_slots(docs, slots, key, text)
-    counts = materialise(placed.groupBy("vslot", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")))
-    history = map_history(spark, slot_bytes(counts, slots), shards, slots)
-    newest = history.where(F.col("version") == 1).select("vslot", "shard")
+    placed, counts = _spread(placed, materialise(slot_counts(placed)), shards, slots)
+    newest = edited_map(spark, materialise(slot_bytes(counts, slots)), folder or work_dir(spark, "shard-map"), shards, slots).select("vslot", "shard")
     # SLOTS * PARTS rows at most
     ahead = counts.join(F.broadcast(newest), "vslot").withColumn(
         "base", F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("vslot", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
