@@ -535,6 +535,7 @@ def oracles() -> dict[str, str]:
             *[change_ctes(e) for e in KEYS],
         ),
         "merge_counts": query(both(*[merge_line(e) for e in KEYS]), *[change_ctes(e) for e in KEYS]),
+        "committed_counts": query(both(*[merge_line(e) for e in KEYS]), *[change_ctes(e) for e in KEYS]),
         "change_op_counts": query(
             both(
                 "SELECT op AS CHANGE_OPER, count(*) AS N, 'booking' AS ENTITY FROM booking_feed GROUP BY op",

@@ -151,7 +151,15 @@ def changed_keys(spark, sf_dir):
 
 
 def merge_counts(spark, sf_dir):
-    """What the commits of a batch say they did, and what the stored changes hold."""
+    parts = []
+    for e in ENTITIES:
+        counted = C.count_changes(_delta_changes(spark, sf_dir, e))
+        parts.append(counted.withColumn("ENTITY", F.lit(e.name)))
+    return union(parts)
+
+
+def committed_counts(spark, sf_dir):
+    """What the commits of a batch say they did, as counted while they were written, beside the stored changes."""
     flow = Flow(spark, work_dir(spark, "merge-counts"), "", run_ts=RUN_TS)
     for batch in (FULL, DELTA):
         flow.merge_all(feeds.raw_batches(spark, sf_dir, batch))
@@ -627,7 +635,7 @@ QUERIES = {
     for f in (
         cdc_latest, cdc_upsert, cdc_upsert_reservation, cdc_upsert_claim, cdc_full_then_delta,
         cdc_soft_delete, cdc_out_of_order, cdc_events_by_day, cdc_events_state, silver_changes,
-        silver_net_changes, changed_keys, merge_counts, change_op_counts, table_counts, claim_rollup, gold_rebuild,
+        silver_net_changes, changed_keys, merge_counts, committed_counts, change_op_counts, table_counts, claim_rollup, gold_rebuild,
         gold_incremental, gold_incremental_all, daily_route, daily_route_summary, daily_route_maintained, silver_changes_stored, load_audit,
         freshness, dq_unique, dq_not_null, dq_accepted, dq_fk, dq_net_revenue,
         dq_gold_excludes_cancelled, dq_gold_suite, dq_results, stream_ingest, stream_to_gold,
