@@ -316,7 +316,7 @@ def resolve(records: DataFrame) -> DataFrame:
     found = [c for c in ("payload_bytes", "payload") if c in records.columns]
     named = records.where("record_type = 'response'").dropDuplicates(["record_id"])
     named = named.select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("_page"), *(F.col(c).alias(f"_{c}") for c in found))
-    revisits = records.where("record_type = 'revisit'").join(named.hint("merge"), "refers_to", "left")
+    revisits = records.where("record_type = 'revisit'").join(named.hint("shuffle_hash"), "refers_to", "left")
     revisits = revisits.withColumns({"refers_to": F.col("_page"), **{c: F.col(f"_{c}") for c in found}}).select(*records.columns)
     return records.where("record_type = 'response'").unionByName(revisits)
 
