@@ -44,5 +44,8 @@ TRIGGER_INTERVAL = "30 seconds"
 # shuffled join.
 BROADCAST_ROWS = 1_000_000
 
+# Tables and staged batches are compressed by it: a third less to write than by the default.
+CODEC = "zstd"
+
 # Up to so many keys of a batch are listed in the look-up itself: literals that choose files and pages.
 LISTED_KEYS = 1_000

@@ -187,10 +187,12 @@ class VersionedTable:
     def _write_base(self, rows: DataFrame, target: str, buckets: int, spread: bool, **measured: Column) -> dict:
         """Write bucketed rows, after a shuffle to the buckets if they still need to be spread. Returns
         the measures of what was written."""
-        if spread:
-            rows = rows.repartition(buckets, self.key)
+        if spread:  # rows of a join by key lie in the shuffle partitions already and are not moved again
+            fits = self._shuffle_partitions() % buckets == 0
+            rows = rows.repartition(self.key) if fits else rows.repartition(buckets, self.key)
         rows, seen = observed(rows, **measured)
         writer = rows.write.mode("overwrite").format("parquet").bucketBy(buckets, self.key).sortBy(self.key)
+        writer = writer.option("compression", K.CODEC)
         for column in self._looked_up:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
@@ -233,21 +235,43 @@ class VersionedTable:
 
     # ---- writing -------------------------------------------------------------------------
 
-    def stage(self, rows: DataFrame) -> tuple[DataFrame, int]:
+    def stage(self, rows: DataFrame, clustered: bool = False) -> tuple[DataFrame, int]:
         """Rows of a batch written next to the table and read back, with their number.
 
         Whatever is done with them next then starts from files: nothing before is computed twice,
         and a lost executor costs a file read. The next batch replaces them. The rows come back under
         the range of their keys, measured while they were written: it reaches the base of a join by key.
+
+        `clustered` says the rows come from a shuffle by key: a large batch then lies in the buckets of the base,
+        so that the look-up shuffles neither.
         """
+        aligned = clustered and self.aligned(rows)
+        target = "staging-by-key" if aligned else "staging"
         rows, seen = observed(rows, n=F.count(F.lit(1)), low=F.min(self.key), high=F.max(self.key))
-        rows.write.mode("overwrite").parquet(f"{self.path}/staging")
-        staged = self.spark.read.schema(rows.schema).parquet(f"{self.path}/staging")
+        if aligned:
+            self._write_by_key(rows, target)
+            staged = self.spark.table(self._base_name(target))
+        else:
+            rows.write.mode("overwrite").option("compression", K.CODEC).parquet(f"{self.path}/{target}")
+            staged = self.spark.read.schema(rows.schema).parquet(f"{self.path}/{target}")
         if seen.get["n"] == 0:
             return staged, 0
         key = F.col(self.key)
         return staged.filter(key.between(F.lit(seen.get["low"]), F.lit(seen.get["high"]))), seen.get["n"]
 
+    def aligned(self, rows: DataFrame) -> bool:
+        """Whether rows from a shuffle by key are worth buckets and lie in tasks that write few of them."""
+        head = self.record()
+        if head is None or head["base"] is None or self._shuffle_partitions() % head["buckets"]:
+            return False
+        return self._bucket_count(rows) > 1
+
+    def _write_by_key(self, rows: DataFrame, target: str) -> None:
+        """Write rows into as many buckets as the base has, so that neither is shuffled to meet the other."""
+        writer = rows.write.mode("overwrite").format("parquet").option("compression", K.CODEC)
+        writer = writer.bucketBy(self.record()["buckets"], self.key).option("path", f"{self.path}/{target}")
+        writer.saveAsTable(self._base_name(target))
+
     def read_keys(self, keys: list, version: int | None = None, column: str | None = None) -> DataFrame:
         """The rows of a version with a few listed keys, or values of another looked-up column. Spark
         chooses buckets, row groups and pages by them."""
@@ -264,8 +288,8 @@ class VersionedTable:
         """Write a change set as the next version. An empty one adds no version.
 
         The first change set of an empty table holds every row: it is written as the base.
-        `clustered` says its rows come from a shuffle by key; `buckets` overrides the estimate,
-        which is far too high above a join.
+        `clustered` says its rows come from a shuffle by key, or from a join with the base that shuffled
+        neither side; `buckets` overrides the estimate, which is far too high above a join.
         """
         head = self.record()
         version = (head["version"] if head else 0) + 1
@@ -280,7 +304,10 @@ class VersionedTable:
             counts = self._write_base(rows, target, buckets, spread, **counted())
         else:
             rows, seen = observed(rows, **counted())
-            rows.write.mode("overwrite").parquet(f"{self.path}/{target}")
+            if clustered:  # compaction then moves neither the changes nor the base
+                self._write_by_key(rows, target)
+            else:
+                rows.write.mode("overwrite").option("compression", K.CODEC).parquet(f"{self.path}/{target}")
             counts = seen.get
         changed = sum(counts.values())
         merged_meta = {**(head["meta"] if head else {}), **(meta or {})}
@@ -313,7 +340,7 @@ class VersionedTable:
         """The newest images of all change sets as one, and their number. The base is not touched."""
         target = f"folded/v={head['version']}"
         rows, seen = observed(self._newest(head), n=F.count(F.lit(1)))
-        rows.write.mode("overwrite").parquet(f"{self.path}/{target}")
+        rows.write.mode("overwrite").option("compression", K.CODEC).parquet(f"{self.path}/{target}")
         return [target], seen.get["n"]
 
     def needs_compaction(self) -> bool:
@@ -328,10 +355,14 @@ class VersionedTable:
         if head is None or not head["change_sets"]:
             return head
         target = f"base/v={head['version']}"
-        # Only the changes are moved; the rows of the old base stay in the tasks that read them,
-        # unless the table has outgrown its buckets.
+        # Only changes that do not lie in its buckets are moved; the rows of the old base stay in the tasks
+        # that read them, unless the table has outgrown its buckets.
         buckets = head["buckets"]
-        images = self._newest(head).drop(PRE).repartition(buckets, self.key)
+        name = self._base_name(f"changes/v={head['change_sets'][-1]}")
+        if len(head["change_sets"]) == 1 and self.spark.catalog.tableExists(name):
+            images = self.spark.table(name).drop(PRE)
+        else:
+            images = self._newest(head).drop(PRE).repartition(buckets, self.key)
         small = head["changed_rows"] <= K.BROADCAST_ROWS
         rows = apply_change_set(self._read_base(head), images, self.key, small)
         outgrown = self._bucket_count(rows) > 2 * buckets

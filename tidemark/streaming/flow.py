@@ -82,7 +82,7 @@ class Flow:
             return {"version": table.version(), "counts": {}}
 
         # The written batch is the input of every step below, so no step reads the source again.
-        batch.write.mode("overwrite").parquet(self._raw_path(spec))
+        batch.write.mode("overwrite").option("compression", K.CODEC).parquet(self._raw_path(spec))
         raw = self.raw(spec)
         self._audit(spec, raw, token)
 
@@ -100,14 +100,16 @@ class Flow:
         if table.is_empty():
             record = table.commit(change_set(None, newest, spec), token, clustered=True)
         else:
-            staged, rows = table.stage(newest)
+            staged, rows = table.stage(newest, clustered=True)
+            by_key = False
             if rows <= K.LISTED_KEYS:
                 keys = [r[0] for r in staged.select(spec.key).collect()]  # at most LISTED_KEYS
                 changes = change_set(table.read_keys(keys), staged, spec, self.policy.guard)
             else:
                 lookup = "broadcast" if rows <= K.BROADCAST_ROWS else "pick"
                 changes = change_set(table.read(), staged, spec, self.policy.guard, lookup)
-            record = table.commit(changes, token)
+                by_key = lookup == "pick" and table.aligned(staged)
+            record = table.commit(changes, token, clustered=by_key)
         if table.needs_compaction():
             table.compact()
         return record
@@ -170,13 +172,14 @@ class Flow:
             small = 2 * changed_rows <= K.BROADCAST_ROWS
             keys = changed_keys(sets, self.policy.all_sources)
             keys_path = f"{self.root}/util/changed_keys/{uuid.uuid4().hex}"
-            if small:
+            first = self.fact.is_empty()
+            whole = first and self.policy.all_sources  # every booking is wanted, so no key is asked for
+            if small and not whole:
                 keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
-            else:  # several joins read them
+            elif not whole:  # several joins read them
                 keys.write.parquet(keys_path)
                 keys = self.spark.read.parquet(keys_path)
             try:
-                first = self.fact.is_empty()
                 listed = None
                 if 2 * changed_rows <= K.LISTED_KEYS and not first and self.policy.all_sources:
                     listed = [r[0] for r in keys.collect()]  # at most LISTED_KEYS
@@ -187,7 +190,7 @@ class Flow:
                 else:
                     booking, reservation, claim = (t.read_keys(listed, v, FACT_KEY) for t, v in tables)
                     fact = self.fact.read_keys(listed)
-                narrowed = None if first and self.policy.all_sources else keys
+                narrowed = None if whole else keys
                 live = gold.booking_fact(booking, reservation, claim, narrowed, small, run_ts)
                 if self.policy.all_sources:
                     changes = gold.fact_changes(fact, live, keys, small)
