@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
@@ -61,11 +61,13 @@ def export_csv(
 
 
 def _row_bytes(rows: DataFrame, scratch: str) -> float:
-    """Bytes of a compressed row, from some rows written as they will be."""
-    seen = Observation()
-    _write_csv(rows.limit(SAMPLE_ROWS).observe(seen, F.count(F.lit(1)).alias("n")), scratch, SAMPLE_ROWS)
-    written = sum(SharedFiles(rows.sparkSession, scratch).sizes(scratch, ".csv.gz"))
-    return written / seen.get["n"] if seen.get["n"] else MAX_BYTES_PER_ROW
+    """Bytes of a compressed row, from some rows written as they will be. They are taken from as few tasks as hold
+    them: a limit inside the write would run every task of the plan."""
+    sample = rows.limit(SAMPLE_ROWS).collect()  # at most SAMPLE_ROWS
+    if not sample:
+        return MAX_BYTES_PER_ROW
+    _write_csv(rows.sparkSession.createDataFrame(sample, rows.schema).coalesce(1), scratch, SAMPLE_ROWS)
+    return sum(SharedFiles(rows.sparkSession, scratch).sizes(scratch, ".csv.gz")) / len(sample)
 
 
 def _write_csv(rows: DataFrame, target: str, records: int) -> None:
