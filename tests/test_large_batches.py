@@ -1,0 +1,104 @@
+"""Steps of large batches: aligned look-ups and compaction, first refresh, landing files, export samples."""
+
+from datetime import datetime
+
+import pytest
+
+from tests.build import BOOKING, raw, same_rows
+from tests.test_plans import plan_of
+from tidemark import constants as K
+from tidemark.operators import changes as C
+from tidemark.operators.latest import newest_changes
+from tidemark.operators.typing import typed
+from tidemark.sinks import export
+from tidemark.specs import SAFE
+from tidemark.state import table as table_module
+from tidemark.state.table import VersionedTable
+from tidemark.streaming.flow import Flow
+from tidemark.workload import feeds, queries
+
+SF = "/root/testdata/sf0.001"
+RUN_TS = datetime(2026, 8, 21, 8)
+
+
+@pytest.fixture
+def large(spark, monkeypatch):
+    """As if every batch were large."""
+    monkeypatch.setattr(K, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(K, "LISTED_KEYS", 0)
+    monkeypatch.setattr(table_module, "BUCKET_BYTES", 1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def batch_of(spark, seq, ids):
+    rows = raw(spark, BOOKING, *({"id": f"B{i}", "seq": str(seq), "PASSENGER_ID": f"P{seq}"} for i in ids))
+    return newest_changes(typed(rows, BOOKING, SAFE, RUN_TS), BOOKING)
+
+
+def test_look_up_of_a_large_batch_shuffles_neither_side(spark, tmp_path, large):
+    t = VersionedTable(spark, str(tmp_path / "t"), BOOKING.key, BOOKING.state_schema)
+    t.commit(C.change_set(None, batch_of(spark, 1, range(40)), BOOKING), clustered=True)
+    staged, n = t.stage(batch_of(spark, 2, range(30, 50)), clustered=True)
+    changes = C.change_set(t.read(), staged, BOOKING, lookup="pick")
+    assert n == 20 and "Exchange" not in plan_of(changes)
+    assert changes.filter(f"{C.CHANGE_TYPE} = 'update'").count() == 10
+
+
+def test_compaction_of_aligned_changes_keeps_the_rows(spark, tmp_path, large):
+    flow = Flow(spark, str(tmp_path / "root"), "", run_ts=RUN_TS)
+    for seq, ids in ((1, range(40)), (2, range(30, 50)), (3, [1, 45])):
+        rows = [{"id": f"B{i}", "seq": str(seq), "PASSENGER_ID": f"P{seq}"} for i in ids]
+        flow.merge_batch(BOOKING, raw(spark, BOOKING, *rows))
+    got = {r.BOOKING_ID: r.PASSENGER_ID for r in flow.silver["booking"].read().collect()}
+    want = {f"B{i}": "P1" for i in range(30)} | {f"B{i}": "P2" for i in range(30, 50)} | {"B1": "P3", "B45": "P3"}
+    assert got == want and flow.silver["booking"].read().count() == 50
+    assert flow.silver["booking"].record()["base"].startswith("base/")  # compacted
+    assert {r.PASSENGER_ID for r in flow.silver["booking"].read(1).collect()} == {"P1"}
+
+
+def test_first_refresh_asks_for_no_keys(spark, tmp_path, large):
+    flow = Flow(spark, str(tmp_path / "root"), "", run_ts=RUN_TS)
+    flow.merge_all(feeds.raw_batches(spark, SF, feeds.FULL))
+    flow.refresh_gold()
+    assert not (tmp_path / "root/util/changed_keys").exists()
+    flow.merge_all(feeds.raw_batches(spark, SF, feeds.DELTA))
+    flow.refresh_gold()
+    assert (tmp_path / "root/util/changed_keys").exists()  # where the second kept its keys
+    kept = flow.fact.read()
+    flow.rebuild_gold()
+    assert same_rows(kept, flow.fact.read())
+
+
+def test_landing_is_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feeds, "FILE_ROWS", 500)
+    feeds.write_landing(spark, SF, str(tmp_path), feeds.FULL)
+    files = list(tmp_path.glob("fullload/claim/part-*"))
+    assert len(files) > 3 and all(f.name.endswith(".csv.gz") for f in files)
+    landed = queries.read_landing(spark, str(tmp_path), queries.CLAIM)
+    given = feeds.feed(spark, SF, queries.CLAIM, feeds.FULL)
+    columns = list(queries.CLAIM.file_columns)
+    assert same_rows(landed.select(columns), given.select(columns))
+
+
+def test_deliveries_of_many_files_wait_once(spark, monkeypatch):
+    monkeypatch.setattr(feeds, "FILE_ROWS", 500)
+    rows = {r.FOLDER: (r.ROWS_READ, r.WAITING) for r in queries.unloaded_files(spark, SF).collect()}
+    assert {w for f, (_, w) in rows.items() if f.startswith("cdc/")} == {1}
+    assert {w for f, (_, w) in rows.items() if f.startswith("fullload/")} == {0}
+
+
+def test_export_sample_runs_few_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(export, "SAMPLE_ROWS", 10)
+    rows = spark.range(0, 10_000, numPartitions=50).selectExpr("id", "uuid() AS u")
+    spark.sparkContext.setJobGroup("sample", "sample")
+    try:
+        assert export._row_bytes(rows, str(tmp_path / "s")) > 16
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("sample") for s in tracker.getJobInfo(j).stageIds}
+    infos = [tracker.getStageInfo(s) for s in stages]
+    assert max(i.numTasks for i in infos if i) < 50

@@ -77,7 +77,8 @@ def stream_landing(
 
 
 def _prepared(reader, spec: EntitySpec, fmt: str, multi_line: bool):
-    reader = reader.format(fmt).schema(spec.file_schema).option("pathGlobFilter", f"*.{fmt}")
+    names = "*.csv{,.gz}" if fmt == "csv" else f"*.{fmt}"  # CSV may land compressed
+    reader = reader.format(fmt).schema(spec.file_schema).option("pathGlobFilter", names)
     if fmt == "csv":
         reader = reader.options(**CSV_READ).option("multiLine", multi_line)
     return reader

@@ -29,6 +29,8 @@ BATCH = "BATCH"
 FULL, DELTA, LATE = 0, 1, 2
 PREFIXES = {FULL: "fullload", DELTA: "cdc", LATE: "late"}
 DELTA_FROM = "2000-01-01"
+# Rows of a compressed landing file: what one task reads of it.
+FILE_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -196,13 +198,15 @@ def silver(spark: SparkSession, sf_dir: str, *batches: int) -> dict[str, DataFra
     return {e.name: newest(spark, sf_dir, e, *batches) for e in ENTITIES}
 
 
-def write_landing(spark: SparkSession, sf_dir: str, landing: str, *batches: int, files: int | None = None, fmt: str = "csv") -> None:
-    """The feeds as landing files, one directory per batch and entity, with so many files each if given."""
+def write_landing(spark: SparkSession, sf_dir: str, landing: str, *batches: int, fmt: str = "csv", packed: bool = True) -> None:
+    """The feeds as landing files, one directory per batch and entity. `packed` CSV is compressed; as a reader cannot
+    divide such files, none holds more than FILE_ROWS rows."""
 
     def write(spec: EntitySpec, batch: int) -> None:
         rows = feed(spark, sf_dir, spec, batch).select(*spec.file_columns)
-        rows = rows.coalesce(files) if files else rows
-        options = {"header": "true", "escape": '"'} if fmt == "csv" else {}
+        options = {"header": "true", "escape": '"'} if fmt == "csv" else {"compression": "zstd"}
+        if fmt == "csv" and packed:
+            options |= {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": str(FILE_ROWS)}
         rows.write.format(fmt).options(**options).save(f"{landing}/{PREFIXES[batch]}/{spec.name}")
 
     targets = [(spec, batch) for spec in ENTITIES for batch in batches]
