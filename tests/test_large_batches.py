@@ -102,3 +102,12 @@ def test_export_sample_runs_few_tasks(spark, tmp_path, monkeypatch):
     stages = {s for j in tracker.getJobIdsForGroup("sample") for s in tracker.getJobInfo(j).stageIds}
     infos = [tracker.getStageInfo(s) for s in stages]
     assert max(i.numTasks for i in infos if i) < 50
+
+
+def test_a_feed_builds_only_the_wanted_batches(spark):
+    whole = feeds.feed(spark, SF, BOOKING)
+    for batch in feeds.PREFIXES:
+        one = feeds.feed(spark, SF, BOOKING, batch)
+        assert same_rows(one, whole.filter(whole.BATCH == batch))
+    assert "4-NOT SPECIFIED" not in plan_of(feeds.feed(spark, SF, BOOKING, feeds.FULL))
+    assert "4-NOT SPECIFIED" in plan_of(feeds.feed(spark, SF, BOOKING, feeds.DELTA))

@@ -50,25 +50,27 @@ def _scaled(c: str, factor: str, kind: str) -> Column:
     return (F.col(c).cast("decimal(12,2)") * F.lit(factor).cast(kind)).cast("decimal(12,2)")
 
 
-def _raw(df: DataFrame, spec: EntitySpec) -> DataFrame:
+def _raw(df: DataFrame, spec: EntitySpec, batches: tuple[int, ...]) -> DataFrame:
     prefix = F.element_at(F.create_map(*[F.lit(x) for kv in PREFIXES.items() for x in kv]), F.col(BATCH))
-    return df.select(
+    rows = df.select(
         *spec.file_columns,
         F.concat(prefix, F.lit(f"/{spec.name}.csv")).alias(K.SRC_FILE),
         F.col(K.CHANGE_TS).try_cast("timestamp_ntz").alias(K.LOAD_TS),
         BATCH,
     )
+    return rows.filter(F.col(BATCH).isin(*batches)) if batches else rows
 
 
-def booking_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def booking_feed(spark: SparkSession, sf_dir: str, *batches: int) -> DataFrame:
+    """The log of the given batches (all by default): changes of other batches are not even built."""
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     base = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
     status = _cases("o_orderstatus", {"P": "PENDING", "O": "CONFIRMED", "F": K.CANCELLED})
     priority, code = F.col("o_orderpriority"), F.col("o_orderstatus")
 
-    def change(when: Column, batch: int, pos: int, op: str, state: Column, factor: str) -> Column:
-        return F.when(
+    def change(when: Column, batch: int, pos: int, op: str, state: Column, factor: str) -> tuple[int, Column]:
+        return batch, F.when(
             when,
             F.struct(
                 F.lit(batch).alias(BATCH),
@@ -79,16 +81,15 @@ def booking_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         )
 
-    log = F.array_compact(
-        F.array(
-            change(priority != "5-LOW", FULL, 1, K.OP_LOAD, status, "1.00"),
-            change((priority == "3-MEDIUM") & (code == "P"), LATE, 2, K.OP_UPDATE, F.lit("PENDING"), "0.90"),
-            change(priority == "5-LOW", DELTA, 3, K.OP_INSERT, status, "1.00"),
-            change(code == "P", DELTA, 4, K.OP_UPDATE, F.lit("CONFIRMED"), "1.10"),
-            change((priority == "2-HIGH") & (code == "O"), DELTA, 5, K.OP_UPDATE, F.lit(K.CANCELLED), "1.00"),
-            change((priority == "4-NOT SPECIFIED") & (code == "O"), DELTA, 6, K.OP_DELETE, status, "1.00"),
-        )
-    )
+    changes = [
+        change(priority != "5-LOW", FULL, 1, K.OP_LOAD, status, "1.00"),
+        change((priority == "3-MEDIUM") & (code == "P"), LATE, 2, K.OP_UPDATE, F.lit("PENDING"), "0.90"),
+        change(priority == "5-LOW", DELTA, 3, K.OP_INSERT, status, "1.00"),
+        change(code == "P", DELTA, 4, K.OP_UPDATE, F.lit("CONFIRMED"), "1.10"),
+        change((priority == "2-HIGH") & (code == "O"), DELTA, 5, K.OP_UPDATE, F.lit(K.CANCELLED), "1.00"),
+        change((priority == "4-NOT SPECIFIED") & (code == "O"), DELTA, 6, K.OP_DELETE, status, "1.00"),
+    ]
+    log = F.array_compact(F.array(*[c for batch, c in changes if batch in (batches or PREFIXES)]))
     rows = base.withColumn("c", F.explode(log))
     fare = (_scaled("o_totalprice", "0.004", "decimal(4,3)") * F.col("c.factor")).cast("decimal(12,2)")
     nation = F.lpad(F.col("c_nationkey").cast("string"), 2, "0")
@@ -108,7 +109,7 @@ def booking_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderdate") + F.make_dt_interval(hours=F.col("c.pos"))).cast("string").alias(K.CHANGE_TS),
         F.col(f"c.{BATCH}").alias(BATCH),
     )
-    return _raw(named, BOOKING)
+    return _raw(named, BOOKING, batches)
 
 
 def _line_batch() -> Column:
@@ -126,7 +127,7 @@ def _line_op(deleted: Column) -> Column:
     return F.when(_line_batch() == FULL, K.OP_LOAD).when(deleted, K.OP_DELETE).otherwise(K.OP_UPDATE)
 
 
-def claim_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def claim_feed(spark: SparkSession, sf_dir: str, *batches: int) -> DataFrame:
     line = table(spark, sf_dir, "lineitem")
     shipped = F.col("l_shipdate").cast("string")
     gone = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F") & (F.col("l_quantity") >= 25)
@@ -143,10 +144,10 @@ def claim_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         shipped.alias(K.CHANGE_TS),
         _line_batch().alias(BATCH),
     )
-    return _raw(named, CLAIM)
+    return _raw(named, CLAIM, batches)
 
 
-def reservation_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reservation_feed(spark: SparkSession, sf_dir: str, *batches: int) -> DataFrame:
     line = table(spark, sf_dir, "lineitem")
     shipped = F.col("l_shipdate").cast("string")
     flag = F.col("l_returnflag")
@@ -163,15 +164,14 @@ def reservation_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         shipped.alias(K.CHANGE_TS),
         _line_batch().alias(BATCH),
     )
-    return _raw(named, RESERVATION)
+    return _raw(named, RESERVATION, batches)
 
 
 FEEDS = {"booking": booking_feed, "reservation": reservation_feed, "claim": claim_feed}
 
 
 def feed(spark: SparkSession, sf_dir: str, spec: EntitySpec, *batches: int) -> DataFrame:
-    rows = FEEDS[spec.name](spark, sf_dir)
-    return rows.filter(F.col(BATCH).isin(*batches)) if batches else rows
+    return FEEDS[spec.name](spark, sf_dir, *batches)
 
 
 def newest(spark: SparkSession, sf_dir: str, spec: EntitySpec, *batches: int, policy: Policy = SAFE) -> DataFrame:
