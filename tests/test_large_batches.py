@@ -152,3 +152,12 @@ def test_stored_keys_keep_only_what_differs(spark, tmp_path):
     part = next((tmp_path / "t/changes/v=1").glob("part-*"))
     column = parquet.ParquetFile(part).metadata.row_group(0).column(0)
     assert column.compression == "ZSTD" and "DELTA_BYTE_ARRAY" in column.encodings
+
+
+def test_landing_chosen_by_path_is_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "work_dir", lambda _, label: str(tmp_path / f"{label}-{len(list(tmp_path.iterdir()))}"))
+    rows = queries.landed_by_path(spark, SF).collect()
+    assert {(r.FOLDER.split("/")[0], r.FORMAT) for r in rows} == {("cdc", "csv"), ("late", "csv"), ("fullload", "parquet")}
+    landed = [p for p in tmp_path.rglob("part-*")]
+    assert {p.relative_to(tmp_path).parts[1] for p in landed} == set(feeds.PREFIXES.values())
+    assert all(p.name.endswith((".csv.gz", ".zstd.parquet")) for p in landed)

@@ -198,14 +198,14 @@ def silver(spark: SparkSession, sf_dir: str, *batches: int) -> dict[str, DataFra
     return {e.name: newest(spark, sf_dir, e, *batches) for e in ENTITIES}
 
 
-def write_landing(spark: SparkSession, sf_dir: str, landing: str, *batches: int, fmt: str = "csv", packed: bool = True) -> None:
-    """The feeds as landing files, one directory per batch and entity. `packed` CSV is compressed; as a reader cannot
-    divide such files, none holds more than FILE_ROWS rows."""
+def write_landing(spark: SparkSession, sf_dir: str, landing: str, *batches: int, fmt: str = "csv") -> None:
+    """The feeds as landing files, one directory per batch and entity. CSV is compressed; as a reader cannot divide
+    such files, none holds more than FILE_ROWS rows."""
 
     def write(spec: EntitySpec, batch: int) -> None:
         rows = feed(spark, sf_dir, spec, batch).select(*spec.file_columns)
-        options = {"header": "true", "escape": '"'} if fmt == "csv" else {"compression": "zstd"}
-        if fmt == "csv" and packed:
+        options = {"header": "true", "escape": '"'} if fmt == "csv" else dict(K.STORED)
+        if fmt == "csv":
             options |= {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": str(FILE_ROWS)}
         rows.write.format(fmt).options(**options).save(f"{landing}/{PREFIXES[batch]}/{spec.name}")
 
