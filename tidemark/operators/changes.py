@@ -32,8 +32,10 @@ def change_schema(schema: T.StructType) -> T.StructType:
     )
 
 
-def _hint(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+def join_side(df: DataFrame, small: bool) -> DataFrame:
+    """A side of a join by key: broadcast if its size was checked, else never. Left alone, Spark would decide by the
+    bytes of the stored files, which hold some 25 times as much in memory."""
+    return F.broadcast(df) if small else df.hint("merge")
 
 
 def change_set(
@@ -57,9 +59,11 @@ def change_set(
 
     stored = current
     if lookup != "join":
-        keys = _hint(batch.select(spec.key), lookup == "broadcast")
+        keys = join_side(batch.select(spec.key), lookup == "broadcast")
         stored = stored.join(keys, spec.key, "left_semi")
     stored = stored.select(F.col(spec.key), F.struct(*columns).alias(PRE))
+    if lookup == "pick":
+        stored = join_side(stored, small=False)
     joined = batch.select(*columns).join(stored, spec.key, "left")
 
     if guard:
@@ -79,7 +83,7 @@ def apply_change_set(current: DataFrame | None, changes: DataFrame, key: str, sm
     written = changes.filter(F.col(CHANGE_TYPE) != "delete").select(*columns)
     if current is None:
         return written
-    untouched = current.join(_hint(changes.select(key), small), key, "left_anti")
+    untouched = current.join(join_side(changes.select(key), small), key, "left_anti")
     return untouched.select(*columns).unionByName(written)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark import constants as K
 from tidemark.functions.scalars import as_timestamp, percentage
-from tidemark.operators.changes import CHANGE_TYPE, PRE
+from tidemark.operators.changes import CHANGE_TYPE, PRE, join_side
 from tidemark.operators.latest import latest_per_key
 from tidemark.specs import FACT_KEY, FACT_SCHEMA, MONEY_TOTAL
 
@@ -71,16 +71,16 @@ def booking_fact(
     they may be broadcast for it.
     """
     if keys is not None:
-        wanted = F.broadcast(keys) if small_keys else keys
+        wanted = join_side(keys, small_keys)
         booking, reservation, claim = (
             t.join(wanted, FACT_KEY, "left_semi") for t in (booking, reservation, claim)
         )
 
     bookings = is_live(booking).filter(F.col("BOOKING_STATUS") != K.CANCELLED)
-    joined = (
-        bookings.join(live_reservation(reservation), FACT_KEY, "left")
-        .join(claim_rollup(claim), FACT_KEY, "left")
-    )
+    parts = [live_reservation(reservation), claim_rollup(claim)]
+    if keys is None or not small_keys:  # as many rows as there are bookings
+        parts = [join_side(p, small=False) for p in parts]
+    joined = bookings.join(parts[0], FACT_KEY, "left").join(parts[1], FACT_KEY, "left")
     fare = F.col("FARE_AMOUNT")
     checked_in = F.coalesce("CHECKED_IN", F.lit(False))
     open_claims = F.coalesce("OPEN_CLAIMS", F.lit(0))
@@ -108,7 +108,7 @@ def fact_changes(fact: DataFrame | None, live: DataFrame, keys: DataFrame, small
     if fact is None:
         nothing = F.lit(None).cast(FACT_SCHEMA)
         return live.select(*names, nothing.alias(PRE), F.lit("insert").alias(CHANGE_TYPE))
-    old = fact.join(F.broadcast(keys) if small_keys else keys, FACT_KEY, "left_semi")
+    old = fact.join(join_side(keys, small_keys), FACT_KEY, "left_semi")
     return _paired(old, live)
 
 
@@ -121,7 +121,7 @@ def fact_changes_as_delivered(fact: DataFrame | None, live: DataFrame, booking:
     if fact is None:
         return fact_changes(None, live, live.select(FACT_KEY))
     dead = booking.filter(is_dead_booking()).select(FACT_KEY)
-    removed = fact.join(dead, FACT_KEY, "left_semi")
+    removed = fact.join(join_side(dead, small=False), FACT_KEY, "left_semi")
     names = FACT_SCHEMA.names
     deletes = removed.select(
         FACT_KEY,
@@ -139,7 +139,7 @@ def _paired(old: DataFrame, new: DataFrame, how: str = "full") -> DataFrame:
     kind = (
         F.when(F.col(PRE).isNull(), "insert").when(F.col("_post").isNull(), "delete").otherwise("update")
     )
-    return before.join(after, FACT_KEY, how).select(
+    return before.join(join_side(after, small=False), FACT_KEY, how).select(
         FACT_KEY,
         *[F.col(f"_post.{c}").alias(c) for c in names if c != FACT_KEY],
         PRE,
@@ -149,7 +149,7 @@ def _paired(old: DataFrame, new: DataFrame, how: str = "full") -> DataFrame:
 
 def merge_fact(fact: DataFrame, live: DataFrame, keys: DataFrame, small_keys: bool = False) -> DataFrame:
     """The fact after a refresh of `keys`: their rows leave, the rows of `live` come in."""
-    kept = fact.join(F.broadcast(keys) if small_keys else keys, FACT_KEY, "left_anti")
+    kept = fact.join(join_side(keys, small_keys), FACT_KEY, "left_anti")
     return kept.unionByName(live)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.functions.scalars import as_timestamp, minutes_between
+from tidemark.operators.changes import join_side
 from tidemark.operators.typing import reject_reason, unparsable_fields
 from tidemark.plans.gold import is_dead_booking
 from tidemark.specs import SAFE, EntitySpec, Policy
@@ -74,7 +75,7 @@ def foreign_key(
         rows = tables[target].filter(~F.col(K.IS_DELETED)) if live_only else tables[target]
         children = rows.groupBy(column).count()
         parents = tables[parent].select(F.col(parent_key).alias(column))
-        orphans = children.join(parents, column, "left_anti")
+        orphans = children.join(join_side(parents, small=False), column, "left_anti")
         return orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"))
 
     return TableRule(name, target, failures)
@@ -124,7 +125,7 @@ def no_dead_parent(name: str, target: str, parent: str, key: str) -> TableRule:
 
     def failures(tables: Tables) -> DataFrame:
         dead = tables[parent].filter(is_dead_booking()).select(key)
-        return tables[target].select(key).join(dead, key, "inner").agg(F.count("*").alias("n"))
+        return tables[target].select(key).join(join_side(dead, small=False), key, "inner").agg(F.count("*").alias("n"))
 
     return TableRule(name, target, failures)
 
