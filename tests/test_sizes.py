@@ -1,5 +1,7 @@
 """Small stored files hold many rows: what is decided by checked sizes, not by the bytes of files."""
 
+import os
+import time
 from datetime import datetime
 
 import pytest
@@ -11,8 +13,10 @@ from tidemark.operators import changes as C
 from tidemark.operators.latest import newest_changes
 from tidemark.operators.typing import typed
 from tidemark.plans import gold, quality
+from tidemark.session import STORED_TABLES
 from tidemark.specs import SAFE
 from tidemark.state.table import VersionedTable
+from tidemark.streaming.flow import Flow
 
 RUN_TS = datetime(2026, 8, 21, 8)
 
@@ -59,3 +63,43 @@ def test_look_up_and_reading_of_a_large_batch_broadcast_nothing(spark, tmp_path,
             assert "Broadcast" not in plan_of(changes)
             table.commit(changes)
     assert "Broadcast" not in plan_of(table.read()) and table.read().count() == 20
+
+
+@pytest.fixture
+def unnamed(spark):
+    """A session that names no settings of its own."""
+    before = {key: spark.conf.get(key, None) for key in STORED_TABLES}
+    for key in STORED_TABLES:
+        spark.conf.unset(key)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_scans_are_bounded_where_the_session_does_not(spark, tmp_path, unnamed):
+    bytes_of_a_task = "spark.sql.files.maxPartitionBytes"
+    Flow(spark, str(tmp_path / "a"), "")
+    assert spark.conf.get(bytes_of_a_task) == "16m"
+    spark.conf.set(bytes_of_a_task, "64m")
+    Flow(spark, str(tmp_path / "b"), "")
+    assert spark.conf.get(bytes_of_a_task) == "64m"
+
+
+def test_shuffled_and_staged_rows_leave_with_their_step(spark, tmp_path, unnamed, monkeypatch):
+    monkeypatch.setattr(K, "LISTED_KEYS", 0)
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in (manager.getAllFiles().apply(i).getName() for i in range(manager.getAllFiles().size())) if f.startswith("shuffle_")}
+
+    before = shuffled()
+    flow = Flow(spark, str(tmp_path / "root"), "", run_ts=RUN_TS)
+    for seq in ("1", "2"):
+        flow.merge_batch(BOOKING, raw(spark, BOOKING, *({"id": f"{i}", "seq": seq} for i in range(20))))
+    for _ in range(50):  # files are removed beside the next step
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert not [n for n in os.listdir(tmp_path / "root/silver/booking") if n.startswith("staging")]
+    assert {r.CHANGE_SEQ for r in flow.silver["booking"].read().collect()} == {2}

@@ -239,7 +239,7 @@ class VersionedTable:
         """Rows of a batch written next to the table and read back, with their number.
 
         Whatever is done with them next then starts from files: nothing before is computed twice,
-        and a lost executor costs a file read. The next batch replaces them. The rows come back under
+        and a lost executor costs a file read. They stay until `unstage` or the next batch. The rows come back under
         the range of their keys, measured while they were written: it reaches the base of a join by key.
 
         `clustered` says the rows come from a shuffle by key: a large batch then lies in the buckets of the base,
@@ -259,6 +259,11 @@ class VersionedTable:
         key = F.col(self.key)
         return staged.filter(key.between(F.lit(seen.get["low"]), F.lit(seen.get["high"]))), seen.get["n"]
 
+    def unstage(self) -> None:
+        """Remove the staged batch, once it is committed."""
+        for target in ("staging", "staging-by-key"):
+            self._files.remove(f"{self.path}/{target}")
+
     def aligned(self, rows: DataFrame) -> bool:
         """Whether rows from a shuffle by key are worth buckets and lie in tasks that write few of them."""
         return self.in_whole_buckets() and self._bucket_count(rows) > 1

@@ -25,6 +25,7 @@ from tidemark.operators.changes import change_rows, change_set, changed_keys
 from tidemark.operators.latest import newest_changes
 from tidemark.operators.typing import split_rejects, typed
 from tidemark.plans import gold, quality
+from tidemark.session import prepare
 from tidemark.sinks.export import export_csv, publish_run
 from tidemark.functions.scalars import session_now
 from tidemark.sources.landing import file_states, read_landing, stream_landing
@@ -54,6 +55,7 @@ class Flow:
         """`path_pattern` cuts landing files by their path below the landing folder; `multi_line` reads CSV
         fields with line breaks; `archive` takes the files that streams have read, `max_file_age` bounds
         how long streams remember names."""
+        prepare(spark)
         self.spark = spark
         self.root = root.rstrip("/")
         self.landing = landing
@@ -110,6 +112,7 @@ class Flow:
                 changes = change_set(table.read(), staged, spec, self.policy.guard, lookup)
                 by_key = lookup == "pick" and table.aligned(staged)
             record = table.commit(changes, token, clustered=by_key)
+            table.unstage()
         if table.needs_compaction():
             table.compact()
         return record

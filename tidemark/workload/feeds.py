@@ -23,6 +23,7 @@ from tidemark.functions.scalars import try_timestamp
 from tidemark.operators.changes import upsert
 from tidemark.operators.latest import newest_changes
 from tidemark.operators.typing import typed
+from tidemark.session import prepare
 from tidemark.specs import BOOKING, CLAIM, ENTITIES, RESERVATION, SAFE, EntitySpec, Policy
 
 BATCH = "BATCH"
@@ -201,6 +202,7 @@ def silver(spark: SparkSession, sf_dir: str, *batches: int) -> dict[str, DataFra
 def write_landing(spark: SparkSession, sf_dir: str, landing: str, *batches: int, fmt: str = "csv") -> None:
     """The feeds as landing files, one directory per batch and entity. CSV is compressed; as a reader cannot divide
     such files, none holds more than FILE_ROWS rows."""
+    prepare(spark)
 
     def write(spec: EntitySpec, batch: int) -> None:
         rows = feed(spark, sf_dir, spec, batch).select(*spec.file_columns)
