@@ -48,5 +48,8 @@ BROADCAST_ROWS = 1_000_000
 # that begin alike keep only what differs. A third less to write than by the defaults, and a sixth less again.
 STORED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "6", "parquet.writer.version": "v2"}
 
+# How a batch lies in raw until it is merged: rows in the order of the files, for which the defaults take no more room.
+PASSING = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
+
 # Up to so many keys of a batch are listed in the look-up itself: literals that choose files and pages.
 LISTED_KEYS = 1_000

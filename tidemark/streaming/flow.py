@@ -84,7 +84,7 @@ class Flow:
             return {"version": table.version(), "counts": {}}
 
         # The written batch is the input of every step below, so no step reads the source again.
-        batch.write.mode("overwrite").options(**K.STORED).parquet(self._raw_path(spec))
+        batch.write.mode("overwrite").options(**K.PASSING).parquet(self._raw_path(spec))
         raw = self.raw(spec)
         self._audit(spec, raw, token)
 

@@ -208,7 +208,7 @@ def write_landing(spark: SparkSession, sf_dir: str, landing: str, *batches: int,
         rows = feed(spark, sf_dir, spec, batch).select(*spec.file_columns)
         options = {"header": "true", "escape": '"'} if fmt == "csv" else dict(K.STORED)
         if fmt == "csv":
-            options |= {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": str(FILE_ROWS)}
+            options |= {"compression": "gzip", "zlib.compress.level": "FOUR", "maxRecordsPerFile": str(FILE_ROWS)}
         rows.write.format(fmt).options(**options).save(f"{landing}/{PREFIXES[batch]}/{spec.name}")
 
     targets = [(spec, batch) for spec in ENTITIES for batch in batches]
