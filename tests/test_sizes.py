@@ -5,8 +5,9 @@ import time
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from tests.build import BOOKING, CLAIM, RESERVATION, raw
+from tests.build import BOOKING, CLAIM, RESERVATION, raw, same_rows
 from tests.test_plans import plan_of
 from tidemark import constants as K
 from tidemark.operators import changes as C
@@ -15,6 +16,7 @@ from tidemark.operators.typing import typed
 from tidemark.plans import gold, quality
 from tidemark.session import STORED_TABLES
 from tidemark.specs import SAFE
+from tidemark.state import table as table_module
 from tidemark.state.table import VersionedTable
 from tidemark.streaming.flow import Flow
 
@@ -103,3 +105,20 @@ def test_shuffled_and_staged_rows_leave_with_their_step(spark, tmp_path, unnamed
     assert not shuffled() - before
     assert not [n for n in os.listdir(tmp_path / "root/silver/booking") if n.startswith("staging")]
     assert {r.CHANGE_SEQ for r in flow.silver["booking"].read().collect()} == {2}
+
+
+def test_a_batch_in_the_buckets_of_the_base_is_joined_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(table_module, "BUCKET_BYTES", 1)
+    table = VersionedTable(spark, str(tmp_path / "t"), BOOKING.key, BOOKING.state_schema)
+
+    def batch(seq, ids):
+        rows = raw(spark, BOOKING, *({"id": f"{i}", "seq": seq} for i in ids))
+        return newest_changes(typed(rows, BOOKING, SAFE, RUN_TS), BOOKING)
+
+    table.commit(C.change_set(None, batch("2", range(20)), BOOKING), clustered=True)
+    staged, _ = table.stage(batch("3", range(10, 30)), clustered=True)
+    changes = C.change_set(table.read(), staged, BOOKING, lookup="buckets")
+    plan = plan_of(changes)
+    assert plan.count("SortMergeJoin") == 1 and "Exchange" not in plan
+    assert same_rows(changes, C.change_set(table.read(), staged, BOOKING, lookup="pick"))
+    assert changes.count() == 20 and changes.filter(F.col(C.PRE).isNull()).count() == 10

@@ -51,6 +51,7 @@ def change_set(
     pick       first a semi join with the batch's keys, which Spark moves down to the files of a
                stored table: the keys are shuffled to its buckets, the table stays where it is
     broadcast  the same with broadcast keys, for a batch whose size was checked
+    buckets    one join in place, for a batch that lies in the buckets of a table that is its base alone
     """
     columns = spec.state_columns
     if current is None:
@@ -58,11 +59,11 @@ def change_set(
         return batch.select(*columns, empty.alias(PRE), F.lit("insert").alias(CHANGE_TYPE))
 
     stored = current
-    if lookup != "join":
+    if lookup in ("pick", "broadcast"):
         keys = join_side(batch.select(spec.key), lookup == "broadcast")
         stored = stored.join(keys, spec.key, "left_semi")
     stored = stored.select(F.col(spec.key), F.struct(*columns).alias(PRE))
-    if lookup == "pick":
+    if lookup in ("pick", "buckets"):
         stored = join_side(stored, small=False)
     joined = batch.select(*columns).join(stored, spec.key, "left")
 

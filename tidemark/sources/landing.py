@@ -85,8 +85,10 @@ def _prepared(reader, spec: EntitySpec, fmt: str, multi_line: bool):
 
 
 def _raw_rows(rows, spark, landing, spec, load_ts, path_pattern) -> DataFrame:
-    # the metadata hold an encoded URI, in which a plus stands for itself
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    # the metadata hold an encoded URI, in which a plus stands for itself; most have nothing to decode
+    uri = F.col("_metadata.file_path")
+    decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    path = F.when(uri.contains("%"), decoded).otherwise(uri)
     columns = [blank_to_null(F.col(c)).alias(c) for c in spec.file_columns]
     raw = rows.select(
         *columns,

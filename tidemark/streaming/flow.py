@@ -109,8 +109,10 @@ class Flow:
                 changes = change_set(table.read_keys(keys), staged, spec, self.policy.guard)
             else:
                 lookup = "broadcast" if rows <= K.BROADCAST_ROWS else "pick"
-                changes = change_set(table.read(), staged, spec, self.policy.guard, lookup)
                 by_key = lookup == "pick" and table.aligned(staged)
+                if by_key and not table.record()["change_sets"]:
+                    lookup = "buckets"
+                changes = change_set(table.read(), staged, spec, self.policy.guard, lookup)
             record = table.commit(changes, token, clustered=by_key)
             table.unstage()
         if table.needs_compaction():
